@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.operators.skew import lookup_join
 from tabloom.session import materialize
 
 _PART, _POS = "__part", "__pos"
@@ -68,6 +67,7 @@ def running_total(
     partition_by: Sequence[str] = (),
     weight: str | None = None,
     name: str = "before",
+    total: str | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add the total weight (or row count) of the earlier rows of the group.
@@ -75,20 +75,21 @@ def running_total(
     Same result as ``sum(weight) OVER (PARTITION BY .. ORDER BY .. ROWS BETWEEN
     UNBOUNDED PRECEDING AND 1 PRECEDING)`` with 0 for the first row, but no
     group has to fit into one task. ``order_by`` must be unique inside a group.
+    ``total`` names a further column with the weight of the whole group.
     """
     groups = list(partition_by)
     rows = _range_sorted(df, [*groups, *order_by], partitions)
     amount = F.col(weight) if weight else F.lit(1).cast("long")
 
-    chunk = Window.partitionBy(_PART, *groups).orderBy(_POS)
+    chunk = Window.partitionBy(_PART, *groups)
     if weight:
-        within = F.coalesce(
-            F.sum(amount).over(chunk.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        )
+        earlier = chunk.orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
+        within = F.coalesce(F.sum(amount).over(earlier), F.lit(0))
     else:
-        within = (F.row_number().over(chunk) - 1).cast("long")
+        within = (F.row_number().over(chunk.orderBy(_POS)) - 1).cast("long")
     local = rows.withColumn("__within", within)
+    if total:
+        local = local.withColumn("__chunk", F.sum(amount).over(chunk))
 
     border = rows.groupBy(_PART).agg(
         F.min(_POS).alias("__head"), F.max(_POS).alias("__tail")
@@ -98,34 +99,32 @@ def running_total(
         F.min(_POS).alias("__first"),
         F.max(_POS).alias("__last"),
     )
+    # A group that spans partitions touches a border in each of them, so the
+    # border chunks hold all its rows: at most two chunks per partition.
+    whole = Window.partitionBy(*(groups or [F.lit(0)]))
     carried = (
         chunks.join(F.broadcast(border), _PART)
         .where(
             (F.col("__first") == F.col("__head")) | (F.col("__last") == F.col("__tail"))
         )
-        .withColumn(
-            "__carried",
-            F.sum("__sum").over(
-                Window.partitionBy(*(groups or [F.lit(0)]))
-                .orderBy(_PART)
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-        )
-        .where(F.col("__carried").isNotNull())
         .select(
             F.col(_PART).alias("__cpart"),
             *[F.col(g).alias(f"__c_{g}") for g in groups],
-            "__carried",
+            F.sum("__sum")
+            .over(whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+            .alias("__carried"),
+            F.sum("__sum").over(whole).alias("__group"),
         )
-    )  # at most one row per partition
+    )
     same = F.col(_PART) == F.col("__cpart")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
-    return (
-        local.join(F.broadcast(carried), same, "left")
-        .withColumn(name, F.col("__within") + F.coalesce("__carried", F.lit(0)))
-        .select(*df.columns, name)
+    out = local.join(F.broadcast(carried), same, "left").withColumn(
+        name, F.col("__within") + F.coalesce("__carried", F.lit(0))
     )
+    if total:
+        out = out.withColumn(total, F.coalesce("__group", "__chunk"))
+    return out.select(*df.columns, name, *([total] if total else []))
 
 
 def quantiles(
@@ -139,24 +138,20 @@ def quantiles(
 
     Equal values are merged before the shuffle, so a hot value is one row; the
     remaining distinct values are ranked by ``running_total``. A weight counts
-    a row that many times. Null values and null groups are left out.
+    a row that many times. Null values are left out.
     """
     groups = list(group_by)
     amount = F.sum(weight) if weight else F.count("*")
     ranked = running_total(
-        df.dropna(subset=[*groups, value])
+        df.dropna(subset=[value])
         .groupBy(*groups, value)
         .agg(amount.cast("long").alias("__freq")),
         order_by=[value],
         partition_by=groups,
         weight="__freq",
         name="__before",
+        total="__n",
     )
-    totals = ranked.groupBy(*groups).agg(F.sum("__freq").alias("__n"))
-    if groups:
-        sized = lookup_join(ranked, totals, groups, "inner")
-    else:
-        sized = ranked.withColumn("__n", totals.scalar())
 
     def holds(rank: Column) -> Column:
         return (F.col("__before") <= rank) & (
@@ -171,7 +166,7 @@ def quantiles(
             F.max(F.when(holds(F.ceil(at)), F.col(value))).alias(f"__hi_{name}"),
             F.max(at - F.floor(at)).alias(f"__at_{name}"),
         ]
-    picked = sized.groupBy(*groups).agg(*picks)
+    picked = ranked.groupBy(*groups).agg(*picks)
     return picked.select(
         *groups,
         *[

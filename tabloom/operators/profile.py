@@ -111,10 +111,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
 def class_quantiles(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Per column and class: count, minimum, quartiles, maximum (exact)."""
     by = ["field", label]
-    cells = _long(df, columns, [label])
+    cells = _long(df, columns, [label]).dropna()
     limits = (
-        cells.dropna()
-        .groupBy(*by)
+        cells.groupBy(*by)
         .agg(
             F.count("value").alias("n"),
             F.min("value").alias("min"),

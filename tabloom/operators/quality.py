@@ -41,9 +41,11 @@ class Rule:
 
 def profile(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     """Rows per (field, status); statuses without rows do not appear."""
-    counted = df.agg(
+    # Each status is worked out once per row, then counted per outcome.
+    judged = df.select(*[rule.status().alias(rule.name) for rule in rules])
+    counted = judged.agg(
         *[
-            F.count_if(rule.status() == status).alias(f"{rule.name}|{status}")
+            F.count_if(F.col(rule.name) == status).alias(f"{rule.name}|{status}")
             for rule in rules
             for status in rule.statuses()
         ]

@@ -1,7 +1,11 @@
 """Joins of a large many-side to a lookup side that has one row per key.
 
-One key may hold a third of the many-side. Such keys are found with a
-mergeable frequent-items sketch (one narrow pass, no shuffle by key), split
+One key may hold a third of the many-side. Adaptive execution splits such a
+partition at run time from its measured size, at no cost when nothing is
+skewed, so that is the first choice; the operators are laid out so that it
+applies (an exchange below the join, and nothing above that needs the join's
+partitioning). Where a session has it switched off, the hot keys are found with
+a mergeable frequent-items sketch (one narrow pass, no shuffle by key), split
 into as many salts as their row count asks for, and only their lookup rows are
 repeated. The sketch decides speed only: any set of hot keys gives the same
 rows.
@@ -11,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The sketch returns at most this many keys, so the broadcast below is bounded.
@@ -39,7 +43,27 @@ def hot_keys(
     )
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution splits skewed join partitions here."""
+    return all(
+        spark.conf.get(name, "true") == "true"
+        for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
+
+
 def lookup_join(
+    many: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Join ``many`` to ``lookup`` (unique on ``on``), hot keys split.
+
+    ``how`` is inner, left, left_semi or left_anti.
+    """
+    if splits_skew(many.sparkSession):
+        return many.join(lookup, list(on), how)
+    return salted_join(many, lookup, on, how)
+
+
+def salted_join(
     many: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
@@ -48,11 +72,11 @@ def lookup_join(
     rows_per_salt: int = ROWS_PER_SALT,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join ``many`` to ``lookup`` (unique on ``on``) with hot keys split.
+    """The same join with the hot keys of ``many`` salted explicitly.
 
-    ``how`` is inner, left, left_semi or left_anti. The salt is a hash of the
-    row itself (``spread_by``, by default all columns), never ``rand()``: a
-    re-run task must send its rows to the same place.
+    The salt is a hash of the row itself (``spread_by``, by default all
+    columns), never ``rand()``: a re-run task must send its rows to the same
+    place.
     """
     on = list(on)
     hot = F.broadcast(hot_keys(many, on, rows_per_salt))

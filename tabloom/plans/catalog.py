@@ -752,7 +752,7 @@ def json_records(spark, folder):
     array = F.to_json(F.collect_list(F.struct(*rows.columns)))
     docs = _documents_of(rows, array)
     docs.write.text(path)
-    return files.read_json(spark, path, rows.columns, "records")
+    return files.read_json(spark, path, rows.columns, "records", per_line=True)
 
 
 @query
@@ -766,7 +766,7 @@ def json_columns(spark, folder):
     ]
     docs = _documents_of(rows, F.to_json(F.struct(*maps), {"ignoreNullFields": "false"}))
     docs.write.text(path)
-    return files.read_json(spark, path, rows.columns, "columns")
+    return files.read_json(spark, path, rows.columns, "columns", per_line=True)
 
 
 def _file_names(spark, folder) -> DataFrame:

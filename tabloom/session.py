@@ -24,6 +24,7 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tabloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")

@@ -56,25 +56,28 @@ def read_json(
     paths: str | Sequence[str],
     columns: Sequence[str],
     layout: str = "lines",
+    per_line: bool = False,
 ) -> DataFrame:
     """JSON text columns from one of three layouts.
 
-    ``lines``: one object per line, splittable. ``records``: a file is an array
-    of objects. ``columns``: a document (file or line) is an object of column
-    objects, ``{"a": {"0": ..}, "b": {"0": ..}}``. A file in the last two is
-    parsed as a unit by Spark, so large exports should come in many files.
+    ``lines``: one object per line. ``records``: a document is an array of
+    objects. ``columns``: a document is an object of column objects,
+    ``{"a": {"0": ..}, "b": {"0": ..}}``. In the last two a document is a whole
+    file, which one task parses, or with ``per_line`` a line, so that a file can
+    be split; large exports should use lines or many files.
     """
     reader = spark.read.option("primitivesAsString", True)
+    whole_file = layout != "lines" and not per_line
     if layout in ("lines", "records"):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        return reader.schema(schema).json(paths, multiLine=layout == "records")
+        return reader.schema(schema).json(paths, multiLine=whole_file)
     if layout != "columns":
         raise ValueError(f"unknown layout {layout!r}")
     cells = T.MapType(T.StringType(), T.StringType())
     schema = T.StructType([T.StructField(c, cells) for c in columns])
     documents = (
         reader.schema(schema)
-        .json(paths, multiLine=True)
+        .json(paths, multiLine=whole_file)
         .select(F.monotonically_increasing_id().alias("doc"), *columns)
     )
 
