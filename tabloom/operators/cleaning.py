@@ -69,10 +69,12 @@ def medians(
 
 
 def impute(df: DataFrame, fills: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls of each column take the value of the one-row table ``fills``."""
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), fills.select(c).scalar()) for c in columns}
-    )
+    """Nulls of each column take the value of the one-row table ``fills``.
+
+    The row is fetched once, as a fitted imputer keeps its medians.
+    """
+    row = fills.select(*columns).first()
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(row[c])) for c in columns})
 
 
 def impute_median(
@@ -82,7 +84,8 @@ def impute_median(
     method: str = "exact",
 ) -> DataFrame:
     """Fill nulls with the median of ``fit_on`` (by default of ``df``)."""
-    return impute(df, medians(df if fit_on is None else fit_on, columns, method=method), columns)
+    fills = medians(df if fit_on is None else fit_on, columns, method=method)
+    return impute(df, fills, columns)
 
 
 def title_features(
@@ -97,12 +100,16 @@ def title_features(
     """Normalised titles, whether they differ, and the length of the first."""
     other = F.coalesce(original, primary) if fill_original else F.col(original)
     style = {"delete_marks": delete_marks, "null_text": null_text}
+    # Unpacked by a generator, so that the flag and the length reuse the clean
+    # titles; stacked projections would be merged and clean them again.
+    titles = F.struct(
+        normalise_title(F.col(primary), **style).alias(primary),
+        normalise_title(other, **style).alias(original),
+    )
     return (
-        df.withColumns(
-            {
-                primary: normalise_title(F.col(primary), **style),
-                original: normalise_title(other, **style),
-            }
+        df.select(
+            *[c for c in df.columns if c not in (primary, original)],
+            F.inline(F.array(titles)),
         )
         .withColumn("title_changed", ~F.col(primary).eqNullSafe(F.col(original)))
         .withColumn("title_length", F.length(primary))
@@ -132,7 +139,7 @@ def split_by_subset(
 
 
 def clean_movies(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Staged film rows in table form, and the rows rejected for lack of a year.
+    """Staged film rows in table form, and the rows rejected for lack of an id or year.
 
     ``raw`` holds the stacked raw columns and ``subset``; numbers are text.
     """
@@ -148,12 +155,12 @@ def clean_movies(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("label").try_cast("boolean").alias("label"),
         "subset",
     )
-    rejected = typed.where(F.col("start_year").isNull())
+    complete = F.col("start_year").isNotNull() & F.col("movie_id").isNotNull()
     filled = impute_median(typed, ["runtime_min", "num_votes"])
-    whole = filled.where(F.col("start_year").isNotNull()).withColumns(
+    whole = filled.where(complete).withColumns(
         {
             c: truncate_int(F.col(c))
             for c in ("start_year", "runtime_min", "num_votes")
         }
     )
-    return title_features(whole), rejected
+    return title_features(whole), typed.where(~complete)

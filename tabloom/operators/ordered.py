@@ -22,10 +22,13 @@ _POSITION_BITS = (1 << 33) - 1
 
 
 def _range_sorted(df: DataFrame, keys: Sequence[str | Column], partitions: int | None):
-    """``df`` in global order, stored, with its partition number and position."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``df`` in global order, stored, with its partition number and position.
+
+    Without a number the session's shuffle partitions are the upper limit and
+    adaptive execution merges small ones; either way the numbers are stored.
+    """
     ranged = (
-        df.repartitionByRange(n, *keys)
+        df.repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
@@ -91,30 +94,28 @@ def running_total(
     if total:
         local = local.withColumn("__chunk", F.sum(amount).over(chunk))
 
-    border = rows.groupBy(_PART).agg(
-        F.min(_POS).alias("__head"), F.max(_POS).alias("__tail")
-    )
     chunks = rows.groupBy(_PART, *groups).agg(
         F.sum(amount).alias("__sum"),
         F.min(_POS).alias("__first"),
         F.max(_POS).alias("__last"),
     )
-    # A group that spans partitions touches a border in each of them, so the
-    # border chunks hold all its rows: at most two chunks per partition.
-    whole = Window.partitionBy(*(groups or [F.lit(0)]))
-    carried = (
-        chunks.join(F.broadcast(border), _PART)
-        .where(
-            (F.col("__first") == F.col("__head")) | (F.col("__last") == F.col("__tail"))
+    if groups:
+        # A group that spans partitions touches a border in each of them, so the
+        # border chunks hold all its rows: at most two chunks per partition.
+        border = rows.groupBy(_PART).agg(
+            F.min(_POS).alias("__head"), F.max(_POS).alias("__tail")
         )
-        .select(
-            F.col(_PART).alias("__cpart"),
-            *[F.col(g).alias(f"__c_{g}") for g in groups],
-            F.sum("__sum")
-            .over(whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
-            .alias("__carried"),
-            F.sum("__sum").over(whole).alias("__group"),
+        chunks = chunks.join(F.broadcast(border), _PART).where(
+            (F.col("__first") == F.col("__head")) | (F.col("__last") == F.col("__tail"))
         )
+    whole = Window.partitionBy(*(groups or [F.lit(0)]))
+    carried = chunks.select(
+        F.col(_PART).alias("__cpart"),
+        *[F.col(g).alias(f"__c_{g}") for g in groups],
+        F.sum("__sum")
+        .over(whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+        .alias("__carried"),
+        F.sum("__sum").over(whole).alias("__group"),
     )
     same = F.col(_PART) == F.col("__cpart")
     for g in groups:

@@ -536,7 +536,9 @@ def list_scores(spark, folder):
     # The statistics of one half scored on all films: unseen persons occur.
     early = rows.where("runtime_min <= 10")
     stats = fanout.person_stats(early, writing, directing, "writer_id")
-    out = fanout.list_scores(writing, stats, "writer_id", "writer")
+    out = fanout.list_scores(
+        writing, materialize(stats, "stats"), "writer_id", "writer"
+    )
     return rounded(
         out,
         "writer_score_mean_mean",

@@ -15,7 +15,6 @@ from tabloom import schemas
 from tabloom.functions.values import file_route
 from tabloom.operators.cleaning import clean_bridge, clean_movies, tag_subsets
 from tabloom.operators.constraints import fk_accepted, fk_orphans
-from tabloom.session import materialize
 from tabloom.sources import files, ledger, store
 
 RELATIONS = {
@@ -107,9 +106,7 @@ def run(
         if not paths(name):
             continue
         raw = files.read_json(spark, paths(name), ["movie", raw_person], json_layout)
-        pairs = materialize(
-            clean_bridge(raw, {raw_person: person, "movie": "movie_id"}), name
-        )
+        pairs = clean_bridge(raw, {raw_person: person, "movie": "movie_id"})
         movies = table(spark, root, "movies")
         result.orphans[name] = fk_orphans(pairs, movies, "movie_id")
         store.insert_new(

@@ -19,6 +19,8 @@ from tabloom.operators.merge import conform, new_rows, upsert
 from tabloom.session import materialize, read_if_exists
 
 BUCKET = "bucket"
+# Up to here a batch is joined so that the planner may broadcast it.
+SMALL_BATCH_ROWS = 1_000_000
 
 
 def _with_bucket(
@@ -66,20 +68,33 @@ def upsert_into(
     buckets: int = 16,
 ) -> None:
     """Merge ``staged`` into the table; only touched buckets are rewritten."""
+    stored = read_if_exists(spark, path)
+    empty = _empty(spark, schema)
+    if stored is None:
+        # The first batch replaces nothing: settle its conflicts and write it.
+        first = upsert(empty, staged, key, update_cols, order_by, keep=keep)
+        _write(_with_bucket(first, schema, key, buckets), path, "append")
+        return
     batch = materialize(_with_bucket(staged, schema, key, buckets), "batch")
     touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # <= buckets
     if not touched:
         return
-    stored = read_if_exists(spark, path)
-    if stored is None:
-        target = _empty(spark, schema)
-    else:
-        target = stored.where(F.col(BUCKET).isin(touched)).select(*schema.names)
+    target = stored.where(F.col(BUCKET).isin(touched)).select(*schema.names)
     merged = upsert(
-        target, batch.drop(BUCKET), key, update_cols, order_by, keep=keep
+        target,
+        batch.drop(BUCKET),
+        key,
+        update_cols,
+        order_by,
+        keep=keep,
+        small_stage=batch.count() <= SMALL_BATCH_ROWS,  # read from file footers
     )
     # The result is stored before the partitions it was read from are replaced.
-    _write(materialize(_with_bucket(merged, schema, key, buckets), "merged"), path, "overwrite")
+    _write(
+        materialize(_with_bucket(merged, schema, key, buckets), "merged"),
+        path,
+        "overwrite",
+    )
 
 
 def insert_new(
@@ -91,13 +106,14 @@ def insert_new(
     order_by: Sequence[str],
     buckets: int = 16,
 ) -> None:
-    """Append the staged rows whose key is new."""
+    """Append the staged rows whose key is new.
+
+    The files to read are listed before the write starts, and a failed append
+    leaves none behind.
+    """
     target = read_table(spark, path, schema)
-    fresh = materialize(
-        _with_bucket(new_rows(target, staged, key, order_by), schema, key, buckets),
-        "fresh",
-    )
-    _write(fresh, path, "append")
+    fresh = new_rows(target, staged, key, order_by)
+    _write(_with_bucket(fresh, schema, key, buckets), path, "append")
 
 
 def append_rows(
