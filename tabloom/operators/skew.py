@@ -2,9 +2,10 @@
 
 One key may hold a third of the many-side. Adaptive execution splits such a
 partition at run time from its measured size, at no cost when nothing is
-skewed, so that is the first choice; the operators are laid out so that it
-applies (an exchange below the join, and nothing above that needs the join's
-partitioning). Where a session has it switched off, the hot keys are found with
+skewed, so that is the first choice. It only does so when both sides arrive
+through an exchange made for the join and nothing above needs the join's
+partitioning; ``lookup_join`` sees to the first, its callers to the second.
+Where a session has it switched off, the hot keys are found with
 a mergeable frequent-items sketch (one narrow pass, no shuffle by key), split
 into as many salts as their row count asks for, and only their lookup rows are
 repeated. The sketch decides speed only: any set of hot keys gives the same
@@ -56,11 +57,18 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``many`` to ``lookup`` (unique on ``on``), hot keys split.
 
-    ``how`` is inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi or left_anti. A lookup grouped by the key
+    is already partitioned by it and would be joined without an exchange, which
+    rules the split out; a second key derived from the first brings it back.
     """
-    if splits_skew(many.sparkSession):
-        return many.join(lookup, list(on), how)
-    return salted_join(many, lookup, on, how)
+    if not splits_skew(many.sparkSession):
+        return salted_join(many, lookup, on, how)
+    derived = F.pmod(F.hash(*on), F.lit(64)).cast("tinyint")
+    return (
+        many.withColumn(_HASH, derived)
+        .join(lookup.withColumn(_HASH, derived), [*on, _HASH], how)
+        .drop(_HASH)
+    )
 
 
 def salted_join(

@@ -83,8 +83,8 @@ def pairs(spark: SparkSession, folder: str, person: str) -> DataFrame:
 
 
 def bridge(spark: SparkSession, folder: str, person: str) -> DataFrame:
-    """One relation under its primary key."""
-    return pairs(spark, folder, person).distinct()
+    """One relation under its primary key: no nulls, no repeats."""
+    return pairs(spark, folder, person).dropna().distinct()
 
 
 def relations(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:

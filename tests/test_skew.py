@@ -1,7 +1,7 @@
 import pytest
 from conftest import final_plan, rows
 
-from tabloom.operators import encoding, skew
+from tabloom.operators import constraints, encoding, fanout, skew
 
 
 def bridge(spark):
@@ -63,7 +63,8 @@ def test_scores_with_a_hot_film(spark, conf, adaptive):
     assert weighted == pytest.approx(total)
 
 
-def test_adaptive_execution_splits_both_score_joins(spark, conf):
+def splitting(conf):
+    """Limits at which a few thousand rows of one key count as skew."""
     conf(
         autoBroadcastJoinThreshold=-1,
         adaptive__autoBroadcastJoinThreshold=-1,
@@ -72,15 +73,43 @@ def test_adaptive_execution_splits_both_score_joins(spark, conf):
         adaptive__advisoryPartitionSizeInBytes="10KB",
         adaptive__coalescePartitions__enabled="false",
     )
+
+
+def splits(df):
+    """Joins of the executed plan with a split partition."""
+    return final_plan(df).count("skew=true")
+
+
+def test_adaptive_execution_splits_both_score_joins(spark, conf):
+    splitting(conf)
     films = spark.range(60000).selectExpr("id AS movie_id", "id % 5 = 0 AS label")
     by_film = spark.range(60000).selectExpr(
         "id AS person_id", "if(id % 3 = 0, 0, id) AS movie_id"
-    ).repartition(8)
-    plan = final_plan(encoding.person_scores(by_film, films, "person_id"))
-    assert "skew=true" in plan
+    )
+    assert splits(encoding.person_scores(by_film.distinct(), films, "person_id")) == 1
     by_person = spark.range(60000).selectExpr(
         "if(id % 3 = 0, 0, id) AS person_id", "id AS movie_id"
-    ).repartition(8)
-    scores = spark.range(60000).selectExpr("id AS person_id", "0.5D AS avg_score")
-    plan = final_plan(encoding.entity_scores(by_person, scores, "person_id"))
-    assert "skew=true" in plan
+    )
+    scores = encoding.person_scores(by_person, films, "person_id")
+    assert splits(encoding.entity_scores(by_person.distinct(), scores, "person_id")) == 1
+
+
+def test_adaptive_execution_splits_the_fanout_joins(spark, conf):
+    splitting(conf)
+    films = spark.range(60000).selectExpr("id AS movie_id", "id % 5 = 0 AS label")
+    hot_film = spark.range(60000).selectExpr(
+        "id AS director_id", "if(id % 3 = 0, 0, id) AS movie_id"
+    )
+    other = spark.range(60000).selectExpr("id % 7 AS writer_id", "id AS movie_id")
+    assert splits(fanout.person_stats(films, hot_film, other, "director_id")) == 1
+    hot_person = hot_film.selectExpr("movie_id AS director_id", "director_id AS movie_id")
+    stats = fanout.person_stats(films, hot_person, other, "director_id")
+    assert splits(fanout.list_scores(hot_person, stats, "director_id", "d")) == 1
+
+
+@pytest.mark.parametrize("check", [constraints.fk_orphans, constraints.fk_accepted])
+def test_adaptive_execution_splits_the_key_checks(spark, conf, check):
+    splitting(conf)
+    child = spark.range(60000).selectExpr("id", "if(id % 3 = 0, 0, id) AS movie_id")
+    parent = spark.range(0, 60000, 2).selectExpr("id AS movie_id").groupBy("movie_id").count()
+    assert splits(check(child, parent, "movie_id")) == 1
