@@ -63,7 +63,8 @@ def lookup_join(
     """
     if not splits_skew(many.sparkSession):
         return salted_join(many, lookup, on, how)
-    derived = F.pmod(F.hash(*on), F.lit(64)).cast("tinyint")
+    # Six bits, and never null: the planner would add a filter for a null.
+    derived = F.shiftrightunsigned(F.hash(*on), 26)
     return (
         many.withColumn(_HASH, derived)
         .join(lookup.withColumn(_HASH, derived), [*on, _HASH], how)

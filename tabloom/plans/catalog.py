@@ -83,8 +83,13 @@ def pairs(spark: SparkSession, folder: str, person: str) -> DataFrame:
 
 
 def bridge(spark: SparkSession, folder: str, person: str) -> DataFrame:
-    """One relation under its primary key: no nulls, no repeats."""
-    return pairs(spark, folder, person).dropna().distinct()
+    """One relation under its primary key: no nulls, no repeats.
+
+    Plain null checks, so that the joins above add none of their own and share
+    one exchange.
+    """
+    rows = pairs(spark, folder, person)
+    return rows.where(f"{person} IS NOT NULL AND movie_id IS NOT NULL").distinct()
 
 
 def relations(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:
