@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.text import normalise_title
 from tabloom.functions.values import MISSING, release_year, truncate_int
-from tabloom.operators.ordered import quantiles
+from tabloom.operators.ordered import column_quantiles
 
 
 def sentinel_to_null(df: DataFrame, sentinel: str = MISSING) -> DataFrame:
@@ -49,20 +49,7 @@ def medians(
         if weight:
             raise ValueError("the sketch takes no weights")
         return df.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ]
-    )
-    kept = [F.col(weight).alias("weight")] if weight else []
-    per_field = quantiles(
-        df.select(F.inline(pairs), *kept),
-        "value",
-        {"median": 0.5},
-        group_by=["field"],
-        weight="weight" if weight else None,
-    )
+    per_field = column_quantiles(df, columns, {"median": 0.5}, weight=weight)
     return per_field.agg(
         *[F.max(F.when(F.col("field") == c, F.col("median"))).alias(c) for c in columns]
     )

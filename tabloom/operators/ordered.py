@@ -9,7 +9,8 @@ everything that is broadcast here.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,6 +73,7 @@ def running_total(
     name: str = "before",
     total: str | None = None,
     partitions: int | None = None,
+    needed: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add the total weight (or row count) of the earlier rows of the group.
 
@@ -79,21 +81,16 @@ def running_total(
     UNBOUNDED PRECEDING AND 1 PRECEDING)`` with 0 for the first row, but no
     group has to fit into one task. ``order_by`` must be unique inside a group.
     ``total`` names a further column with the weight of the whole group.
+
+    ``needed`` gets a stretch of a group (its first running total, the next one
+    after it, the group's total) and says whether the caller wants its rows;
+    the other stretches are dropped before the windows, as far as whole
+    partitions go.
     """
     groups = list(partition_by)
     rows = _range_sorted(df, [*groups, *order_by], partitions)
     amount = F.col(weight) if weight else F.lit(1).cast("long")
 
-    chunk = Window.partitionBy(_PART, *groups)
-    if weight:
-        earlier = chunk.orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
-        within = F.coalesce(F.sum(amount).over(earlier), F.lit(0))
-    else:
-        within = (F.row_number().over(chunk.orderBy(_POS)) - 1).cast("long")
-    local = rows.withColumn("__within", within)
-    if total:
-        local = local.withColumn("__chunk", F.sum(amount).over(chunk))
-
     chunks = rows.groupBy(_PART, *groups).agg(
         F.sum(amount).alias("__sum"),
         F.min(_POS).alias("__first"),
@@ -112,14 +109,34 @@ def running_total(
     carried = chunks.select(
         F.col(_PART).alias("__cpart"),
         *[F.col(g).alias(f"__c_{g}") for g in groups],
-        F.sum("__sum")
-        .over(whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
-        .alias("__carried"),
+        F.coalesce(
+            F.sum("__sum").over(
+                whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+            ),
+            F.lit(0),
+        ).alias("__carried"),
+        F.col("__sum").alias("__chunk_sum"),
         F.sum("__sum").over(whole).alias("__group"),
     )
     same = F.col(_PART) == F.col("__cpart")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
+    if needed:
+        low = F.col("__carried")
+        unwanted = carried.where(~needed(low, low + F.col("__chunk_sum"), F.col("__group")))
+        rows = rows.join(F.broadcast(unwanted), same, "left_anti")
+
+    chunk = Window.partitionBy(_PART, *groups)
+    if weight:
+        earlier = chunk.orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
+        within = F.coalesce(F.sum(amount).over(earlier), F.lit(0))
+    else:
+        within = (F.row_number().over(chunk.orderBy(_POS)) - 1).cast("long")
+    local = rows.withColumn("__within", within)
+    if total:
+        local = local.withColumn("__chunk", F.sum(amount).over(chunk))
+
+    carried = carried.drop("__chunk_sum")
     out = local.join(F.broadcast(carried), same, "left").withColumn(
         name, F.col("__within") + F.coalesce("__carried", F.lit(0))
     )
@@ -143,6 +160,17 @@ def quantiles(
     """
     groups = list(group_by)
     amount = F.sum(weight) if weight else F.count("*")
+
+    def ranks(size: Column) -> list[Column]:
+        return [
+            edge((size - 1) * F.lit(float(p)))
+            for p in probabilities.values()
+            for edge in (F.floor, F.ceil)
+        ]
+
+    def holds_a_rank(low: Column, high: Column, size: Column) -> Column:
+        return reduce(Column.__or__, [(low <= r) & (r < high) for r in ranks(size)])
+
     ranked = running_total(
         df.dropna(subset=[value])
         .groupBy(*groups, value)
@@ -152,6 +180,7 @@ def quantiles(
         weight="__freq",
         name="__before",
         total="__n",
+        needed=holds_a_rank,
     )
 
     def holds(rank: Column) -> Column:
@@ -180,3 +209,32 @@ def quantiles(
             for n in probabilities
         ],
     )
+
+
+def column_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: dict[str, float],
+    group_by: Sequence[str] = (),
+    weight: str | None = None,
+) -> DataFrame:
+    """Quantiles of several numeric columns in one pass, a ``field`` per row.
+
+    The columns travel by number: an int sorts faster than a name.
+    """
+    cells = [
+        F.struct(F.lit(i).alias("__field"), F.col(c).cast("double").alias("__value"))
+        for i, c in enumerate(columns)
+    ]
+    kept = [*group_by, *([weight] if weight else [])]
+    out = quantiles(
+        df.select(*kept, F.inline(F.array(*cells))),
+        "__value",
+        probabilities,
+        ["__field", *group_by],
+        weight,
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return out.select(
+        F.get(names, F.col("__field")).alias("field"), *group_by, *probabilities
+    )

@@ -9,16 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.ordered import quantiles
-
-
-def _long(df: DataFrame, columns: Sequence[str], kept: Sequence[str] = ()) -> DataFrame:
-    """One (field, value) row per column, values as doubles."""
-    cells = [
-        F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value"))
-        for c in columns
-    ]
-    return df.select(*kept, F.inline(F.array(*cells)))
+from tabloom.operators.ordered import column_quantiles
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -110,20 +101,25 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
 
 def class_quantiles(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Per column and class: count, minimum, quartiles, maximum (exact)."""
-    by = ["field", label]
-    cells = _long(df, columns, [label]).dropna()
-    limits = (
-        cells.groupBy(*by)
-        .agg(
-            F.count("value").alias("n"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
+    known = df.where(F.col(label).isNotNull())
+    limits = known.groupBy(label).agg(
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.min(F.col(c).cast("double")).alias(f"min_{c}") for c in columns],
+        *[F.max(F.col(c).cast("double")).alias(f"max_{c}") for c in columns],
+    )
+    cells = [
+        F.struct(
+            F.lit(c).alias("field"),
+            *[F.col(f"{name}_{c}").alias(name) for name in ("n", "min", "max")],
         )
+        for c in columns
+    ]
+    quartiles = column_quantiles(
+        known, columns, {"q25": 0.25, "median": 0.5, "q75": 0.75}, [label]
     )
-    quartiles = quantiles(
-        cells, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, group_by=by
+    return limits.select(label, F.inline(F.array(*cells))).join(
+        quartiles, ["field", label], "left"
     )
-    return limits.join(quartiles, by)
 
 
 def scatter_points(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1043,3 +1043,12 @@ def compare_dirty_clean(spark, folder):
         ["movie_id"],
         folds=3,
     )
+
+
+@query
+def holdout_accuracy(spark, folder):
+    train = cleaning.split_by_subset(_features(spark, folder))[0]
+    forest = ml.random_forest(_TREES, _DEPTH, _BINS)
+    grid = ml.forest_grid(forest, trees=(5, 10), depths=(2, 4), bins=None)
+    raw = ["runtime_min", "num_votes"]
+    return scoring.holdout_baseline(train, raw, ["movie_id"], forest, grid, folds=3)

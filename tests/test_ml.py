@@ -72,4 +72,5 @@ def test_tuning_and_comparison(spark):
 def test_default_grid_size():
     forest = ml.random_forest()
     assert len(ml.forest_grid(forest)) == 48
+    assert len(ml.accuracy_grid(forest)) == 16
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (300, 10, 20)
