@@ -26,14 +26,12 @@ def person_scores(
 ) -> DataFrame:
     """Per person the share of its entities with a true label.
 
-    Pass the train rows as ``entities``; a person without any is absent.
+    Pass the train rows as ``entities``; a person without any is absent, and
+    ``entity_scores`` gives it 0.5.
     """
     marked = entities.select(key, _is_positive(F.col(label)).alias("__positive"))
     joined = lookup_join(bridge.select(person, key), marked, [key], "inner")
-    share = F.sum("__positive") / F.nullif(F.count("*"), F.lit(0))
-    return joined.groupBy(person).agg(
-        F.coalesce(share, F.lit(UNSEEN)).alias("avg_score")
-    )
+    return joined.groupBy(person).agg(F.avg("__positive").alias("avg_score"))
 
 
 def entity_scores(

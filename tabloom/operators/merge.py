@@ -55,7 +55,8 @@ def upsert(
 
     Conflicts inside the batch are settled first (``keep`` by ``order_by``), so
     both sides are unique on ``key`` and the join cannot skew. A staged null
-    overwrites: presence is a flag, not a coalesce. ``small_stage`` avoids the
+    overwrites: presence is a flag, not a coalesce. A null key matches nothing;
+    take such rows out with ``null_violations`` first. ``small_stage`` avoids the
     full outer join, which would always shuffle the target: a left join and an
     anti join let the planner broadcast the batch when its size allows it.
     """

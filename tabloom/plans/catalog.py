@@ -537,10 +537,16 @@ def fanout_weights(spark, folder):
 
 @query
 def list_scores(spark, folder):
-    rows, directing, writing = _fanout(spark, folder)
-    # The statistics of one half scored on all films: unseen persons occur.
-    early = rows.where("runtime_min <= 10")
-    stats = fanout.person_stats(early, writing, directing, "writer_id")
+    rows, directing, _ = _fanout(spark, folder)
+    # Part and supplier together are rare: many occur outside the train films
+    # only and take the mean.
+    writing = load(spark, folder, "lineitem").select(
+        F.concat_ws("-", "l_partkey", "l_suppkey").alias("writer_id"),
+        F.col("l_orderkey").alias("movie_id"),
+    )
+    stats = fanout.person_stats(
+        rows.where("subset = 'train'"), writing, directing, "writer_id"
+    )
     out = fanout.list_scores(
         writing, materialize(stats, "stats"), "writer_id", "writer"
     )

@@ -102,8 +102,7 @@ def _with(views: str, body: str, more: str = "") -> str:
 def _scores(role: str, bridge: str) -> str:
     return f"""
     {role}_avg AS (
-        SELECT b.{role}_id, COALESCE(SUM(CASE WHEN m.label THEN 1 ELSE 0 END)
-                                     / NULLIF(COUNT(*), 0), 0.5) AS avg_score
+        SELECT b.{role}_id, AVG(CASE WHEN m.label THEN 1.0::DOUBLE ELSE 0 END) AS avg_score
         FROM {bridge} b JOIN movies m ON b.movie_id = m.movie_id
         WHERE m.subset = 'train' GROUP BY b.{role}_id),
     {role}_scores AS (
@@ -380,31 +379,25 @@ def _dataset_features() -> str:
 
 def _list_scores() -> str:
     return _with(
-        "writer_pairs",
+        "movies director_pairs",
         """
         SELECT movie_id,
-               round(SUM(COALESCE(s.m, g.m)) / COUNT(*), 6) AS writer_score_mean_mean,
-               round(SUM(COALESCE(s.s, g.s)) / COUNT(*), 6) AS writer_score_mean_total,
+               round(AVG(COALESCE(s.m, g.m)), 6) AS writer_score_mean_mean,
+               round(AVG(COALESCE(s.s, g.s)), 6) AS writer_score_mean_total,
                round(SUM(COALESCE(s.s, g.s)) - SUM(COALESCE(s.c, g.c)), 6)
                    AS writer_score_total_pos
-        FROM (SELECT DISTINCT movie_id, writer_id FROM writer_pairs) p
-        LEFT JOIN known s ON p.writer_id = s.writer_id, overall g
-        GROUP BY movie_id
-        """,
-        more=f"""
-        movies AS ({_VIEWS["movies"]}), director_pairs AS ({_VIEWS["director_pairs"]}),
-        fan AS (SELECT w.writer_id, m.label FROM movies m
-                JOIN director_pairs d ON m.movie_id = d.movie_id
-                JOIN writer_pairs w ON m.movie_id = w.movie_id WHERE runtime_min <= 10),
-        stats AS (SELECT writer_id, AVG(label::INT) AS m, COALESCE(SUM(label::INT), 0) AS s,
-                         COUNT(label) AS c FROM fan GROUP BY writer_id),
-        -- a known person without a labelled film has no mean and must spoil the sum
-        known AS (SELECT writer_id, COALESCE(m, 'nan'::DOUBLE) AS m, s, c FROM stats),
+        FROM (SELECT DISTINCT movie_id, writer_id FROM rare_pairs) p
+        LEFT JOIN stats s ON p.writer_id = s.writer_id, overall g
+        GROUP BY movie_id""",
+        more="""
+        rare_pairs AS (SELECT l_partkey || '-' || l_suppkey AS writer_id,
+                              l_orderkey AS movie_id FROM lineitem),
+        stats AS (SELECT w.writer_id, AVG(label::INT) AS m, SUM(label::INT) AS s,
+                         COUNT(label) AS c
+                  FROM movies m JOIN director_pairs d ON m.movie_id = d.movie_id
+                                JOIN rare_pairs w ON m.movie_id = w.movie_id
+                  WHERE m.subset = 'train' GROUP BY w.writer_id),
         overall AS (SELECT AVG(m) AS m, AVG(s) AS s, AVG(c) AS c FROM stats)""",
-    ).replace(
-        "round(SUM(COALESCE(s.m, g.m)) / COUNT(*), 6) AS",
-        "round(CASE WHEN isnan(SUM(COALESCE(s.m, g.m))) THEN NULL "
-        "ELSE SUM(COALESCE(s.m, g.m)) / COUNT(*) END, 6) AS",
     )
 
 

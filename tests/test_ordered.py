@@ -62,6 +62,26 @@ def test_weighted_quantile_repeats_the_row(spark):
     assert {r.g: r.m for r in got} == {"x": 20.0, None: 8.0}
 
 
+def test_quantiles_over_many_partitions(spark, conf):
+    conf(adaptive__coalescePartitions__enabled="false", shuffle__partitions=13)
+    random.seed(5)
+    data = [("hot", float(i * 7919 % 1000)) for i in range(800)]
+    data += [(f"g{i % 9}", random.random()) for i in range(90)]
+    df = spark.createDataFrame(data, "g string, v double")
+    probs = {"lo": 0.1, "mid": 0.5, "hi": 0.99}
+    got = {r.g: r for r in ordered.quantiles(df, "v", probs, ["g"]).collect()}
+    assert len(got) == 10
+    for group, row in got.items():
+        values = [v for g, v in data if g == group]
+        for name, p in probs.items():
+            assert row[name] == pytest.approx(np.quantile(values, p))
+    both = ordered.column_quantiles(
+        df.selectExpr("v", "v * 2 AS w"), ["v", "w"], {"mid": 0.5}
+    )
+    mid = np.median([v for _, v in data])
+    assert dict(rows(both)) == {"v": pytest.approx(mid), "w": pytest.approx(2 * mid)}
+
+
 def test_quantiles_of_nulls(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert ordered.quantiles(df, "v", {"m": 0.5}).first().m is None
