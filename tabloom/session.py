@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}  # per application, local mode only
 
 
 def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
@@ -41,13 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(
             f"{_CHECKPOINT_DIR} is unset: name a folder all executors can reach"
         )
-    folder = tempfile.mkdtemp(prefix="tabloom-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tabloom-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
