@@ -17,7 +17,8 @@ import re
 import numpy as np
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-_CACHED_PIECES = 400_000
+_CACHED_PIECES = 250_000
+_CACHED_RANKED = 80_000  # decoding runs in workers of its own beside these
 _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its next tasks
 _AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -39,18 +40,19 @@ class PieceEncoder:
     ``tokenizer`` must be byte-level BPE with the pattern described above.
     """
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, tokenizer: Tokenizer, cached: int = _CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
         tokenizer.no_truncation()
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
+        self.cached = cached
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(text) for text in texts]
-        if len(self._known) > _CACHED_PIECES:  # pieces in use move over again
+        if len(self._known) > self.cached:  # pieces in use move over again
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
         wanted = {x for part in cut for x in part if x not in known}
@@ -144,4 +146,4 @@ def _build(path: str, pattern: str) -> PieceEncoder:
         ]
     )
     tokenizer.decoder = decoders.ByteLevel()
-    return PieceEncoder(tokenizer)
+    return PieceEncoder(tokenizer, _CACHED_RANKED)
