@@ -13,8 +13,10 @@ from __future__ import annotations
 import base64
 import os
 import re
+from collections.abc import Iterator
+from itertools import islice
+from struct import pack
 
-import numpy as np
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
 _CACHED_PIECES = 250_000
@@ -22,6 +24,7 @@ _CACHED_RANKED = 80_000  # decoding runs in workers of its own beside these
 _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its next tasks
 _AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
+_HEAD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
 def pieces(text: str) -> list[str]:
@@ -47,6 +50,9 @@ class PieceEncoder:
         tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
         self.cached = cached
+        # Without a pre-tokenizer: for words that are known to be one match.
+        self._model = Tokenizer(tokenizer.model)
+        self._shown = dict(enumerate(byte_characters()))
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -58,16 +64,52 @@ class PieceEncoder:
         wanted = {x for part in cut for x in part if x not in known}
         if older:
             known.update((x, older[x]) for x in wanted if x in older)
-        new = [x for x in wanted if x not in known]
-        for begin in range(0, len(new), 4096):
-            some = new[begin : begin + 4096]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            known.update(
-                (x, np.array(e.ids, "<u4").tobytes())
-                for x, e in zip(some, found, strict=True)
-            )
+        self._learn([x for x in wanted if x not in known])
         return [b"".join(map(known.__getitem__, part)) for part in cut]
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces: a word at the start and what follows it, each once.
+
+        A run of letters before an ASCII character that is no letter is a
+        match of its own in the pattern.
+        """
+        known = self._known
+        halves: dict[str, int] = {}
+        heads: set[str] = set()
+        others: set[str] = set()
+        for piece in new:
+            found = _HEAD.match(piece)
+            end = found.end() if found else 0
+            if end == len(piece):
+                heads.add(piece)
+            elif end and piece[end] < "\x80":
+                halves[piece] = end
+                heads.add(piece[:end])
+                others.add(piece[end:])
+            else:
+                others.add(piece)
+        shown = self._shown
+        for batch in _batches(x for x in heads if x not in known):
+            spelled = [x.encode().decode("latin-1").translate(shown) for x in batch]
+            self._store(batch, self._model, spelled)
+        for batch in _batches(x for x in others if x not in known):
+            self._store(batch, self.tokenizer, batch)
+        for piece, end in halves.items():
+            known[piece] = known[piece[:end]] + known[piece[end:]]
+
+    def _store(self, batch: list[str], tokenizer: Tokenizer, texts: list[str]) -> None:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self._known.update(
+            (x, pack(f"<{len(ids)}I", *ids))
+            for x, ids in zip(batch, (e.ids for e in found), strict=True)
+        )
+
+
+def _batches(texts: Iterator[str], size: int = 4096) -> Iterator[list[str]]:
+    texts = iter(texts)
+    while batch := list(islice(texts, size)):
+        yield batch
+
 
 def from_json(path: str) -> PieceEncoder:
     """The encoder of a tokenizer file."""
