@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.session import materialize  # noqa: F401
+from tabloom.session import materialize, scratch_path  # noqa: F401
 
 NULL_ID = (1 << 63) - 1
 WORD_GAP = b" \t\n\x0b\x0c\r"  # what bytes.split() splits at
@@ -58,6 +58,27 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Scratch:
+    """Stored steps of one job, which can be dropped once nothing reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[str, str] = {}
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` to the shared folder and return a scan of it (an action)."""
+        path = self._paths[label] = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        release(self.spark)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(label))
+            conf = self.spark._jsc.hadoopConfiguration()
+            path.getFileSystem(conf).delete(path, True)
+
+
 def partitions(rows: int, per_task: int, spark: SparkSession) -> int:
     """Tasks for ``rows``: by size, but not fewer than the cores while rows last."""
     cores = spark.sparkContext.defaultParallelism

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import materialize, release
+from tabloom.llm.common import Scratch
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,17 +18,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbours, so that a node may have any number of links; each round is
     stored, and the number of rounds grows with the logarithm of the size.
     """
-    spark = edges.sparkSession
-    stars = materialize(
+    scratch = Scratch(edges.sparkSession)
+    stars = scratch.store(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct(),
-        "edges",
+        "round-0",
     )
-    state = _state(stars)
+    state, rounds = _state(stars), 0
     while True:
-        stars = materialize(_small_star(_large_star(stars)), "edges")
-        release(spark)
+        rounds += 1
+        stars = scratch.store(_small_star(_large_star(stars)), f"round-{rounds}")
+        scratch.drop(f"round-{rounds - 1}")
         before, state = state, _state(stars)
         if state == before:
             heads = stars.select(F.col("v").alias("u"), "v").distinct()

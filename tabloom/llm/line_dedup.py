@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,14 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import (
+    Scratch,
     forest_edges,
     gram_hashes,
     id_key,
     id_value,
     in_chunk_pairs,
-    materialize,
     mix,
-    release,
     sorted_groups,
 )
 from tabloom.llm.components import connected_components
@@ -27,6 +25,7 @@ from tabloom.llm.components import connected_components
 BANDS, ROWS = 16, 4  # a pair at 0.8 shares no band once in 4,500 times
 SHINGLE = 8  # characters
 CHUNK = 1024
+_FEW = 48  # lines whose sets are compared pair by pair
 _FACTORS = np.random.default_rng(5).integers(
     0, 1 << 32, BANDS * ROWS, np.uint32
 ) | np.uint32(1)
@@ -152,26 +151,45 @@ def similar_pairs(
     """
     sets = [{x[i : i + shingle] for i in range(len(x) - shingle + 1)} for x in lines]
     sizes = np.array([len(s) for s in sets])
-    postings: dict[str, list[int]] = defaultdict(list)
+    if len(sets) <= _FEW:
+        found = [
+            (j, i)
+            for i, own in enumerate(sets)
+            for j, other in enumerate(sets[:i])
+            if (apart is None or apart[i] != apart[j])
+            and min(sizes[i], sizes[j]) >= threshold * max(sizes[i], sizes[j])
+            and _jaccard(own, other) >= threshold
+        ]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+    numbers: dict[str, int] = {}
+    codes = np.fromiter(
+        (numbers.setdefault(x, len(numbers)) for own in sets for x in own), np.int64
+    )
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(codes, kind="stable")
+    postings = owners[order]
+    begins = np.searchsorted(codes[order], np.arange(len(numbers) + 1))
+    ends = np.cumsum(sizes)
     first, second = [], []
-    for i, own in enumerate(sets):
-        met = [postings[s] for s in own if s in postings]
-        if met:
-            shared = np.bincount(np.concatenate(met), minlength=i)
-            union = sizes[i] + sizes[:i] - shared[:i]
-            close = shared[:i] >= threshold * union
-            if apart is not None:
-                close &= apart[:i] != apart[i]
-            found = np.flatnonzero(close)
-            first.append(found)
-            second.append(np.full(len(found), i))
-        for s in own:
-            postings[s].append(i)
-    if not first:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    for i, (end, size) in enumerate(zip(ends, sizes, strict=True)):
+        own = codes[end - size : end]
+        met = [postings[a:b] for a, b in zip(begins[own], begins[own + 1], strict=True)]
+        shared = np.bincount(np.concatenate(met), minlength=len(sets))[:i]
+        close = shared >= threshold * (size + sizes[:i] - shared)
+        if apart is not None:
+            close &= apart[:i] != apart[i]
+        found = np.flatnonzero(close)
+        first.append(found)
+        second.append(np.full(len(found), i))
     return np.concatenate(first), np.concatenate(second)
 
 
+def _jaccard(a: set[str], b: set[str]) -> float:
+    shared = len(a & b)
+    return shared / (len(a) + len(b) - shared)
+
+
 def _links(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float):
     for group in sorted_groups(batches, ["band", "lo", "hi"], least=2):
         two = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
@@ -185,8 +203,8 @@ def line_components(
     rows: DataFrame, least: int, shingle: int, threshold: float
 ) -> DataFrame:
     """Stored table: ``digest`` of each repeated line, ``key`` and ``line`` that stay."""
-    spark = rows.sparkSession
-    lines = materialize(
+    scratch = Scratch(rows.sparkSession)
+    lines = scratch.store(
         _line_rows(rows, least, shingle, bands=True)
         .groupBy("digest")
         .agg(
@@ -197,7 +215,6 @@ def line_components(
         .withColumn("line_id", F.monotonically_increasing_id()),
         "lines",
     )
-    release(spark)
     banded = lines.select(F.explode("bands").alias("band"), "line_id")
     mixed = F.xxhash64("line_id")
     # Bands with the same members say the same: keep one of them.
@@ -213,25 +230,28 @@ def line_components(
         .agg(F.min("band").alias("band"))
         .select("band")
     )
-    meeting = materialize(meeting, "bands")
-    release(spark)
-    members = materialize(banded.join(meeting, "band", "left_semi"), "band-members")
-    release(spark)
+    meeting = scratch.store(meeting, "bands")
+    members = scratch.store(
+        banded.join(meeting, "band", "left_semi"), "band-members"
+    )
+    places = scratch.store(lines.drop("bands"), "line-places")
+    scratch.drop("bands", "lines")
+    lines = places
     wanted = lines.join(members.select("line_id").distinct(), "line_id", "left_semi")
-    texts = materialize(
+    texts = scratch.store(
         _texts_of(
             rows,
             wanted.select("place.key", "place.line", "line_id", "digest"),
         ),
         "line-texts",
     )
-    release(spark)
     # A repeated row gives its lines' texts twice.
     met = members.join(texts.dropDuplicates(["line_id"]), "line_id")
     edges = in_chunk_pairs(met, "band", "line_id", CHUNK).mapInArrow(
         lambda batches: _links(batches, shingle, threshold), "a long, b long"
     )
     components = connected_components(edges)
+    scratch.drop("band-members", "line-texts")
     grouped = lines.select("line_id", "digest", "place", "copies").join(
         components.withColumnRenamed("node", "line_id"), "line_id", "left"
     )
@@ -240,13 +260,13 @@ def line_components(
         .groupBy("component")
         .agg(F.min("place").alias("head"))
     )
-    kept = materialize(
+    kept = scratch.store(
         grouped.where("copies > 1 or component is not null")
         .join(heads, "component", "left")
         .select("digest", F.coalesce("head", "place").alias("stays")),
         "kept-lines",
     )
-    release(spark)
+    scratch.drop("line-places")
     return kept.select("digest", "stays.key", "stays.line")
 
 

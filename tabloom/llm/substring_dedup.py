@@ -7,22 +7,24 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import (
+    Scratch,
     WordHashes,
     binary,
     gram_hashes,
     id_key,
     id_value,
-    materialize,
-    release,
     sliding_min,
 )
 
 GRAM = 5  # words of an anchor
 SHARD = 4000  # stretches, and patterns, of one automaton task
+_BROADCAST_BUCKETS = 100_000
+_SENT = 200_000  # digests a task remembers
 
 
 def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -70,10 +72,14 @@ def _document_anchors(rows: DataFrame, window: int) -> DataFrame:
 
 
 def _stretches(rows: DataFrame, window: int) -> DataFrame:
-    """Text around each of a document's recurring anchors, with its place."""
+    """Text around each of a document's recurring anchors, with its place.
+
+    A text that the task has just passed on is null: its digest stands for it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        sent: set[bytes] = set()
         for batch in batches:
             out = []
             for key, text_hash, text, wanted in zip(
@@ -88,19 +94,45 @@ def _stretches(rows: DataFrame, window: int) -> DataFrame:
                 for i in np.flatnonzero(np.isin(found, np.array(wanted, np.int64))):
                     begin = int(first[i])
                     run = b" ".join(words[begin : int(last[i]) + window])
-                    out.append((int(found[i]), key, text_hash, begin, run.decode()))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
+                    name = xxhash.xxh3_128_digest(run)
+                    shown = None if name in sent else run
+                    sent.add(name)
+                    out.append((int(found[i]), key, text_hash, begin, name, shown))
+            if len(sent) > _SENT:
+                sent.clear()
+            columns = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[i], pa.int64()) for i in range(4)]
-                + [pa.array(columns[4], pa.string())],
-                ["anchor", "key", "text_hash", "begin", "words"],
+                + [
+                    pa.array(columns[4], pa.binary()),
+                    pa.array(columns[5], pa.binary()).cast(pa.string()),
+                ],
+                ["anchor", "key", "text_hash", "begin", "digest", "words"],
             )
 
     return rows.mapInArrow(
-        run, "anchor long, key long, text_hash long, begin long, words string"
+        run,
+        "anchor long, key long, text_hash long, begin long, digest binary, "
+        "words string",
+    )
+
+
+def _different(stretches: DataFrame) -> DataFrame:
+    """One row per stretch text, with the smallest and largest document."""
+    return stretches.groupBy("digest").agg(
+        F.min("anchor").alias("anchor"),
+        F.min("key").alias("low"),
+        F.max("key").alias("high"),
+        F.first("words", ignorenulls=True).alias("words"),
     )
 
 
+def _alone(different: DataFrame) -> DataFrame:
+    """Adds ``alone``: no other stretch text has the anchor."""
+    counts = different.groupBy("anchor").agg((F.count("*") == 1).alias("alone"))
+    return different.join(counts, "anchor")
+
+
 def _windows(rows: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,16 +152,12 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(run, "passage string, anchor long, low long, high long")
 
 
-def recurring_passages(stretches: DataFrame, window: int) -> DataFrame:
-    """Confirmed by their texts: windows of two documents or more, with the smallest id.
+def recurring_passages(different: DataFrame, window: int) -> DataFrame:
+    """Word runs that stand in two documents or more, with the smallest id.
 
-    Equal stretches are merged before they are cut into windows.
+    Taken from stretches that share an anchor; they are cut into windows, which
+    are confirmed by their texts.
     """
-    different = stretches.groupBy("words").agg(
-        F.min("anchor").alias("anchor"),
-        F.min("key").alias("low"),
-        F.max("key").alias("high"),
-    )
     return (
         _windows(different, window)
         .groupBy("passage")
@@ -144,37 +172,34 @@ def recurring_passages(stretches: DataFrame, window: int) -> DataFrame:
 
 
 def locate(
-    passages: list[str], owners: list[int], texts: list[str], keys: list[int]
-) -> list[list[tuple[int, int]]]:
-    """Word spans of each text that passages of a smaller document cover.
+    passages: list[str], owners: list[int], texts: list[str]
+) -> list[list[tuple[int, int, int]]]:
+    """Word spans of each text that are passages, with the passages' owners.
 
     The automaton reads words: a word that occurs in a passage is one
-    character, any other is a character that no passage has.
+    character, any other is a character that no passage has. Spans of one
+    owner that touch are one.
     """
     codes: dict[str, str] = {}
     shift = 0x10000  # beyond the surrogates
     found = ahocorasick.Automaton()
-    width: dict[str, int] = {}
     for passage, owner in zip(passages, owners, strict=True):
         words = passage.split(" ")
         for word in words:
             if word not in codes:
                 codes[word] = chr(shift + len(codes))
-        coded = "".join(map(codes.__getitem__, words))
-        width[coded] = len(words)
-        found.add_word(coded, (owner, len(words)))
+        found.add_word("".join(map(codes.__getitem__, words)), (owner, len(words)))
     found.make_automaton()
-    out: list[list[tuple[int, int]]] = []
-    for text, key in zip(texts, keys, strict=True):
+    out: list[list[tuple[int, int, int]]] = []
+    for text in texts:
         coded = "".join([codes.get(w, "\0") for w in text.split(" ")])
-        spans: list[tuple[int, int]] = []
+        spans: list[tuple[int, int, int]] = []
         for end, (owner, size) in found.iter(coded):
-            if owner < key:
-                begin = end + 1 - size
-                if spans and begin <= spans[-1][1]:
-                    spans[-1] = (spans[-1][0], end + 1)
-                else:
-                    spans.append((begin, end + 1))
+            begin = end + 1 - size
+            if spans and spans[-1][2] == owner and begin <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], end + 1, owner)
+            else:
+                spans.append((begin, end + 1, owner))
         out.append(spans)
     return out
 
@@ -191,6 +216,8 @@ def _shards(rows: DataFrame, other: DataFrame, buckets: int, mine: str) -> DataF
         )
 
     both = slices(rows, "own").join(slices(other, "others"), "bucket")
+    if buckets <= _BROADCAST_BUCKETS:  # a row of 16 bytes each; beyond, a join
+        both = F.broadcast(both)
     theirs = "stream" if mine == "part" else "part"
     return (
         rows.withColumn("bucket", bucket)
@@ -201,40 +228,40 @@ def _shards(rows: DataFrame, other: DataFrame, buckets: int, mine: str) -> DataF
     )
 
 
-def _located(stretches: DataFrame, passages: DataFrame) -> DataFrame:
-    """Spans by document: every occurrence of a passage in a later document.
+def _located(different: DataFrame, passages: DataFrame) -> DataFrame:
+    """Spans of every stretch text, with the smallest document that has each.
 
     Passages and stretches with one anchor share a bucket; a bucket with many
     of either is cut, so that a task compiles and streams bounded shares.
     """
-    buckets = max(1, -(-stretches.count() // SHARD))
+    buckets = max(1, -(-different.count() // SHARD))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys = left.column("key").to_pylist()
         spans = locate(
             right.column("passage").to_pylist(),
             right.column("owner").to_pylist(),
             left.column("words").to_pylist(),
-            keys,
         )
-        at = [i for i, s in enumerate(spans) for _ in s]
-        begins = left.column("begin").to_numpy()
-        ends = [(begins[i] + b, begins[i] + e) for i, s in enumerate(spans) for b, e in s]
-        rows = pa.array(at, pa.int64())
+        at = pa.array([i for i, s in enumerate(spans) for _ in s], pa.int64())
+        flat = [x for s in spans for x in s]
         return pa.table(
             {
-                "key": left.column("key").take(rows),
-                "text_hash": left.column("text_hash").take(rows),
-                "begin": pa.array([b for b, _ in ends], pa.int64()),
-                "end": pa.array([e for _, e in ends], pa.int64()),
+                "digest": left.column("digest").take(at),
+                "from": pa.array([b for b, _, _ in flat], pa.int64()),
+                "to": pa.array([e for _, e, _ in flat], pa.int64()),
+                "owner": pa.array([o for _, _, o in flat], pa.int64()),
             }
         )
 
     shard = ["bucket", "part", "stream"]
-    streamed = _shards(stretches, passages, buckets, "stream").groupBy(*shard)
-    compiled = _shards(passages, stretches, buckets, "part").groupBy(*shard)
-    return streamed.cogroup(compiled).applyInArrow(
-        run, "key long, text_hash long, begin long, end long"
+    streamed = _shards(
+        different.select("digest", "anchor", "words"), passages, buckets, "stream"
+    )
+    compiled = _shards(passages, different, buckets, "part")
+    return (
+        streamed.groupBy(*shard)
+        .cogroup(compiled.groupBy(*shard))
+        .applyInArrow(run, "digest binary, from long, to long, owner long")
     )
 
 
@@ -245,38 +272,64 @@ def removed_spans(
     text_column: str = "text",
 ) -> DataFrame:
     """Stored table: ``key``, ``text_hash`` and ``spans`` of words to remove."""
-    spark = docs.sparkSession
+    scratch = Scratch(docs.sparkSession)
     rows = _keyed(docs, id_column, text_column)
     occurrences = _document_anchors(rows, window)
-    recurring = materialize(
+    recurring = scratch.store(
         occurrences.groupBy("anchor")
         .agg(F.min("key").alias("low"), F.max("key").alias("high"))
         .where("low < high")
         .select("anchor"),
         "recurring-anchors",
     )
-    release(spark)
-    by_document = materialize(
+    by_document = scratch.store(
         occurrences.join(recurring, "anchor", "left_semi")
         .groupBy("key")
         .agg(F.collect_set("anchor").alias("anchors")),
         "document-anchors",
     )
-    release(spark)
-    keyed = _keyed(docs, id_column, text_column, F.xxhash64(text_column).alias("text_hash"))
-    stretches = materialize(
+    scratch.drop("recurring-anchors")
+    text_hash = F.xxhash64(text_column).alias("text_hash")
+    keyed = _keyed(docs, id_column, text_column, text_hash)
+    stretches = scratch.store(
         _stretches(keyed.join(by_document, "key"), window), "stretches"
     )
-    release(spark)
-    passages = materialize(recurring_passages(stretches, window), "passages")
-    release(spark)
-    spans = materialize(
-        _located(stretches, passages)
+    scratch.drop("document-anchors")
+    merged = scratch.store(_different(stretches), "merged")
+    places = scratch.store(
+        stretches.select("digest", "key", "text_hash", "begin"), "places"
+    )
+    scratch.drop("stretches")
+    # A text whose anchor has no other text can only recur as a whole.
+    marked = _alone(merged)
+    whole = marked.where("alone and low < high").select(
+        "digest",
+        F.lit(0).cast("long").alias("from"),
+        F.size(F.split("words", " ")).cast("long").alias("to"),
+        F.col("low").alias("owner"),
+    )
+    whole = scratch.store(whole, "whole")
+    different = scratch.store(marked.where("not alone"), "different")
+    scratch.drop("merged")
+    passages = scratch.store(recurring_passages(different, window), "passages")
+    located = scratch.store(_located(different, passages), "located")
+    scratch.drop("different", "passages")
+    # Every place of a stretch takes over what was found in its text.
+    spans = scratch.store(
+        places.join(located.unionByName(whole), "digest")
+        .where("owner < key")
         .groupBy("key", "text_hash")
-        .agg(F.collect_set(F.struct("begin", "end")).alias("spans")),
+        .agg(
+            F.collect_set(
+                F.struct(
+                    (F.col("begin") + F.col("from")).alias("begin"),
+                    (F.col("begin") + F.col("to")).alias("end"),
+                )
+            ).alias("spans")
+        ),
         "spans",
     )
-    release(spark)
+    scratch.drop("places", "located", "whole")
     return spans
 
 
