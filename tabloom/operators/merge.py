@@ -49,16 +49,13 @@ def upsert(
     *,
     keep: str = "first",
     defaults: Mapping[str, object] | None = None,
-    small_stage: bool = False,
 ) -> DataFrame:
     """Insert new keys; on existing keys overwrite ``update_cols`` only.
 
     Conflicts inside the batch are settled first (``keep`` by ``order_by``), so
     both sides are unique on ``key`` and the join cannot skew. A staged null
     overwrites: presence is a flag, not a coalesce. A null key matches nothing;
-    take such rows out with ``null_violations`` first. ``small_stage`` avoids the
-    full outer join, which would always shuffle the target: a left join and an
-    anti join let the planner broadcast the batch when its size allows it.
+    take such rows out with ``null_violations`` first.
     """
     key = list(key)
     one = conform(keep_one(staged, key, order_by, keep), target, defaults)
@@ -67,10 +64,7 @@ def upsert(
         *[F.col(c).alias(f"__s_{c}") for c in target.columns if c not in key],
         F.lit(True).alias("__staged"),
     )
-    if small_stage:
-        both = target.withColumn("__old", F.lit(True)).join(renamed, key, "left")
-    else:
-        both = target.withColumn("__old", F.lit(True)).join(renamed, key, "full_outer")
+    both = target.withColumn("__old", F.lit(True)).join(renamed, key, "full_outer")
 
     def merged(name: str) -> Column:
         if name in key:
@@ -82,11 +76,7 @@ def upsert(
             takes_new = F.col("__old").isNull()
         return F.when(takes_new, new).otherwise(F.col(name)).alias(name)
 
-    result = both.select(*[merged(c) for c in target.columns])
-    if small_stage:
-        known = target.select(*key).join(renamed.select(*key), key, "left_semi")
-        result = result.unionByName(one.join(known, key, "left_anti"))
-    return result
+    return both.select(*[merged(c) for c in target.columns])
 
 
 def new_rows(

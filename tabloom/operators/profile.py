@@ -128,9 +128,9 @@ def scatter_points(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    """One row: the share of true labels among all rows."""
+    """One row: the share of true labels among the labelled rows."""
     return df.agg(
-        F.try_divide(F.sum(F.col(label).cast("int")), F.count("*")).alias("share_true")
+        F.try_divide(F.sum(F.col(label).cast("int")), F.count(label)).alias("share_true")
     )
 
 

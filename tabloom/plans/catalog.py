@@ -378,7 +378,6 @@ def upsert_small_stage(spark, folder):
         ["o_custkey"],
         ["l_extendedprice", "l_suppkey", "o_custkey"],
         keep="last",
-        small_stage=True,
     )
 
 

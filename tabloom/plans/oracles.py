@@ -615,7 +615,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "class_balance": _with(
             "movies",
-            "SELECT round(SUM(label::INT) / COUNT(*), 6) AS share_true FROM movies",
+            "SELECT round(SUM(label::INT) / COUNT(label), 6) AS share_true FROM movies",
         ),
         "correlation": _correlation(),
         "histogram": _histogram(),

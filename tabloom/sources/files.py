@@ -17,12 +17,14 @@ def list_inputs(spark: SparkSession, folder: str) -> DataFrame:
     The contents are not read. The part files of ``train-1.csv/`` count one by
     one, each with the folder's name in front.
     """
-    mark = "/" + folder.rstrip("/").rsplit("/", 1)[-1] + "/"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = files.makeQualified(path).toString().rstrip("/")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(folder)
-        .select(F.substring_index("path", mark, -1).alias("file_name"), "path")
+        .select(F.substr("path", F.lit(len(root) + 2)).alias("file_name"), "path")
     )
 
 
@@ -31,21 +33,18 @@ def read_csv(
     paths: str | Sequence[str],
     columns: Sequence[str],
     null_tokens: Sequence[str] = (*PANDAS_NULLS, MISSING),
-    has_index: bool = True,
 ) -> DataFrame:
     """CSV parts with a header, every column as text, no schema inference.
 
-    The unnamed first column is a row index and is dropped. Text in
-    ``null_tokens`` becomes null, and so does empty text in any case.
+    Columns are taken by their names in the header of the first part, which the
+    other parts must share; a missing one fails. The unnamed first column is
+    a row index and is dropped. Text in ``null_tokens`` becomes null, and so
+    does empty text in any case.
     """
-    names = ["_index", *columns] if has_index else list(columns)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .csv(paths)
-    )
+    raw = spark.read.option("header", True).option("escape", '"').csv(paths)
+    absent = [c for c in columns if c not in raw.columns]
+    if absent:
+        raise ValueError(f"no columns {absent} among {raw.columns} in {paths}")
     return raw.select(
         *[null_if_in(F.col(c), null_tokens).alias(c) for c in columns]
     )

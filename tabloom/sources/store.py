@@ -3,14 +3,16 @@
 A table is partitioned by a hash bucket of its key. An upsert reads and
 rewrites only the buckets its batch touches (dynamic partition overwrite); an
 insert-ignore only appends. Both can be repeated after a failure with the same
-result, so the caller commits its ledger last. The bucket count belongs to the
-table: pass the same one on every call.
+result, so the caller commits its ledger last; but an upsert that is lost while
+it puts its buckets in place leaves the table to be restored first. The bucket
+count belongs to the table: it is stored with it, and another one is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,8 +21,7 @@ from tabloom.operators.merge import conform, new_rows, upsert
 from tabloom.session import materialize, read_if_exists
 
 BUCKET = "bucket"
-# Up to here a batch is joined so that the planner may broadcast it.
-SMALL_BATCH_ROWS = 1_000_000
+_LAYOUT = "_layout"  # beside the data; readers of the table pass over it
 
 
 def _with_bucket(
@@ -43,6 +44,19 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return _empty(spark, schema) if stored is None else stored.select(*schema.names)
 
 
+def _check_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    layout = f"{path}/{_LAYOUT}"
+    try:
+        stored = spark.read.schema("buckets int").json(layout).head()["buckets"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.json(layout)
+        return
+    if stored != buckets:
+        raise ValueError(f"{path} has {stored} buckets, not {buckets}")
+
+
 def _write(df: DataFrame, path: str, mode: str) -> None:
     # One task per bucket would put a large bucket through one task; the batch
     # is spread by bucket and a row hash instead, and AQE sizes the tasks.
@@ -68,6 +82,7 @@ def upsert_into(
     buckets: int = 16,
 ) -> None:
     """Merge ``staged`` into the table; only touched buckets are rewritten."""
+    _check_buckets(spark, path, buckets)
     stored = read_if_exists(spark, path)
     empty = _empty(spark, schema)
     if stored is None:
@@ -87,7 +102,6 @@ def upsert_into(
         update_cols,
         order_by,
         keep=keep,
-        small_stage=batch.count() <= SMALL_BATCH_ROWS,  # read from file footers
     )
     # The result is stored before the partitions it was read from are replaced.
     _write(
@@ -111,6 +125,7 @@ def insert_new(
     The files to read are listed before the write starts, and a failed append
     leaves none behind.
     """
+    _check_buckets(spark, path, buckets)
     target = read_table(spark, path, schema)
     fresh = new_rows(target, staged, key, order_by)
     _write(_with_bucket(fresh, schema, key, buckets), path, "append")

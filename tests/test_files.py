@@ -171,3 +171,31 @@ def test_scored_files_can_be_read_back_in_order(spark, tmp_path):
     )
     numbered = ordered.number_rows(lines, ["f", "at"])
     assert numbered.where("label <> (row_num > 21)").count() == 0
+
+
+def test_csv_columns_go_by_their_names(spark, tmp_path):
+    write(tmp_path / "a.csv", ",votes,runtime\n0,777,90\n")
+    got = files.read_csv(spark, str(tmp_path / "a.csv"), ["runtime", "votes"])
+    assert rows(got) == [("90", "777")]
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(tmp_path / "a.csv"), ["year"])
+
+
+def test_names_are_relative_to_the_folder_itself(spark, tmp_path):
+    folder = tmp_path / "staging"
+    write(folder / "train-2.csv", "x")
+    write(folder / "staging" / "train-2.csv", "x")
+    got = files.list_inputs(spark, str(folder)).select("file_name")
+    assert rows(got) == [("staging/train-2.csv",), ("train-2.csv",)]
+
+
+def test_another_bucket_count_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = spark.createDataFrame([], "k int, v string, o int").schema
+    staged = spark.createDataFrame([(i, "a", 0) for i in range(50)], schema)
+    args = (spark, path, schema, staged, ["k"], ["v"], ["o"])
+    store.upsert_into(*args, buckets=8)
+    with pytest.raises(ValueError):
+        store.upsert_into(*args, buckets=5)
+    store.upsert_into(*args, buckets=8)
+    assert store.read_table(spark, path, schema).count() == 50

@@ -22,8 +22,7 @@ def test_upsert_overwrites_listed_columns_only(spark):
     target = frame(spark, [(1, "x", "old"), (2, "y", "old")])
     staged = frame(spark, [(1, "new", "z", 0), (3, "c", "z", 0)], STAGED)
     expected = [(1, "new", "old"), (2, "y", "old"), (3, "c", "z")]
-    for small in (False, True):
-        assert rows(upsert(target, staged, small_stage=small)) == expected
+    assert rows(upsert(target, staged)) == expected
 
 
 def test_staged_null_overwrites(spark):
@@ -53,7 +52,6 @@ def test_upsert_is_idempotent_and_complete(spark, old, new):
         expected[k] = (v, expected[k][1] if k in old else "new")
     assert rows(once) == sorted(((k, *v) for k, v in expected.items()), key=repr)
     assert rows(upsert(once, staged)) == rows(once)
-    assert rows(upsert(target, staged, small_stage=True)) == rows(once)
 
 
 def test_insert_ignore_never_changes_a_row(spark):
