@@ -132,4 +132,60 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # DuckDB twins. The others have none: their hashes, token ids or models are not SQL.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)),
+                            lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+        covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n
+            FROM (SELECT doc_id, i FROM windows
+                  QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), range(3) AS r(k)
+            GROUP BY doc_id),
+        m AS (
+            SELECT d.doc_id, len(w)::BIGINT AS n_words,
+                length(array_to_string(w, ''))::BIGINT AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+                coalesce(n, 0)::BIGINT AS n_repeat_words,
+                len(l) AS n_lines,
+                length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_case,
+                length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters,
+                length(regexp_replace(t, '[^!]', '', 'g')) AS marks
+            FROM d LEFT JOIN covered USING (doc_id)),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words
+                  AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            base_failed,
+            NOT (base_failed OR 20 * n_symbols > word_chars OR 2 * upper_case > letters
+                 OR 50 * marks > word_chars OR 2 * n_dup_lines > n_lines
+                 OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+        FROM b""",
+    "op8_cover_tree": r"""
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+                  = len(embedding)
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+                AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+        reach AS (
+            SELECT vec_id, vec_id AS r FROM embeddings
+            UNION
+            SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a),
+        least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+        degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
+            vec_id = component_id AS kept
+        FROM least LEFT JOIN degree USING (vec_id)""",
+}
