@@ -14,7 +14,8 @@ import base64
 import os
 import re
 from collections.abc import Iterator
-from itertools import islice
+from itertools import compress, islice
+from operator import not_
 from struct import pack
 
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
@@ -50,8 +51,8 @@ class PieceEncoder:
         tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
         self.cached = cached
-        # Without a pre-tokenizer: for words that are known to be one match.
-        self._model = Tokenizer(tokenizer.model)
+        # Past the pre-tokenizer: for words that are known to be one match.
+        self._match = tokenizer.model.tokenize
         self._shown = dict(enumerate(byte_characters()))
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -61,11 +62,18 @@ class PieceEncoder:
         if len(self._known) > self.cached:  # pieces in use move over again
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
-        wanted = {x for part in cut for x in part if x not in known}
+        found = [list(map(known.get, part)) for part in cut]
+        wanted: set[str] = set()
+        for part, ids in zip(cut, found, strict=True):
+            if not all(ids):
+                wanted.update(compress(part, map(not_, ids)))
         if older:
             known.update((x, older[x]) for x in wanted if x in older)
         self._learn([x for x in wanted if x not in known])
-        return [b"".join(map(known.__getitem__, part)) for part in cut]
+        return [
+            b"".join(ids if all(ids) else [i or known[x] for i, x in zip(ids, part)])
+            for part, ids in zip(cut, found, strict=True)
+        ]
 
     def _learn(self, new: list[str]) -> None:
         """Encode pieces: a word at the start and what follows it, each once.
@@ -89,16 +97,18 @@ class PieceEncoder:
             else:
                 others.add(piece)
         shown = self._shown
-        for batch in _batches(x for x in heads if x not in known):
-            spelled = [x.encode().decode("latin-1").translate(shown) for x in batch]
-            self._store(batch, self._model, spelled)
+        for head in heads:
+            if head not in known:
+                spelled = head.encode().decode("latin-1").translate(shown)
+                ids = [token.id for token in self._match(spelled)]
+                known[head] = pack(f"<{len(ids)}I", *ids)
         for batch in _batches(x for x in others if x not in known):
-            self._store(batch, self.tokenizer, batch)
+            self._store(batch)
         for piece, end in halves.items():
             known[piece] = known[piece[:end]] + known[piece[end:]]
 
-    def _store(self, batch: list[str], tokenizer: Tokenizer, texts: list[str]) -> None:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _store(self, batch: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
         self._known.update(
             (x, pack(f"<{len(ids)}I", *ids))
             for x, ids in zip(batch, (e.ids for e in found), strict=True)
