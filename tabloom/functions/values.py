@@ -65,8 +65,9 @@ def is_staged_file(name: Column) -> Column:
 def file_route(name: Column, loose: bool = False) -> Column:
     """Where a staged file goes: val, test, train, a relation's stem, or null.
 
-    The loose routing takes any 'validation' or 'test' in the name and calls
-    every other CSV file train.
+    A relation is named by the first folder or file of the name that carries
+    .json, up to its first dot. The loose routing takes any 'validation' or
+    'test' in the name and calls every other CSV file train.
     """
     val, test = ("validation", "test") if loose else (
         "validation_hidden.csv",
@@ -75,7 +76,10 @@ def file_route(name: Column, loose: bool = False) -> Column:
     is_csv = name.contains(".csv")
     train = is_csv if loose else is_csv & name.contains("train")
     return (
-        F.when(name.contains(".json"), F.split_part(name, F.lit("."), F.lit(1)))
+        F.when(
+            name.contains(".json"),
+            F.regexp_extract(name, r"([^/.]*)[^/]*\.json", 1),
+        )
         .when(is_csv & name.contains(val), "val")
         .when(is_csv & name.contains(test), "test")
         .when(train, "train")

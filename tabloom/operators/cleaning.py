@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom import schemas
 from tabloom.functions.text import normalise_title
 from tabloom.functions.values import MISSING, release_year, truncate_int
 from tabloom.operators.ordered import column_quantiles
@@ -128,8 +129,10 @@ def split_by_subset(
 def clean_movies(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Staged film rows in table form, and the rows rejected for lack of an id or year.
 
-    ``raw`` holds the stacked raw columns and ``subset``; numbers are text.
+    ``raw`` holds the stacked raw columns and ``subset``; numbers are text. Other
+    columns stay as they are.
     """
+    taken = {*schemas.RAW_TRAIN, "subset"}
     typed = raw.select(
         F.col("tconst").alias("movie_id"),
         F.col("primaryTitle").alias("primary_title"),
@@ -141,6 +144,7 @@ def clean_movies(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("numVotes").try_cast("double").alias("num_votes"),
         F.col("label").try_cast("boolean").alias("label"),
         "subset",
+        *[c for c in raw.columns if c not in taken],
     )
     complete = F.col("start_year").isNotNull() & F.col("movie_id").isNotNull()
     filled = impute_median(typed, ["runtime_min", "num_votes"])

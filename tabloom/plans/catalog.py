@@ -937,6 +937,74 @@ def etl_relations(spark, folder):
     )
 
 
+def _orders_as_films(spark, folder) -> DataFrame:
+    """Orders as raw film rows, the columns in another order than the declared one."""
+    nothing = F.lit(None).cast("string")
+    return load(spark, folder, "orders").select(
+        F.lit("True").alias("label"),
+        F.col("o_custkey").cast("string").alias("numVotes"),
+        F.dayofyear("o_orderdate").cast("string").alias("runtimeMinutes"),
+        nothing.alias("endYear"),
+        F.year("o_orderdate").cast("string").alias("startYear"),
+        nothing.alias("originalTitle"),
+        F.col("o_orderpriority").alias("primaryTitle"),
+        F.concat(F.lit("tt"), "o_orderkey").alias("tconst"),
+    )
+
+
+@query
+def etl_column_order(spark, folder):
+    """CSV columns go by their names in the header."""
+    root = scratch_path(spark, "etl")
+    _write_csv(_orders_as_films(spark, folder), f"{root}/staging/train-1.csv")
+    film_etl.run(spark, f"{root}/staging", f"{root}/store")
+    movies = film_etl.table(spark, f"{root}/store", "movies")
+    return movies.select("movie_id", "start_year", "runtime_min", "num_votes")
+
+
+@query
+def etl_late_film(spark, folder):
+    """Pairs that arrive before their film are stored once it is there."""
+    root = scratch_path(spark, "etl")
+    staging, stored = f"{root}/staging", f"{root}/store"
+    rows = _orders_as_films(spark, folder)
+    early = F.col("tconst").endswith("1")
+    film = F.concat(F.lit("tt"), F.col("l_orderkey")).alias("movie")
+    load(spark, folder, "lineitem").select(
+        film, F.concat(F.lit("nm"), "l_suppkey").alias("director")
+    ).write.json(f"{staging}/directing.json")
+    _write_csv(rows.where(early), f"{staging}/train-1.csv")
+    film_etl.run(spark, staging, stored, json_layout="lines")
+    _write_csv(rows.where(~early), f"{staging}/train-2.csv")
+    film_etl.run(spark, staging, stored, json_layout="lines")
+    return film_etl.table(spark, stored, "directing").select("director_id", "movie_id")
+
+
+@query
+def etl_first_row_wins(spark, folder):
+    """Of several staged rows of one film the first one of the file is taken."""
+    root = scratch_path(spark, "etl")
+    number = F.col("l_linenumber").cast("string")
+    rows = (
+        load(spark, folder, "lineitem")
+        .orderBy("l_orderkey", F.desc("l_linenumber"))
+        .select(
+            F.concat(F.lit("tt"), "l_orderkey").alias("tconst"),
+            F.concat(F.lit("Line "), number).alias("primaryTitle"),
+            F.lit(None).cast("string").alias("originalTitle"),
+            F.lit("2000").alias("startYear"),
+            F.lit(None).cast("string").alias("endYear"),
+            F.lit("90").alias("runtimeMinutes"),
+            number.alias("numVotes"),
+            F.lit("True").alias("label"),
+        )
+    )
+    _write_csv(rows, f"{root}/staging/train-1.csv")
+    film_etl.run(spark, f"{root}/staging", f"{root}/store")
+    movies = film_etl.table(spark, f"{root}/store", "movies")
+    return movies.select("movie_id", "primary_title", "num_votes")
+
+
 # --- models --------------------------------------------------------------------------------
 
 # Small settings: the registered queries show the path, parameters set the size.

@@ -1,7 +1,9 @@
 """Staged files to the four stored tables, incrementally.
 
 Films go first (the relations refer to them), the ledger last: a run that dies
-in between is repeated without harm.
+in between is repeated without harm. Nothing is lost: pairs whose film has not
+arrived wait in a table of their own and are tried again by every run, and film
+rows without an id or a year are stored by the file they came from.
 """
 
 from __future__ import annotations
@@ -10,11 +12,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom import schemas
 from tabloom.functions.values import file_route
 from tabloom.operators.cleaning import clean_bridge, clean_movies, tag_subsets
 from tabloom.operators.constraints import fk_accepted, fk_orphans
+from tabloom.session import read_if_exists
 from tabloom.sources import files, ledger, store
 
 RELATIONS = {
@@ -25,7 +29,7 @@ RELATIONS = {
 
 @dataclass
 class LoadResult:
-    """What one run loaded and what it set aside."""
+    """What one run loaded and ignored, its rejected films, all waiting pairs."""
 
     loaded: list[str] = field(default_factory=list)
     ignored: list[str] = field(default_factory=list)
@@ -44,6 +48,21 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return store.read_table(spark, f"{root}/{name}", schema)
 
 
+def waiting(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Pairs of directing or writing whose film has not arrived yet."""
+    pairs = _pair_schema(RELATIONS[name][1])
+    return store.read_version(spark, f"{root}/waiting_{name}", pairs)
+
+
+def rejected(spark: SparkSession, root: str) -> DataFrame | None:
+    """Film rows without an id or a year, with the file they came from."""
+    return read_if_exists(spark, f"{root}/rejected_movies")
+
+
+def _pair_schema(person: str) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in (person, "movie_id")])
+
+
 def run(
     spark: SparkSession,
     staging: str,
@@ -58,7 +77,8 @@ def run(
 
     Any mix of new files will do; a file that matches no route is not recorded.
     An upsert keeps title_changed and title_length of a known film as they
-    were, unless ``refresh_derived``.
+    were, unless ``refresh_derived``. Of several staged rows of one film the
+    first one counts, by file path and then as they stand in the file.
     """
     listing = ledger.new_files(
         files.list_inputs(spark, staging), ledger.read_ledger(spark, f"{root}/processed_files")
@@ -81,6 +101,7 @@ def run(
             spark,
             paths(subset),
             schemas.RAW_TRAIN if subset == "train" else schemas.RAW_UNLABELLED,
+            place="place",
         )
         for subset in ("train", "val", "test")
         if paths(subset)
@@ -89,7 +110,13 @@ def run(
         staged = tag_subsets(parts)
         if "label" not in staged.columns:
             staged = staged.withColumn("label", F.lit(None).cast("string"))
-        movies, result.rejected_movies = clean_movies(staged)
+        movies, broken = clean_movies(staged)
+        store.replace_parts(
+            broken.withColumn("file", F.col("place.file")).drop("place"),
+            f"{root}/rejected_movies",
+            "file",
+        )
+        result.rejected_movies = broken.drop("place")
         derived = ["title_changed", "title_length"] if refresh_derived else []
         store.upsert_into(
             spark,
@@ -98,17 +125,20 @@ def run(
             movies,
             ["movie_id"],
             [*schemas.MOVIE_UPDATE_COLS, *derived],
-            # The batch has no reliable file order; content decides.
-            [c for c in movies.columns if c != "movie_id"],
+            ["place"],
             buckets=buckets,
         )
     for name, (raw_person, person, schema) in RELATIONS.items():
-        if not paths(name):
+        before = waiting(spark, root, name)
+        if paths(name):
+            raw = files.read_json(spark, paths(name), ["movie", raw_person], json_layout)
+            new = clean_bridge(raw, {raw_person: person, "movie": "movie_id"})
+            pairs = new.unionByName(before).distinct()
+        elif parts and not before.isEmpty():
+            pairs = before
+        else:
             continue
-        raw = files.read_json(spark, paths(name), ["movie", raw_person], json_layout)
-        pairs = clean_bridge(raw, {raw_person: person, "movie": "movie_id"})
         movies = table(spark, root, "movies")
-        result.orphans[name] = fk_orphans(pairs, movies, "movie_id")
         store.insert_new(
             spark,
             f"{root}/{name}",
@@ -118,6 +148,10 @@ def run(
             [person],
             buckets=buckets,
         )
+        store.write_version(
+            spark, f"{root}/waiting_{name}", fk_orphans(pairs, movies, "movie_id")
+        )
+        result.orphans[name] = waiting(spark, root, name)
     if result.loaded:
         ledger.commit_files(spark, f"{root}/processed_files", result.loaded)
     return result

@@ -685,6 +685,20 @@ def oracle_sql() -> dict[str, str]:
                       num_votes > 500 AS label FROM movies""",
         ),
         "etl_movies": _ETL_MOVIES,
+        "etl_column_order": """
+            SELECT 'tt' || o_orderkey AS movie_id,
+                   CAST(year(o_orderdate) AS INT) AS start_year,
+                   CAST(dayofyear(o_orderdate) AS INT) AS runtime_min,
+                   CAST(o_custkey AS INT) AS num_votes
+            FROM orders""",
+        "etl_late_film": """
+            SELECT DISTINCT 'nm' || l_suppkey AS director_id, 'tt' || l_orderkey AS movie_id
+            FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""",
+        "etl_first_row_wins": """
+            SELECT 'tt' || l_orderkey AS movie_id,
+                   'line ' || max(l_linenumber) AS primary_title,
+                   CAST(max(l_linenumber) AS INT) AS num_votes
+            FROM lineitem GROUP BY l_orderkey""",
         "etl_relations": " UNION ALL ".join(
             f"""SELECT DISTINCT 'nm' || ({key} + 1000000) AS person_id,
                        'tt' || (l_orderkey + 1000000) AS movie_id, '{name}' AS relation

@@ -33,21 +33,31 @@ def read_csv(
     paths: str | Sequence[str],
     columns: Sequence[str],
     null_tokens: Sequence[str] = (*PANDAS_NULLS, MISSING),
+    place: str | None = None,
 ) -> DataFrame:
     """CSV parts with a header, every column as text, no schema inference.
 
     Columns are taken by their names in the header of the first part, which the
     other parts must share; a missing one fails. The unnamed first column is
     a row index and is dropped. Text in ``null_tokens`` becomes null, and so
-    does empty text in any case.
+    does empty text in any case. ``place`` adds a column of that name which
+    orders rows by file path and, within a file, as they stand there.
     """
     raw = spark.read.option("header", True).option("escape", '"').csv(paths)
     absent = [c for c in columns if c not in raw.columns]
     if absent:
         raise ValueError(f"no columns {absent} among {raw.columns} in {paths}")
-    return raw.select(
-        *[null_if_in(F.col(c), null_tokens).alias(c) for c in columns]
-    )
+    found = [null_if_in(F.col(c), null_tokens).alias(c) for c in columns]
+    if place:
+        # A task reads a block from its start, so its own row numbers ascend.
+        found.append(
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias(place)
+        )
+    return raw.select(*found)
 
 
 def read_json(

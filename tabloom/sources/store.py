@@ -131,6 +131,47 @@ def insert_new(
     _write(_with_bucket(fresh, schema, key, buckets), path, "append")
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions below ``path``, ascending."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    names = [status.getPath().getParent().getName() for status in found or []]
+    return sorted(int(name.partition("=")[2]) for name in names)
+
+
+def read_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest complete version, or an empty frame before the first one."""
+    versions = _versions(spark, path)
+    if not versions:
+        return _empty(spark, schema)
+    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}")
+
+
+def write_version(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Replace a small table: readers see the old version until the new one is whole.
+
+    ``rows`` may be read from the table itself. The version before the new one
+    stays for readers that have begun; older ones are deleted.
+    """
+    versions = _versions(spark, path)
+    number = versions[-1] + 1 if versions else 1
+    # Overwrite: a lost run may have left part of this version.
+    rows.write.mode("overwrite").parquet(f"{path}/version={number}")
+    for old in versions[:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_parts(rows: DataFrame, path: str, part: str) -> None:
+    """Store rows by the value of ``part``, replacing what it had before."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(part)
+        .parquet(path)
+    )
+
+
 def append_rows(
     spark: SparkSession, path: str, schema: StructType, staged: DataFrame
 ) -> None:

@@ -146,6 +146,49 @@ def test_etl_repeats_a_run_that_lost_its_ledger(spark, staging, monkeypatch):
         assert rows(film_etl.table(spark, root, name).drop("audit_time")) == expected
 
 
+def test_etl_keeps_what_it_cannot_place_yet(spark, tmp_path):
+    folder, root = tmp_path / "staging", str(tmp_path / "store")
+    pairs = [{"movie": f"tt000000{i}", "director": "nm1"} for i in (1, 2, 3)]
+    # In a folder: the stem behind the last slash is the relation.
+    write(folder / "d1" / "directing.json", "\n".join(map(json.dumps, pairs)))
+    write(
+        folder / "train-1.csv",
+        HEADER + "\n" + film(1, "Zeta") + film(1, "Alpha") + film(9, "x", start="\\N"),
+    )
+
+    def run():
+        film_etl.run(spark, str(folder), root, json_layout="lines", buckets=2)
+        stored = film_etl.table(spark, root, "directing")
+        return (
+            [m for (m,) in rows(stored, "movie_id")],
+            [m for (m,) in rows(film_etl.waiting(spark, root, "directing"), "movie_id")],
+        )
+
+    assert run() == (["tt0000001"], ["tt0000002", "tt0000003"])
+    titles = rows(film_etl.table(spark, root, "movies"), "primary_title")
+    assert titles == [("zeta",)]  # the first staged row, not the first title
+    assert rows(film_etl.rejected(spark, root), "movie_id") == [("tt0000009",)]
+    write(folder / "train-2.csv", HEADER + "\n" + film(2, "Late"))
+    assert run() == (["tt0000001", "tt0000002"], ["tt0000003"])
+    # Nothing new: what waits stays.
+    assert run() == (["tt0000001", "tt0000002"], ["tt0000003"])
+
+
+def test_versions_are_replaced_whole(spark, tmp_path):
+    path, schema = str(tmp_path / "small"), spark.range(0).schema
+    assert store.read_version(spark, path, schema).count() == 0
+    for size in (3, 5, 2):
+        store.write_version(spark, path, spark.range(size))
+        assert store.read_version(spark, path, schema).count() == size
+    # A version without its marker was never finished.
+    spark.range(9).write.parquet(f"{path}/version=4")
+    (tmp_path / "small" / "version=4" / "_SUCCESS").unlink()
+    assert store.read_version(spark, path, schema).count() == 2
+    left = store.read_version(spark, path, schema).where("id > 0")
+    store.write_version(spark, path, left)
+    assert rows(store.read_version(spark, path, schema)) == [(1,)]
+
+
 def test_store_rewrites_only_touched_buckets(spark, tmp_path):
     path = str(tmp_path / "table")
     schema = spark.createDataFrame([], "k bigint, v string").schema
