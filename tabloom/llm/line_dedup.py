@@ -78,8 +78,12 @@ def _band_keys(lines: list[str], shingle: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _line_rows(rows: DataFrame, least: int, shingle: int, bands: bool) -> DataFrame:
-    """A row per line that takes part: place, digest and, if asked, band keys."""
+def _line_rows(rows: DataFrame, shingle: int, bands: bool) -> DataFrame:
+    """A row per line that is not blank: place, digest and, if asked, band keys.
+
+    A line shorter than a shingle has no band keys: as its own only shingle it
+    is near no other line, and its digest finds its copies.
+    """
     schema = "key long, line long, digest binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +97,7 @@ def _line_rows(rows: DataFrame, least: int, shingle: int, bands: bool) -> DataFr
                     strict=True,
                 ):
                     for i, raw in enumerate((text or "").split("\n")):
-                        if len(line := normal(raw)) >= least:
+                        if line := normal(raw):
                             places.append((key, i))
                             lines.append(line)
                 columns = [
@@ -103,9 +107,15 @@ def _line_rows(rows: DataFrame, least: int, shingle: int, bands: bool) -> DataFr
                 ]
                 names = ["key", "line", "digest"]
                 if bands:
-                    keys = band_keys(lines, shingle).ravel()
-                    offsets = pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32())
-                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(keys)))
+                    whole = np.array([len(x) >= shingle for x in lines], bool)
+                    long = [x for x in lines if len(x) >= shingle]
+                    keys = band_keys(long, shingle).ravel()
+                    offsets = np.append(0, np.cumsum(whole) * BANDS)
+                    columns.append(
+                        pa.ListArray.from_arrays(
+                            pa.array(offsets, pa.int32()), pa.array(keys)
+                        )
+                    )
                     names.append("bands")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -199,13 +209,11 @@ def _links(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float):
         yield forest_edges(len(lines), *pairs, group.column("line_id").to_numpy())
 
 
-def line_components(
-    rows: DataFrame, least: int, shingle: int, threshold: float
-) -> DataFrame:
+def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """Stored table: ``digest`` of each repeated line, ``key`` and ``line`` that stay."""
     scratch = Scratch(rows.sparkSession)
     lines = scratch.store(
-        _line_rows(rows, least, shingle, bands=True)
+        _line_rows(rows, shingle, bands=True)
         .groupBy("digest")
         .agg(
             F.min(F.struct("key", "line")).alias("place"),
@@ -272,7 +280,6 @@ def line_components(
 
 def removed_lines(
     docs: DataFrame,
-    least: int = 24,
     shingle: int = SHINGLE,
     threshold: float = 0.8,
     id_column: str = "doc_id",
@@ -280,11 +287,11 @@ def removed_lines(
 ) -> DataFrame:
     """``key`` and ``lines`` (line number and digest) of lines to remove."""
     rows = docs.select(id_key(id_column).alias("key"), F.col(text_column).alias("text"))
-    stays = line_components(rows, least, shingle, threshold).withColumnsRenamed(
+    stays = line_components(rows, shingle, threshold).withColumnsRenamed(
         {"key": "stays_key", "line": "stays_line"}
     )
     return (
-        _line_rows(rows, least, shingle, bands=False)
+        _line_rows(rows, shingle, bands=False)
         .join(stays, "digest")
         .where("key <> stays_key or line <> stays_line")
         .groupBy("key")
@@ -294,7 +301,6 @@ def removed_lines(
 
 def dedup_lines(
     docs: DataFrame,
-    least: int = 24,
     shingle: int = SHINGLE,
     threshold: float = 0.8,
     id_column: str = "doc_id",
@@ -305,8 +311,9 @@ def dedup_lines(
     Lines end at ``\\n`` and are compared in lower case with white space runs
     as one space. Lines link when their sets of ``shingle``-character shingles
     have a Jaccard similarity of ``threshold`` or more; of a connected group
-    the line with the smallest (id, line number) stays. Shorter lines than
-    ``least`` characters (at least ``shingle``) take no part and stay.
+    the line with the smallest (id, line number) stays. Every line that is not
+    blank takes part; one shorter than a shingle is its own only shingle, so
+    only its copies link to it.
 
     Candidates share one of ``BANDS`` bands of ``ROWS`` MinHash values; each is
     verified on its text. Bands that many lines share are cut into chunk pairs.
@@ -318,8 +325,7 @@ def dedup_lines(
     treated alike: both keep the line that stays. An empty table gives an
     empty table.
     """
-    least = max(least, shingle)
-    removed = removed_lines(docs, least, shingle, threshold, id_column, text_column)
+    removed = removed_lines(docs, shingle, threshold, id_column, text_column)
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
         id_key(id_column).alias("key"),

@@ -162,6 +162,38 @@ def lines(docs, least=24, shingle=8, threshold=0.8):
     return out
 
 
+def every_line(docs, shingle=8, threshold=0.8):
+    """(id, numbers of the lines that stay) with lines of any length; distinct ids."""
+    places = sorted(
+        (order(key), i, normal(x))
+        for key, text in docs
+        for i, x in enumerate((text or "").split("\n"))
+        if normal(x)
+    )
+    different = sorted({x for _, _, x in places})
+    sets = [
+        {x[i : i + shingle] for i in range(max(1, len(x) - shingle + 1))}
+        for x in different
+    ]
+    links = [
+        (i, j)
+        for i, a in enumerate(sets)
+        for j, b in enumerate(sets[:i])
+        if len(a & b) >= threshold * len(a | b)
+    ]
+    group = components(len(different), links, list(range(len(different))))
+    group = dict(zip(different, group, strict=True))
+    taken, gone = set(), set()
+    for o, i, x in places:
+        if group[x] in taken:
+            gone.add((o, i))
+        taken.add(group[x])
+    return [
+        (key, [i for i in range(len((text or "").split("\n"))) if (order(key), i) not in gone])
+        for key, text in docs
+    ]
+
+
 def embeddings(rows, cosine=0.98):
     """(id, vector, label) -> (id, n_links, component_id, kept)."""
 

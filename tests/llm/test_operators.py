@@ -154,6 +154,24 @@ def test_line_dedup(spark):
     same(got(done, "id", "n_lines", "n_removed", digest), brute.lines(DOCS))
 
 
+def test_line_dedup_of_short_lines(spark):
+    docs = [
+        (1, "All rights reserved.\nok\nSubscribe now\n\nshares it\n-"),
+        (2, "all  rights reserved.\n\n\nOK\nno copy"),
+        (3, "Subscribe now\nsubscribe now!\n \nabcdefg\nabcdefgh"),
+        (4, "abcdefgh\nbcdefgh\nShares it\nan article of 23 chars."),
+        (None, "An article of 23 chars!\n-\nan article of 23 chars\nok"),
+    ]
+    done = line_dedup.dedup_lines(frame(spark, docs))
+    texts = dict(docs)
+    expected = [
+        (key, "\n".join(texts[key].split("\n")[i] for i in stay))
+        for key, stay in brute.every_line(docs)
+    ]
+    same(got(done, "id", "kept_text"), expected)
+    assert dict(expected)[2] == "\n\nno copy"
+
+
 def test_cover_tree(spark):
     random = np.random.default_rng(4)
     centers = random.normal(size=(12, 8))
