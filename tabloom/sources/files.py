@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,16 +39,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV parts with a header, every column as text, no schema inference.
 
-    Columns are taken by their names in the header of the first part, which the
-    other parts must share; a missing one fails. The unnamed first column is
-    a row index and is dropped. Text in ``null_tokens`` becomes null, and so
-    does empty text in any case. ``place`` adds a column of that name which
-    orders rows by file path and, within a file, as they stand there.
+    Columns are taken by their names in each file's own header, so that parts
+    may differ in the order of their columns and in further ones; a part
+    without one of ``columns`` fails. The unnamed first column is a row index
+    and is dropped. Text in ``null_tokens`` becomes null, and so does empty
+    text in any case. ``place`` adds a column of that name which orders rows by
+    file path and, within a file, as they stand there.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(paths)
-    absent = [c for c in columns if c not in raw.columns]
-    if absent:
-        raise ValueError(f"no columns {absent} among {raw.columns} in {paths}")
     found = [null_if_in(F.col(c), null_tokens).alias(c) for c in columns]
     if place:
         # A task reads a block from its start, so its own row numbers ascend.
@@ -57,7 +56,47 @@ def read_csv(
                 F.monotonically_increasing_id().alias("row"),
             ).alias(place)
         )
-    return raw.select(*found)
+    parts = []
+    for group in _by_header(spark, paths):
+        raw = spark.read.option("header", True).option("escape", '"').csv(group)
+        absent = [c for c in columns if c not in raw.columns]
+        if absent:
+            raise ValueError(f"no columns {absent} among {raw.columns} in {group}")
+        parts.append(raw.select(*found))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_header(spark: SparkSession, paths: str | Sequence[str]) -> list:
+    """The files below ``paths`` by their header line, which Spark takes from one file only.
+
+    Files without a line are left out, unless there is no other.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(url: str) -> tuple[str | None, str]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
+        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
+        text = jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"
+        )
+        reader = jvm.java.io.BufferedReader(text)
+        try:
+            line = reader.readLine()
+            while line is not None and not line.strip():
+                line = reader.readLine()
+            return line, path.toString()
+        finally:
+            reader.close()
+
+    groups: dict[str | None, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for line, path in pool.map(header, spark.read.text(paths).inputFiles()):
+            groups.setdefault(line, []).append(path)
+    if len(groups) <= 1:
+        return [paths]
+    groups.pop(None, None)
+    return list(groups.values())
 
 
 def read_json(

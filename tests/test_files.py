@@ -224,6 +224,20 @@ def test_csv_columns_go_by_their_names(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "a.csv"), ["year"])
 
 
+def test_each_csv_part_goes_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "two parts"
+    write(folder / "a.csv", ",runtime,votes\n0,90,777\n1,91,778\n")
+    write(folder / "b.csv", ",votes,more,runtime\n0,5,x,60\n1,6,y,61\n")
+    write(folder / "c.csv", "")
+    names = ["runtime", "votes"]
+    expected = [("60", "5"), ("61", "6"), ("90", "777"), ("91", "778")]
+    assert rows(files.read_csv(spark, str(folder), names)) == expected
+    placed = files.read_csv(spark, str(folder), names, place="place").orderBy("place")
+    assert [r.votes for r in placed.collect()] == ["777", "778", "5", "6"]
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(folder), ["runtime", "more"])
+
+
 def test_names_are_relative_to_the_folder_itself(spark, tmp_path):
     folder = tmp_path / "staging"
     write(folder / "train-2.csv", "x")
