@@ -1011,8 +1011,7 @@ def etl_first_row_wins(spark, folder):
 
 # --- models --------------------------------------------------------------------------------
 
-# Small settings: the registered queries show the path, parameters set the size.
-_TREES, _DEPTH, _BINS = 20, 5, 20
+# The settings are the reference's: the defaults of ``ml`` unless given here.
 
 
 def _features(spark, folder) -> DataFrame:
@@ -1039,15 +1038,14 @@ def assemble(spark, folder):
 
 @query
 def score_rf(spark, folder):
-    forest = ml.random_forest(_TREES, _DEPTH, _BINS)
+    forest = ml.random_forest()
     return scoring.predictions(_features(spark, folder), forest)
 
 
 @query
 def score_gbt(spark, folder):
-    return scoring.predictions(
-        _features(spark, folder), ml.boosted_trees(_DEPTH, iterations=5)
-    )
+    # The reference's library makes 100 rounds where Spark's default is 20.
+    return scoring.predictions(_features(spark, folder), ml.boosted_trees(iterations=100))
 
 
 @query
@@ -1088,24 +1086,26 @@ def auc(spark, folder):
 
 @query
 def tune_rf(spark, folder):
-    forest = ml.random_forest(_TREES, _DEPTH, _BINS)
-    grid = ml.forest_grid(forest, trees=(5, 10), depths=(2, 4), bins=None)
+    forest = ml.random_forest()
     model = ml.tune(
-        _labelled(spark, folder), forest, grid, ml.auc_evaluator(), ["movie_id"], folds=3
+        _labelled(spark, folder),
+        forest,
+        ml.forest_grid(forest),
+        ml.auc_evaluator(),
+        ["movie_id"],
     )
     return ml.tuning_report(model, spark)
 
 
 @query
 def kfold_accuracy(spark, folder):
-    forest = ml.random_forest(_TREES, _DEPTH, _BINS)
+    forest = ml.random_forest()
     model = ml.tune(
         _labelled(spark, folder),
         forest,
         ParamGridBuilder().build(),
         ml.accuracy_evaluator(),
         ["movie_id"],
-        folds=3,
     )
     return ml.tuning_report(model, spark)
 
@@ -1116,16 +1116,16 @@ def compare_dirty_clean(spark, folder):
     raw = ["runtime_min", "num_votes"]
     return ml.compare_inputs(
         {"dirty": (train.select("movie_id", "label", *raw), raw), "clean": (train, schemas.FEATURES)},
-        ml.random_forest(_TREES, _DEPTH, _BINS),
+        ml.random_forest(),
         ["movie_id"],
-        folds=3,
     )
 
 
 @query
 def holdout_accuracy(spark, folder):
     train = cleaning.split_by_subset(_features(spark, folder))[0]
-    forest = ml.random_forest(_TREES, _DEPTH, _BINS)
-    grid = ml.forest_grid(forest, trees=(5, 10), depths=(2, 4), bins=None)
+    forest = ml.random_forest()
     raw = ["runtime_min", "num_votes"]
-    return scoring.holdout_baseline(train, raw, ["movie_id"], forest, grid, folds=3)
+    return scoring.holdout_baseline(
+        train, raw, ["movie_id"], forest, ml.accuracy_grid(forest)
+    )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tabloom import schemas
 from tabloom.operators import ml
-from tabloom.plans import scoring
+from tabloom.plans import catalog, scoring
 
 
 def films(spark, n=400):
@@ -74,3 +74,35 @@ def test_default_grid_size():
     assert len(ml.forest_grid(forest)) == 48
     assert len(ml.accuracy_grid(forest)) == 16
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (300, 10, 20)
+
+
+class Asked(Exception):
+    """Carries the settings that a query would train with."""
+
+
+def test_registered_queries_have_the_reference_settings(spark, monkeypatch):
+    def tuned(prepared, estimator, grid, evaluator, key, folds=5, parallelism=4):
+        raise Asked(estimator, len(grid), folds)
+
+    def predicted(features, estimator):
+        raise Asked(estimator, 1, 0)
+
+    monkeypatch.setattr(catalog.ml, "tune", tuned)
+    monkeypatch.setattr(scoring, "predictions", predicted)
+    monkeypatch.setattr(catalog, "_features", lambda spark, folder: films(spark).selectExpr(
+        "*", *[f"0D AS {c}" for c in schemas.FEATURES if c not in films(spark).columns]
+    ))
+    expected = {
+        "score_rf": (1, 0), "tune_rf": (48, 5), "kfold_accuracy": (1, 5),
+        "compare_dirty_clean": (1, 5), "holdout_accuracy": (16, 5),
+    }
+    for name, settings in expected.items():
+        with pytest.raises(Asked) as asked:
+            catalog.QUERIES[name](spark, "")
+        forest, *found = asked.value.args
+        assert (name, *found) == (name, *settings)
+        assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (300, 10, 20)
+    with pytest.raises(Asked) as asked:
+        catalog.QUERIES["score_gbt"](spark, "")
+    trees = asked.value.args[0]
+    assert (trees.getMaxIter(), trees.getMaxDepth()) == (100, 5)
