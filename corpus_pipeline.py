@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabloom.llm import (
     line_dedup,
@@ -17,7 +16,7 @@ from tabloom.llm import (
     simhash,
     substring_dedup,
 )
-from tabloom.llm.common import id_key, on_workers
+from tabloom.llm.common import on_workers
 from tabloom.session import materialize
 
 
@@ -35,13 +34,7 @@ def single_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
-    groups = simhash.near_duplicates(docs)
-    stays = (
-        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(id_key("doc_id").alias("stays"))
-        .distinct()
-    )
-    return docs.join(stays, id_key("doc_id") == F.col("stays"), "left_semi")
+    return simhash.deduplicated(docs)
 
 
 def single_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

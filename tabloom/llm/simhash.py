@@ -52,19 +52,28 @@ def fingerprints(
     shingle: int = 3,
     id_column: str = "doc_id",
     text_column: str = "text",
+    row: str | None = None,
 ) -> DataFrame:
-    """``key`` (see ``id_key``) and ``fp``, the fingerprint as a signed long."""
+    """``key`` (see ``id_key``) and ``fp``, the fingerprint as a signed long.
+
+    ``row`` names a long column to carry along as ``row``.
+    """
+    names = ["key", *(["row"] if row else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in binary(batch.column("text"))]
             fp = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(fp)], ["key", "fp"]
+                [*[batch.column(n) for n in names], pa.array(fp)], [*names, "fp"]
             )
 
-    rows = docs.select(id_key(id_column).alias("key"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, "key long, fp long")
+    rows = docs.select(
+        id_key(id_column).alias("key"),
+        *([F.col(row).alias("row")] if row else []),
+        F.col(text_column).alias("text"),
+    )
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "fp"]))
 
 
 def block_keys(distance: int) -> F.Column:
@@ -129,10 +138,9 @@ def near_pairs(
 def _links(batches: Iterator[pa.RecordBatch], distance: int):
     for group in sorted_groups(batches, ["block", "lo", "hi"], least=2):
         fps = group.column("fp").to_numpy().view(np.uint64)
-        reps = group.column("rep").to_numpy()
         two = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
         apart = group.column("part").to_numpy() if two else None
-        yield forest_edges(len(fps), *near_pairs(fps, distance, apart), reps)
+        yield forest_edges(len(fps), *near_pairs(fps, distance, apart), fps.view(np.int64))
 
 
 def near_duplicates(
@@ -160,18 +168,67 @@ def near_duplicates(
     found = materialize(
         fingerprints(docs, shingle, id_column, text_column), "fingerprints"
     )
-    classes = materialize(
-        found.groupBy("fp").agg(F.min("key").alias("rep")), "fingerprint-classes"
-    )
-    keyed = classes.select(F.explode(block_keys(distance)).alias("block"), "fp", "rep")
-    edges = in_chunk_pairs(keyed, "block", "fp", CHUNK).mapInArrow(
-        lambda batches: _links(batches, distance), "a long, b long"
+    named = _class_components(found, distance).select(
+        "fp", F.col("stays.key").alias("component")
     )
-    named = classes.join(
-        connected_components(edges).withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("fp", F.coalesce("component", "rep").alias("component"))
     return found.join(named, "fp").select(
         id_value("key").alias(id_column),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         id_value("component").alias("component_id"),
     )
+
+
+def _class_components(found: DataFrame, distance: int) -> DataFrame:
+    """For each ``fp`` the smallest (``key``, ``row``) of its component, ``stays``.
+
+    ``found`` is stored; ``row`` may be left out. Classes are linked by their
+    fingerprints: an id may be in several.
+    """
+    place = [c for c in ("key", "row") if c in found.columns]
+    classes = materialize(
+        found.groupBy("fp").agg(F.min(F.struct(*place)).alias("rep")),
+        "fingerprint-classes",
+    )
+    keyed = classes.select(F.explode(block_keys(distance)).alias("block"), "fp")
+    edges = in_chunk_pairs(keyed, "block", "fp", CHUNK).mapInArrow(
+        lambda batches: _links(batches, distance), "a long, b long"
+    )
+    joined = classes.join(
+        connected_components(edges).withColumnRenamed("node", "fp"), "fp", "left"
+    ).withColumn("component", F.coalesce("component", "fp"))
+    heads = joined.groupBy("component").agg(F.min("rep").alias("stays"))
+    return joined.join(heads, "component").select("fp", "stays")
+
+
+def deduplicated(
+    docs: DataFrame,
+    shingle: int = 3,
+    distance: int = 3,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row of each group of near-duplicates: that of the smallest id.
+
+    Of rows that share that id, one stays, so that repeated and null ids lose
+    no other text and keep no copy. ``docs`` is stored first: rows have no
+    other identity.
+    """
+    rows = materialize(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "simhash-rows",
+    )
+    found = materialize(
+        fingerprints(
+            rows,
+            shingle,
+            f"document.`{id_column}`",
+            f"document.`{text_column}`",
+            row="row",
+        ),
+        "fingerprints",
+    )
+    stays = _class_components(found, distance).select("stays.row").distinct()
+    return rows.join(stays, "row", "left_semi").select("document.*")

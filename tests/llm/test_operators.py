@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import brute
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -138,6 +139,25 @@ def test_simhash(spark):
     same(got(done, "doc_id", "fingerprint", "component_id"), brute.simhash(DOCS))
 
 
+def test_simhash_with_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{w}{i * 7919 % 101}" for i in range(60)) for w in "abcde"]
+    docs = [
+        (5, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]),
+        (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (4, texts[4]),
+    ]
+    docs = frame(spark, docs)
+    done = simhash.near_duplicates(docs)
+    same(got(done, "doc_id", "component_id"), [
+        (5, 5), (None, 5), (None, None), (None, None), (None, None),
+        (7, 7), (7, 4), (7, 4), (4, 4),
+    ])
+    one = corpus_pipeline.single_documents(spark, docs, "")
+    assert one.columns == docs.columns
+    same(got(one, "doc_id", "text"), [
+        (5, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (4, texts[4]),
+    ])
+
+
 def test_pivot_pairs_lose_nothing():
     random = np.random.default_rng(0)
     fps = random.integers(0, 1 << 63, 40, np.uint64).repeat(20)
