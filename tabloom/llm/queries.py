@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tabloom.llm import (
+    ball_kmeans,
     byte_bpe,
+    class_ngrams,
     cover_tree,
+    filter_audit,
     license_scan,
     line_dedup,
     packing,
@@ -131,6 +134,75 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_ball_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = ball_kmeans.compress(table(spark, folder, "embeddings"))
+    return codes.withColumn("codebooks_sha256", F.lit(books.digest()))
+
+
+@query
+def op12_class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    return class_ngrams.score(table(spark, folder, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+
+
+def _rounds_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Codebooks by plain assignment of all vectors to all entries, round by round."""
+    ctes = [
+        """usable AS (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+                list_transform(embedding,
+                    lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding,
+                lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+        f"""x AS (
+            SELECT r, p, v[len(v) * p // {parts} + 1 : len(v) * (p + 1) // {parts}] AS v
+            FROM usable, range({parts}) AS t(p))""",
+        f"b0 AS (SELECT p, (r - 1)::BIGINT AS e, v FROM x WHERE r <= {entries})",
+    ]
+    for i in range(rounds + 1):
+        ctes.append(
+            f"""a{i} AS (
+            SELECT r, p, x.v, arg_min(e, d) AS e, min(d) // 256 AS d
+            FROM (SELECT x.r, x.p, x.v, b.e, 256 * list_sum(list_transform(
+                    list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT
+                    + b.e AS d
+                  FROM x JOIN b{i} b USING (p)) x
+            GROUP BY r, p, x.v)"""
+        )
+        if i < rounds:
+            ctes.append(
+                f"""b{i + 1} AS (
+            SELECT p, e, coalesce(m, b.v) AS v FROM b{i} b LEFT JOIN (
+                SELECT p, e, list(m ORDER BY k) AS m FROM (
+                    SELECT p, e, k, (sum(z) - ((sum(z) % count(*)) + count(*)) % count(*))
+                        // count(*) AS m
+                    FROM (SELECT p, e, unnest(v) AS z, unnest(range(len(v))) AS k
+                          FROM a{i}) GROUP BY p, e, k)
+                GROUP BY p, e) USING (p, e))"""
+            )
+    return f"""
+        WITH {", ".join(ctes)},
+        coded AS (
+            SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+                sum(d)::BIGINT AS error
+            FROM a{rounds} GROUP BY r),
+        books AS (
+            SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS digest
+            FROM b{rounds})
+        SELECT vec_id, code, error,
+            (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            digest AS codebooks_sha256
+        FROM coded JOIN usable USING (r), books"""
+
+
 # DuckDB twins. The others have none: their hashes, token ids or models are not SQL.
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": r"""
@@ -188,4 +260,54 @@ ORACLE_SQL: dict[str, str] = {
         SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
             vec_id = component_id AS kept
         FROM least LEFT JOIN degree USING (vec_id)""",
+    "op13_filter_audit": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        f AS (
+            SELECT doc_id, part, [
+                len(w) < 200,
+                100 * len(list_distinct(w)) < 50 * len(w),
+                100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+                regexp_matches(t, '[#$%&*|]'),
+                doc_id > min(doc_id) OVER (PARTITION BY t)] AS fails
+            FROM w),
+        d AS (
+            SELECT f.*, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+            FROM f LEFT JOIN (
+                SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+                FROM labels GROUP BY doc_id) l USING (doc_id)),
+        n AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good,
+                count(*) FILTER (toxic) AS toxic
+            FROM d GROUP BY ALL),
+        letters AS (SELECT unnest(range(1, 6)) AS i),
+        orders AS (
+            SELECT [a.i, b.i, c.i, e.i, g.i] AS o
+            FROM letters a, letters b, letters c, letters e, letters g
+            WHERE len(list_distinct([a.i, b.i, c.i, e.i, g.i])) = 5),
+        steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+        s AS (
+            SELECT part, o, step, n, good, toxic, fails[o[step]] AS own,
+                len(list_filter(o[:step - 1], lambda i: fails[i])) > 0 AS earlier,
+                len(list_filter(fails, lambda x: x)) AS failed
+            FROM n, steps),
+        r AS (
+            SELECT part, o, step,
+                sum(CASE WHEN NOT own AND NOT earlier THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN own AND NOT earlier THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN own AND earlier THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN own AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN own AND NOT earlier THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN own AND NOT earlier THEN toxic ELSE 0 END) AS toxic_lost
+            FROM s GROUP BY part, o, step)
+        SELECT part,
+            array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order,
+            step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+            redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+            good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+        FROM r""",
+    "op11_ball_kmeans": _rounds_sql(),
 }
