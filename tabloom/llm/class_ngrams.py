@@ -459,16 +459,21 @@ def _score(batches: Iterator[pa.RecordBatch], model: Transitions):
         )
 
 
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [x for batch in batches for x in batch.column("sums").to_pylist()]
+    if rows:
+        total = np.sum(np.array(rows, np.int64), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], ["sums"])
+
+
 def _sums(df: DataFrame) -> np.ndarray:
-    """The arrays of ``sums`` added up; their length does not grow with the input."""
-    totals = (
-        df.select(F.posexplode("sums").alias("at", "sum"))
-        .groupBy("at")
-        .agg(F.sum("sum").alias("sum"))
-        .orderBy("at")
-        .collect()
-    )
-    return np.array([r["sum"] for r in totals], np.int64)
+    """The arrays of ``sums`` added up; their length does not grow with the input.
+
+    The rows, one a task, are added up in a few tasks and those on the driver.
+    """
+    few = df.select("sums").repartition(8).mapInArrow(_add, "sums array<long>")
+    rows = [r["sums"] for r in few.collect()]
+    return np.sum(np.array(rows, np.int64), axis=0) if rows else np.empty(0, np.int64)
 
 
 def _held(key):
