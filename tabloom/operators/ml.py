@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.base import Estimator
@@ -84,9 +84,8 @@ def forest_grid(
     return grid.build()
 
 
-def accuracy_grid(estimator: RandomForestClassifier):
-    """The forest settings of the raw-data baseline: 4 tree counts x 4 depths."""
-    return forest_grid(estimator, (50, 100, 200, 300), (2, 4, 6, 8), bins=None)
+#: The settings of the raw-data baseline.
+ACCURACY_GRID = {"trees": (50, 100, 200, 300), "depths": (2, 4, 6, 8)}
 
 
 def tune(
@@ -125,33 +124,6 @@ def tuning_report(model: CrossValidatorModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "setting string, avg_metric double")
 
 
-def kfold(
-    prepared: DataFrame,
-    estimator: Estimator,
-    key: Sequence[str],
-    evaluator: Evaluator,
-    folds: int = 5,
-) -> float:
-    """Mean metric of one fixed setting over the folds."""
-    model = tune(prepared, estimator, ParamGridBuilder().build(), evaluator, key, folds)
-    return float(model.avgMetrics[0])
-
-
-def compare_inputs(
-    inputs: Mapping[str, tuple[DataFrame, Sequence[str]]],
-    estimator: Estimator,
-    key: Sequence[str],
-    folds: int = 5,
-) -> DataFrame:
-    """K-fold accuracy of the same model on each named (frame, features)."""
-    rows = [
-        (name, kfold(assemble(df, features), estimator, key, accuracy_evaluator(), folds))
-        for name, (df, features) in inputs.items()
-    ]
-    spark = next(iter(inputs.values()))[0].sparkSession
-    return spark.createDataFrame(rows, "input string, accuracy double")
-
-
 def score(model: Model, prepared: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Batch predictions beside the ``keep`` columns."""
     return model.transform(prepared).select(*keep, "prediction")
@@ -163,17 +135,20 @@ def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataF
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
-def auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row: the exact area under the ROC curve of a score.
+def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """The exact area under the ROC curve of a score: one row, or one per group.
 
     Rows are merged per score first; the ranks come from ``running_total``.
     """
+    by = list(by)
     positive = F.count_if(F.col(label).cast("boolean"))
-    per_score = df.dropna(subset=[label, score]).groupBy(score).agg(
+    per_score = df.dropna(subset=[label, score]).groupBy(*by, score).agg(
         positive.alias("pos"), (F.count("*") - positive).alias("neg")
     )
-    below = running_total(per_score, [score], weight="neg", name="neg_below")
+    below = running_total(
+        per_score, [score], partition_by=by, weight="neg", name="neg_below"
+    )
     wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
-    return below.agg(
+    return below.groupBy(*by).agg(
         F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg")).alias("auc")
     )

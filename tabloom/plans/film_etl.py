@@ -18,7 +18,7 @@ from tabloom import schemas
 from tabloom.functions.values import file_route
 from tabloom.operators.cleaning import clean_bridge, clean_movies, tag_subsets
 from tabloom.operators.constraints import fk_accepted, fk_orphans
-from tabloom.session import read_if_exists
+from tabloom.session import materialize, read_if_exists
 from tabloom.sources import files, ledger, store
 
 RELATIONS = {
@@ -29,10 +29,13 @@ RELATIONS = {
 
 @dataclass
 class LoadResult:
-    """What one run loaded and ignored, its rejected films, all waiting pairs."""
+    """What one run loaded and ignored, its rejected films, all waiting pairs.
 
-    loaded: list[str] = field(default_factory=list)
-    ignored: list[str] = field(default_factory=list)
+    ``loaded`` and ``ignored`` have a ``file_name`` a row.
+    """
+
+    loaded: DataFrame
+    ignored: DataFrame
     rejected_movies: DataFrame | None = None
     orphans: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -45,7 +48,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
         "writing": schemas.WRITING,
         "processed_files": schemas.PROCESSED_FILES,
     }[name]
-    return store.read_table(spark, f"{root}/{name}", schema)
+    read = store.read_rows if name == "processed_files" else store.read_table
+    return read(spark, f"{root}/{name}", schema)
+
+
+def placed_movies(spark: SparkSession, root: str) -> DataFrame:
+    """The films with the place of their staged row: ``scoring.INPUT_ORDER``."""
+    return store.read_table(spark, f"{root}/movies", schemas.STORED_MOVIES)
 
 
 def waiting(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -71,7 +80,7 @@ def run(
     refresh_derived: bool = False,
     loose_routes: bool = False,
     json_layout: str = "records",
-    buckets: int = 16,
+    rows_per_bucket: int = store.ROWS_PER_BUCKET,
 ) -> LoadResult:
     """Load the files of ``staging`` the ledger does not know yet.
 
@@ -80,37 +89,39 @@ def run(
     were, unless ``refresh_derived``. Of several staged rows of one film the
     first one counts, by file path and then as they stand in the file.
     """
-    listing = ledger.new_files(
-        files.list_inputs(spark, staging), ledger.read_ledger(spark, f"{root}/processed_files")
-    ).withColumn("route", file_route(F.col("file_name"), loose_routes))
-    routes: dict[str | None, list] = {}
-    for row in listing.collect():  # one row per new file, as any reader lists them
-        routes.setdefault(row.route, []).append(row)
-
-    result = LoadResult()
-    known = {"train", "val", "test", *RELATIONS}
-    for route, rows in routes.items():
-        names = [r.file_name for r in rows]
-        (result.loaded if route in known else result.ignored).extend(names)
+    known = F.coalesce(F.col("route").isin("train", "val", "test", *RELATIONS), F.lit(False))
+    new = materialize(
+        ledger.new_files(
+            files.list_inputs(spark, staging),
+            ledger.read_ledger(spark, f"{root}/processed_files"),
+        ).withColumn("route", file_route(F.col("file_name"), loose_routes)),
+        "listing",
+    )
+    names = new.select("file_name")
+    result = LoadResult(names.where(known), names.where(~known))
 
     def paths(route: str) -> list[str]:
-        return [r.path for r in routes.get(route, [])]
+        return files.paths_of(new.where(F.col("route") == route))
 
+    found = {route: paths(route) for route in ("train", "val", "test", *RELATIONS)}
     parts = {
         subset: files.read_csv(
             spark,
-            paths(subset),
+            found[subset],
             schemas.RAW_TRAIN if subset == "train" else schemas.RAW_UNLABELLED,
             place="place",
         )
         for subset in ("train", "val", "test")
-        if paths(subset)
+        if found[subset]
     }
     if parts:
         staged = tag_subsets(parts)
         if "label" not in staged.columns:
             staged = staged.withColumn("label", F.lit(None).cast("string"))
-        movies, broken = clean_movies(staged)
+        # The text is parsed once; medians, rejects and the load read what is stored.
+        movies, broken = clean_movies(materialize(staged, "staged"))
+        at = zip(schemas.PLACE.names, ("file", "block", "row"), strict=True)
+        movies = movies.withColumns({c: F.col(f"place.{f}") for c, f in at})
         store.replace_parts(
             broken.withColumn("file", F.col("place.file")).drop("place"),
             f"{root}/rejected_movies",
@@ -121,17 +132,17 @@ def run(
         store.upsert_into(
             spark,
             f"{root}/movies",
-            schemas.MOVIES,
+            schemas.STORED_MOVIES,
             movies,
             ["movie_id"],
-            [*schemas.MOVIE_UPDATE_COLS, *derived],
+            [*schemas.MOVIE_UPDATE_COLS, *schemas.PLACE.names, *derived],
             ["place"],
-            buckets=buckets,
+            rows_per_bucket=rows_per_bucket,
         )
     for name, (raw_person, person, schema) in RELATIONS.items():
         before = waiting(spark, root, name)
-        if paths(name):
-            raw = files.read_json(spark, paths(name), ["movie", raw_person], json_layout)
+        if found[name]:
+            raw = files.read_json(spark, found[name], ["movie", raw_person], json_layout)
             new = clean_bridge(raw, {raw_person: person, "movie": "movie_id"})
             pairs = new.unionByName(before).distinct()
         elif parts and not before.isEmpty():
@@ -146,13 +157,13 @@ def run(
             fk_accepted(pairs, movies, "movie_id"),
             [person, "movie_id"],
             [person],
-            buckets=buckets,
+            rows_per_bucket=rows_per_bucket,
         )
         store.write_version(
             spark, f"{root}/waiting_{name}", fk_orphans(pairs, movies, "movie_id")
         )
         result.orphans[name] = waiting(spark, root, name)
-    if result.loaded:
+    if any(found.values()):
         ledger.commit_files(spark, f"{root}/processed_files", result.loaded)
     return result
 

@@ -679,11 +679,22 @@ def oracle_sql() -> dict[str, str]:
             late AS (SELECT * FROM events_flat WHERE day > 15
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1)""",
         ),
-        "predictions_csv": _with(
-            "movies",
-            """SELECT row_number() OVER (ORDER BY movie_id) AS row_num,
-                      num_votes > 500 AS label FROM movies""",
-        ),
+        "predictions_csv": """
+            SELECT row_number() OVER (ORDER BY md5('tt' || o_orderkey)) AS row_num,
+                   year(o_orderdate) >= 1995 AS label
+            FROM orders WHERE o_orderpriority = '1-URGENT'""",
+        "tuning_folds": f"""
+            SELECT t::INT AS num_trees, d::INT AS max_depth, 4::INT AS max_bins, fold, n_test
+            FROM (SELECT {_bucket("o_orderkey", 5)} AS fold, COUNT(*) AS n_test FROM orders
+                  WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW') GROUP BY 1),
+                 (VALUES (1), (2)) AS trees(t), (VALUES (1), (2)) AS depths(d)""",
+        "score_exact": """
+            SELECT model, o_orderkey AS movie_id, n >= 4 AS prediction
+            FROM orders JOIN (
+                SELECT l_orderkey, COUNT(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1)
+                ON l_orderkey = o_orderkey,
+                (VALUES ('tree'), ('forest'), ('boosted')) AS models(model)
+            WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""",
         "etl_movies": _ETL_MOVIES,
         "etl_column_order": """
             SELECT 'tt' || o_orderkey AS movie_id,

@@ -29,10 +29,14 @@ MOVIES = _schema(
     title_length=_INT,
     audit_time=_TIME,
 )
+# Where a film was staged last: its rows' order in the files.
+PLACE = _schema(staged_file=_TEXT, staged_block=T.LongType(), staged_row=T.LongType())
+STORED_MOVIES = T.StructType([*MOVIES.fields, *PLACE.fields])
 DIRECTING = _schema(director_id=_TEXT, movie_id=_TEXT, audit_time=_TIME)
 WRITING = _schema(writer_id=_TEXT, movie_id=_TEXT, audit_time=_TIME)
 PROCESSED_FILES = _schema(file_name=_TEXT, audit_time=_TIME)
 
+# Fixed values from here on: the names are the data's own.
 # Raw files: the header of the index column is empty; every value is read as
 # text and typed by the cleaning step.
 RAW_UNLABELLED = [

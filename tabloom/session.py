@@ -9,8 +9,10 @@ recomputation.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,20 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
     return spark
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did.
+
+    For local use; where that folder does not exist, workers need it installed
+    or passed with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        joined = os.pathsep.join(filter(None, [paths, root]))
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only in local mode."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None)

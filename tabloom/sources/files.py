@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.values import MISSING, PANDAS_NULLS, null_if_in
+from tabloom.operators.skew import lookup_join
+from tabloom.sources import json_split
+
+_BROADCAST_FILES = 100_000  # a row of some hundred bytes each
 
 
 def list_inputs(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +32,11 @@ def list_inputs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def paths_of(listing: DataFrame) -> list[str]:
+    """The paths of a listing, for a reader: Spark's readers take a list of them."""
+    return [r["path"] for r in listing.select("path").toLocalIterator()]
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -46,57 +53,105 @@ def read_csv(
     text in any case. ``place`` adds a column of that name which orders rows by
     file path and, within a file, as they stand there.
     """
-    found = [null_if_in(F.col(c), null_tokens).alias(c) for c in columns]
-    if place:
-        # A task reads a block from its start, so its own row numbers ascend.
-        found.append(
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias(place)
-        )
-    parts = []
-    for group in _by_header(spark, paths):
-        raw = spark.read.option("header", True).option("escape", '"').csv(group)
+    lines = _lines(spark, paths)
+    headers = _headers(lines)
+    known = headers.agg(
+        F.count("*").alias("files"),
+        F.max(F.size(F.split("header", ","))).alias("width"),
+        F.min("header").alias("least"),
+        F.max("header").alias("most"),
+    ).first()
+    if known["files"] == 0:
+        raise ValueError(f"no columns {list(columns)} in {paths}")
+    if known["least"] == known["most"]:
+        raw = spark.read.option("header", True).option("escape", '"').csv(paths)
         absent = [c for c in columns if c not in raw.columns]
         if absent:
-            raise ValueError(f"no columns {absent} among {raw.columns} in {group}")
-        parts.append(raw.select(*found))
-    return reduce(DataFrame.unionByName, parts)
+            raise ValueError(f"no columns {absent} among {raw.columns} in {paths}")
+        # A task reads a block from its start, so its own row numbers ascend.
+        at = _place() if place else []
+    else:
+        raw = _by_own_header(lines, headers, columns, known["width"], known["files"])
+        at = [F.struct("file", "block", "row").alias("place")] if place else []
+    found = [null_if_in(F.col(c), null_tokens).alias(c) for c in columns]
+    return raw.select(*found, *[p.alias(place) for p in at])
+
+
+def _place() -> list[Column]:
+    return [
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+    ]
+
+
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines with their place: ``line``, ``file``, ``block`` and ``row``."""
+    return (
+        spark.read.text(paths)
+        .select(F.col("value").alias("line"), *[p.alias("place") for p in _place()])
+        .select("line", "place.*")
+    )
 
 
-def _by_header(spark: SparkSession, paths: str | Sequence[str]) -> list:
-    """The files below ``paths`` by their header line, which Spark takes from one file only.
+def _headers(lines: DataFrame) -> DataFrame:
+    """The first line of every file that is not blank: ``file``, ``header``, ``row``.
 
-    Files without a line are left out, unless there is no other.
+    It stands in the file's first block, unless blank lines fill that; the
+    tasks that read it find it, one row a file.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-
-    def header(url: str) -> tuple[str | None, str]:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
-        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
-        text = jvm.java.io.InputStreamReader(
-            codec.createInputStream(stream) if codec else stream, "UTF-8"
+    first = F.min_by(F.struct("line", "block", "row"), F.struct("block", "row"))
+    return (
+        lines.where("trim(line) <> ''")
+        .groupBy("file")
+        .agg(first.alias("first"))
+        .select(
+            "file",
+            F.col("first.line").alias("header"),
+            F.col("first.block").alias("header_block"),
+            F.col("first.row").alias("header_row"),
+        )
+    )
+
+
+def _by_own_header(
+    lines: DataFrame, headers: DataFrame, columns: Sequence[str], width: int, count: int
+) -> DataFrame:
+    """Rows with ``columns`` by each file's header, and their places."""
+    kinds = ", ".join(f"c{i} string" for i in range(width))
+    options = {"escape": '"'}
+
+    def cells(line: str) -> Column:
+        row = F.from_csv(line, kinds, options)
+        return F.array(*[row[f"c{i}"] for i in range(width)])
+
+    names = cells("header")
+    placed = headers.withColumns(
+        {f"at{i}": F.array_position(names, c) for i, c in enumerate(columns)}
+    )
+    ends = [f"at{i}" for i in range(len(columns))]
+    broken = placed.where(F.least(F.lit(1), *ends) == 0).limit(3).collect()
+    if broken:
+        wrong = [(r["file"], r["header"]) for r in broken]
+        raise ValueError(f"columns of {list(columns)} are missing in {wrong}")
+    places = placed.drop("header")
+    body = (
+        lines.join(F.broadcast(places), "file")
+        if count <= _BROADCAST_FILES
+        else lookup_join(lines, places, ["file"], "inner")
+    )
+    header = (F.col("block") == F.col("header_block")) & (F.col("row") == F.col("header_row"))
+    return (
+        body.where(~header & (F.trim("line") != ""))
+        .withColumn("cells", cells("line"))
+        .select(
+            *[F.element_at("cells", F.col(f"at{i}").cast("int")).alias(c)
+              for i, c in enumerate(columns)],
+            "file", "block", "row",
         )
-        reader = jvm.java.io.BufferedReader(text)
-        try:
-            line = reader.readLine()
-            while line is not None and not line.strip():
-                line = reader.readLine()
-            return line, path.toString()
-        finally:
-            reader.close()
-
-    groups: dict[str | None, list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for line, path in pool.map(header, spark.read.text(paths).inputFiles()):
-            groups.setdefault(line, []).append(path)
-    if len(groups) <= 1:
-        return [paths]
-    groups.pop(None, None)
-    return list(groups.values())
+    )
 
 
 def read_json(
@@ -111,21 +166,22 @@ def read_json(
     ``lines``: one object per line. ``records``: a document is an array of
     objects. ``columns``: a document is an object of column objects,
     ``{"a": {"0": ..}, "b": {"0": ..}}``. In the last two a document is a whole
-    file, which one task parses, or with ``per_line`` a line, so that a file can
-    be split; large exports should use lines or many files.
+    file, which is split among tasks all the same, or with ``per_line`` a line.
     """
+    if layout not in ("lines", "records", "columns"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if layout != "lines" and not per_line:
+        read = json_split.read_records if layout == "records" else json_split.read_columns
+        return read(spark, paths, columns)
     reader = spark.read.option("primitivesAsString", True)
-    whole_file = layout != "lines" and not per_line
     if layout in ("lines", "records"):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        return reader.schema(schema).json(paths, multiLine=whole_file)
-    if layout != "columns":
-        raise ValueError(f"unknown layout {layout!r}")
+        return reader.schema(schema).json(paths)
     cells = T.MapType(T.StringType(), T.StringType())
     schema = T.StructType([T.StructField(c, cells) for c in columns])
     documents = (
         reader.schema(schema)
-        .json(paths, multiLine=whole_file)
+        .json(paths)
         .select(F.monotonically_increasing_id().alias("doc"), *columns)
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom import schemas
 from tabloom.functions.values import is_staged_file
-from tabloom.sources.store import append_rows, read_table
+from tabloom.sources.store import append_rows, read_rows
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -18,10 +18,9 @@ def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, schemas.PROCESSED_FILES)
+    return read_rows(spark, path, schemas.PROCESSED_FILES)
 
 
-def commit_files(spark: SparkSession, path: str, file_names: list[str]) -> None:
-    """Record loaded files; call after their data is stored."""
-    rows = spark.createDataFrame([(n,) for n in file_names], "file_name string")
-    append_rows(spark, path, schemas.PROCESSED_FILES, rows)
+def commit_files(spark: SparkSession, path: str, loaded: DataFrame) -> None:
+    """Record the ``file_name`` of loaded files; call after their data is stored."""
+    append_rows(spark, path, schemas.PROCESSED_FILES, loaded.select("file_name"))

@@ -1,72 +1,305 @@
 """Keyed Parquet tables that take incremental batches.
 
-A table is partitioned by a hash bucket of its key. An upsert reads and
-rewrites only the buckets its batch touches (dynamic partition overwrite); an
-insert-ignore only appends. Both can be repeated after a failure with the same
-result, so the caller commits its ledger last; but an upsert that is lost while
-it puts its buckets in place leaves the table to be restored first. The bucket
-count belongs to the table: it is stored with it, and another one is refused.
+A table is a set of buckets by the low bits of a hash of its key. Every change
+writes the buckets it touches to a folder of its own and then a manifest, which
+names the folders that make up each bucket; the manifest takes its place by a
+rename that fails if the place is taken. Readers go by the newest manifest, so
+a change that dies before the rename has not happened, and is just repeated.
+
+``path/data/<commit>/bucket=<name>``  rows
+``path/keys/<commit>/bucket=<name>``  a filter over their keys
+``path/_manifest/<number>.json``      buckets, their row counts and commits
+
+A bucket that grows past ``rows_per_bucket`` is split by one more bit of the
+hash when it is next rewritten; the number of buckets follows the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections import Counter
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabloom.operators.merge import conform, new_rows, upsert
+from tabloom.operators.dedupe import keep_one
+from tabloom.operators.merge import conform, upsert
 from tabloom.session import materialize, read_if_exists
 
 BUCKET = "bucket"
-_LAYOUT = "_layout"  # beside the data; readers of the table pass over it
-
-
-def _with_bucket(
-    df: DataFrame, schema: StructType, key: Sequence[str], buckets: int
-) -> DataFrame:
-    # The hash depends on the type, so the key takes the table's type first.
-    typed = df.withColumns({k: F.col(k).cast(schema[k].dataType) for k in key})
-    return typed.withColumn(
-        BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
-    )
-
-
-def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+ROWS_PER_BUCKET = 4_000_000
+_HASH = "__hash"
+_MOST_COMMITS = 8  # of one bucket, before an insert puts them together
+_BITS_PER_KEY, _PROBES = 16, 4
+_BLOCK_BITS = 32_768  # of one bitmap of the bitmap functions
+
+
+class ConcurrentChange(RuntimeError):
+    """Another writer has changed the table since this change began."""
+
+
+@dataclass(frozen=True)
+class Bucket:
+    """The keys whose hash ends in the ``bits`` bits of ``value``."""
+
+    bits: int
+    value: int
+    commits: dict[str, int] = field(default_factory=dict)  # rows by commit
+
+    @property
+    def name(self) -> str:
+        return f"{self.bits}-{self.value}"
+
+    @property
+    def rows(self) -> int:
+        return sum(self.commits.values())
+
+    def split(self, limit: int, more: int) -> list[Bucket]:
+        """Empty buckets in its place, so many that ``more`` rows fit in too."""
+        extra, expected = 0, self.rows + more
+        while expected > limit:
+            extra, expected = extra + 1, expected / 2
+        return [
+            Bucket(self.bits + extra, self.value | i << self.bits) for i in range(1 << extra)
+        ]
+
+
+@dataclass
+class Manifest:
+    """The buckets of a table at one version; they cover all hashes once."""
+
+    version: int = 0
+    buckets: list[Bucket] = field(default_factory=lambda: [Bucket(0, 0)])
+
+    def name_of(self, hashed: str = _HASH) -> Column:
+        """The bucket's name for a key's hash."""
+        by_bits: dict[int, list[int]] = {}
+        for bucket in self.buckets:
+            by_bits.setdefault(bucket.bits, []).append(bucket.value)
+
+        def low(bits: int) -> Column:
+            return F.col(hashed).bitwiseAND(F.lit((1 << bits) - 1))
+
+        # The most usual length takes all that the lists of the others do not.
+        most, *others = sorted(by_bits, key=lambda b: -len(by_bits[b]))
+        name = F.concat(F.lit(f"{most}-"), low(most).cast("string"))
+        for bits in others:
+            own = F.concat(F.lit(f"{bits}-"), low(bits).cast("string"))
+            name = F.when(low(bits).isin(by_bits[bits]), own).otherwise(name)
+        return name
+
+    def places(self) -> set[tuple[str, str]]:
+        return {(c, b.name) for b in self.buckets for c in b.commits}
+
+
+class _Files:
+    """The table's folder, through Hadoop's file systems."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.root = spark, path.rstrip("/")
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.system = self.path("").getFileSystem(self.conf)
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+
+    def versions(self) -> list[int]:
+        found = self.system.globStatus(self.path("_manifest/*.json")) or []
+        return sorted(int(s.getPath().getName().partition(".")[0]) for s in found)
+
+    def manifest(self, version: int) -> Manifest:
+        name = f"{self.root}/_manifest/{version:010d}.json"
+        text = self.spark.read.text(name, wholetext=True).head()["value"]
+        return Manifest(
+            version, [Bucket(b["bits"], b["value"], b["commits"]) for b in json.loads(text)]
+        )
+
+    def latest(self) -> Manifest | None:
+        versions = self.versions()
+        return self.manifest(versions[-1]) if versions else None
+
+    def publish(self, manifest: Manifest) -> None:
+        """Put a manifest in its place, if no other has taken it."""
+        text = json.dumps([vars(b) for b in manifest.buckets])
+        draft = self.path(f"_manifest/.{uuid.uuid4().hex}")
+        stream = self.system.create(draft, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        place = self.path(f"_manifest/{manifest.version:010d}.json")
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self.system.makeQualified(place).toUri(), self.conf
+        )
+        kinds = self.jvm.org.apache.hadoop.fs.Options.Rename
+        strict = self.spark.sparkContext._gateway.new_array(kinds, 0)
+        try:
+            context.rename(
+                self.system.makeQualified(draft), self.system.makeQualified(place), strict
+            )
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            self.system.delete(draft, False)
+            raise ConcurrentChange(
+                f"{self.root} has a version {manifest.version} already"
+            ) from error
+
+    def forget(self, version: int) -> None:
+        """Delete a version that no reader can still begin with."""
+        if version not in self.versions():
+            return
+        gone = self.manifest(version).places()
+        for later in (version + 1, version + 2):
+            gone -= self.manifest(later).places()
+        for commit, bucket in gone:
+            for kind in ("data", "keys"):
+                self.system.delete(self.path(f"{kind}/{commit}/{BUCKET}={bucket}"), True)
+        self.system.delete(self.path(f"_manifest/{version:010d}.json"), False)
+
+
+@dataclass
+class _Table:
+    files: _Files
+    schema: StructType
+    key: list[str]
+    limit: int
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.files.spark
+
+    def hashed(self, df: DataFrame) -> DataFrame:
+        # The hash depends on the type, so the key takes the table's type first.
+        typed = df.withColumns(
+            {k: F.col(k).cast(self.schema[k].dataType) for k in self.key}
+        )
+        return typed.withColumn(_HASH, F.xxhash64(*self.key))
+
+    def start(self, rows: int) -> Manifest:
+        """What a new table begins with: buckets for its first batch."""
+        return Manifest(0, Bucket(0, 0).split(self.limit, rows))
+
+    def read(self, buckets: Iterable[Bucket], columns: Sequence[str] | None = None):
+        paths = [
+            f"{self.files.root}/data/{commit}/{BUCKET}={b.name}"
+            for b in buckets
+            for commit in b.commits
+        ]
+        if not paths:
+            rows = self.spark.createDataFrame([], self.schema)
+        else:
+            rows = self.spark.read.schema(self.schema).parquet(*paths)
+        return rows.select(*(columns or self.schema.names))
+
+    def write(self, rows: DataFrame, manifest: Manifest) -> tuple[str, dict[str, int]]:
+        """Store ``rows`` by bucket; the commit's name and its rows by bucket."""
+        commit = uuid.uuid4().hex
+        folder = f"{self.files.root}/data/{commit}"
+        # One task per bucket would put a large bucket through one task; the batch
+        # is spread by bucket and a row hash instead, and AQE sizes the tasks.
+        (
+            self.hashed(rows)
+            .withColumn(BUCKET, manifest.name_of())
+            .drop(_HASH)
+            .hint("rebalance", BUCKET)
+            .write.partitionBy(BUCKET)
+            .parquet(folder)
+        )
+        written = self.spark.read.schema(
+            StructType([*self.schema.fields]).add(BUCKET, "string")
+        ).parquet(folder)
+        counts = {r[BUCKET]: r["count"] for r in written.groupBy(BUCKET).count().collect()}
+        if counts:
+            self._write_filter(written, commit, counts)
+        return commit, counts
+
+    # Key filters: per commit and bucket a Bloom filter, cut into bitmaps, so
+    # that a key's probes all fall into one row.
+
+    def _probes(self, keys: DataFrame, blocks: DataFrame) -> DataFrame:
+        """``blocks`` has the number of bitmaps by bucket (and commit)."""
+        second, third = (
+            F.pmod(F.xxhash64(F.lit(i), _HASH), F.lit(_BLOCK_BITS)) for i in (1, 2)
+        )
+        return (
+            keys.join(F.broadcast(blocks), BUCKET)
+            .withColumn("block", F.pmod(F.xxhash64(F.lit(0), _HASH), "blocks"))
+            .withColumn(
+                "probes",
+                F.array(
+                    *[
+                        F.pmod(second + i * third.bitwiseOR(F.lit(1)), F.lit(_BLOCK_BITS))
+                        for i in range(_PROBES)
+                    ]
+                ),
+            )
+        )
+
+    def _write_filter(self, rows: DataFrame, commit: str, counts: dict[str, int]) -> None:
+        sizes = [(name, _blocks(n)) for name, n in counts.items()]
+        blocks = self.spark.createDataFrame(sizes, f"{BUCKET} string, blocks long")
+        (
+            self._probes(self.hashed(rows.select(*self.key, BUCKET)), blocks)
+            .select(BUCKET, "block", F.explode("probes").alias("probe"))
+            .groupBy(BUCKET, "block")
+            .agg(F.bitmap_construct_agg("probe").alias("bitmap"))
+            .write.partitionBy(BUCKET)
+            .parquet(f"{self.files.root}/keys/{commit}")
+        )
+
+    def may_hold(self, batch: DataFrame, buckets: list[Bucket]) -> DataFrame:
+        """Keys of ``batch`` (with hash and bucket) that the filters do not rule out."""
+        sizes = [
+            (b.name, commit, _blocks(n)) for b in buckets for commit, n in b.commits.items()
+        ]
+        if not sizes:
+            return batch.select(*self.key, BUCKET).limit(0)
+        blocks = self.spark.createDataFrame(
+            sizes, f"{BUCKET} string, commit string, blocks long"
+        )
+        paths = [f"{self.files.root}/keys/{c}/{BUCKET}={n}" for n, c, _ in sizes]
+        at = F.split("_metadata.file_path", "/")
+        filters = (
+            self.spark.read.schema("block long, bitmap binary")
+            .parquet(*paths)
+            .select(
+                "block",
+                "bitmap",
+                F.element_at(at, -3).alias("commit"),
+                F.substring_index(F.element_at(at, -2), "=", -1).alias(BUCKET),
+            )
+        )
+        asked = self._probes(batch.select(*self.key, _HASH, BUCKET), blocks)
+        held = asked.join(filters, ["commit", BUCKET, "block"]).where(
+            F.forall("probes", lambda p: _bit("bitmap", p))
+        )
+        return held.select(*self.key, BUCKET).distinct()
+
+    def commit(self, before: Manifest, buckets: list[Bucket]) -> None:
+        self.files.publish(Manifest(before.version + 1, buckets))
+        # The version before stays for readers that have begun.
+        self.files.forget(before.version - 1)
+
+
+def _blocks(rows: int) -> int:
+    return max(1, -(-rows * _BITS_PER_KEY // _BLOCK_BITS))
+
+
+def _bit(bitmap: str, position: Column) -> Column:
+    byte = F.substring(F.col(bitmap), (position / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.floor(value / F.pow(F.lit(2), position % 8)) % 2 == 1
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The stored rows, or an empty frame before the first batch."""
-    stored = read_if_exists(spark, path)
-    return _empty(spark, schema) if stored is None else stored.select(*schema.names)
-
-
-def _check_buckets(spark: SparkSession, path: str, buckets: int) -> None:
-    layout = f"{path}/{_LAYOUT}"
-    try:
-        stored = spark.read.schema("buckets int").json(layout).head()["buckets"]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        spark.range(1).select(F.lit(buckets).alias("buckets")).write.json(layout)
-        return
-    if stored != buckets:
-        raise ValueError(f"{path} has {stored} buckets, not {buckets}")
-
-
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    # One task per bucket would put a large bucket through one task; the batch
-    # is spread by bucket and a row hash instead, and AQE sizes the tasks.
-    (
-        df.hint("rebalance", BUCKET)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+    """The rows of the newest version, or an empty frame before the first batch."""
+    files = _Files(spark, path)
+    manifest = files.latest()
+    return _Table(files, schema, [], 0).read(manifest.buckets if manifest else [])
 
 
 def upsert_into(
@@ -79,36 +312,30 @@ def upsert_into(
     order_by: Sequence[str],
     *,
     keep: str = "first",
-    buckets: int = 16,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> None:
-    """Merge ``staged`` into the table; only touched buckets are rewritten."""
-    _check_buckets(spark, path, buckets)
-    stored = read_if_exists(spark, path)
-    empty = _empty(spark, schema)
-    if stored is None:
-        # The first batch replaces nothing: settle its conflicts and write it.
-        first = upsert(empty, staged, key, update_cols, order_by, keep=keep)
-        _write(_with_bucket(first, schema, key, buckets), path, "append")
+    """Merge ``staged`` into the table; only touched buckets are rewritten, once."""
+    table = _Table(_Files(spark, path), schema, list(key), rows_per_bucket)
+    before = table.files.latest()
+    batch = materialize(table.hashed(staged), "batch")
+    now = before or table.start(batch.count())
+    new = Counter(
+        {r[0]: r[1] for r in batch.groupBy(now.name_of()).count().collect()}
+    )  # a number per bucket
+    if not new:
         return
-    batch = materialize(_with_bucket(staged, schema, key, buckets), "batch")
-    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # <= buckets
-    if not touched:
-        return
-    target = stored.where(F.col(BUCKET).isin(touched)).select(*schema.names)
+    touched = [b for b in now.buckets if new[b.name]]
+    untouched = [b for b in now.buckets if not new[b.name]]
+    pieces = [p for b in touched for p in b.split(rows_per_bucket, new[b.name])]
     merged = upsert(
-        target,
-        batch.drop(BUCKET),
-        key,
-        update_cols,
-        order_by,
-        keep=keep,
-    )
-    # The result is stored before the partitions it was read from are replaced.
-    _write(
-        materialize(_with_bucket(merged, schema, key, buckets), "merged"),
-        path,
-        "overwrite",
+        table.read(touched), batch.drop(_HASH), key, update_cols, order_by, keep=keep
     )
+    commit, counts = table.write(merged, Manifest(0, untouched + pieces))
+    written = [
+        Bucket(p.bits, p.value, {commit: counts[p.name]} if p.name in counts else {})
+        for p in pieces
+    ]
+    table.commit(now, untouched + written)
 
 
 def insert_new(
@@ -118,17 +345,60 @@ def insert_new(
     staged: DataFrame,
     key: Sequence[str],
     order_by: Sequence[str],
-    buckets: int = 16,
+    *,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> None:
-    """Append the staged rows whose key is new.
+    """Add the staged rows whose key is new, the first of a key by ``order_by``.
 
-    The files to read are listed before the write starts, and a failed append
-    leaves none behind.
+    Stored rows are read only where the key filters say that a staged key may be
+    among them, and rewritten only where a bucket is split or has been added to
+    many times.
     """
-    _check_buckets(spark, path, buckets)
-    target = read_table(spark, path, schema)
-    fresh = new_rows(target, staged, key, order_by)
-    _write(_with_bucket(fresh, schema, key, buckets), path, "append")
+    key = list(key)
+    table = _Table(_Files(spark, path), schema, key, rows_per_bucket)
+    before = table.files.latest()
+    one = materialize(keep_one(table.hashed(staged), key, order_by), "batch")
+    now = before or table.start(one.count())
+    batch = one.withColumn(BUCKET, now.name_of())
+    named = {b.name: b for b in now.buckets}
+    touched = [named[r[0]] for r in batch.select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    known = known_keys(table, batch, touched)
+    fresh = materialize(batch.join(known, key, "left_anti"), "fresh")
+    counted = Counter({r[0]: r[1] for r in fresh.groupBy(BUCKET).count().collect()})
+    if not counted:
+        return
+    grown = [named[name] for name in counted]
+    rewritten = [
+        b
+        for b in grown
+        if len(b.commits) >= _MOST_COMMITS or b.rows + counted[b.name] > rows_per_bucket
+    ]
+    pieces = [p for b in rewritten for p in b.split(rows_per_bucket, counted[b.name])]
+    added = [b for b in grown if b not in rewritten]
+    rest = [b for b in now.buckets if b not in grown]
+    rows = conform(fresh, spark.createDataFrame([], schema))
+    if rewritten:
+        rows = rows.unionByName(table.read(rewritten))
+    commit, counts = table.write(rows, Manifest(0, rest + added + pieces))
+    written = [
+        Bucket(b.bits, b.value, {**b.commits, **_part(commit, counts, b.name)})
+        for b in added + pieces
+    ]
+    table.commit(now, rest + written)
+
+
+def _part(commit: str, counts: dict[str, int], name: str) -> dict[str, int]:
+    return {commit: counts[name]} if name in counts else {}
+
+
+def known_keys(table: _Table, batch: DataFrame, touched: list[Bucket]) -> DataFrame:
+    """The keys of ``batch`` that the table holds, by its filters and then its rows."""
+    possible = materialize(table.may_hold(batch, touched), "possible")
+    asked = {r[0] for r in possible.select(BUCKET).distinct().collect()}
+    stored = table.read([b for b in touched if b.name in asked], table.key)
+    return possible.select(*table.key).join(stored, table.key, "left_semi")
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -143,7 +413,7 @@ def read_version(spark: SparkSession, path: str, schema: StructType) -> DataFram
     """The newest complete version, or an empty frame before the first one."""
     versions = _versions(spark, path)
     if not versions:
-        return _empty(spark, schema)
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}")
 
 
@@ -172,8 +442,15 @@ def replace_parts(rows: DataFrame, path: str, part: str) -> None:
     )
 
 
+def read_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that is only appended to, or an empty frame before the first rows."""
+    stored = read_if_exists(spark, path)
+    return spark.createDataFrame([], schema) if stored is None else stored.select(*schema.names)
+
+
 def append_rows(
     spark: SparkSession, path: str, schema: StructType, staged: DataFrame
 ) -> None:
     """Append every row, missing columns filled with their defaults."""
-    conform(staged, _empty(spark, schema)).write.mode("append").parquet(path)
+    empty = spark.createDataFrame([], schema)
+    conform(staged, empty).write.mode("append").parquet(path)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tabloom.sources.store import upsert_into
+from tabloom.sources.store import ROWS_PER_BUCKET, upsert_into
 
 
 def file_stream(
@@ -59,7 +59,7 @@ def upsert_stream(
     update_cols: Sequence[str],
     order_by: Sequence[str],
     keep: str = "first",
-    buckets: int = 16,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> None:
     """Merge each batch of new files into a stored table."""
 
@@ -73,7 +73,7 @@ def upsert_stream(
             update_cols,
             order_by,
             keep=keep,
-            buckets=buckets,
+            rows_per_bucket=rows_per_bucket,
         )
 
     for_each_batch(stream, checkpoint, apply)

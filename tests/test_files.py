@@ -88,9 +88,9 @@ def staging(tmp_path):
 
 def test_etl_is_incremental(spark, staging):
     folder, root = staging
-    first = film_etl.run(spark, str(folder), root, buckets=4)
-    assert sorted(first.loaded) == ["directing.json", "train-1.csv"]
-    assert first.ignored == ["other.csv"]
+    first = film_etl.run(spark, str(folder), root, rows_per_bucket=2)
+    assert rows(first.loaded) == [("directing.json",), ("train-1.csv",)]
+    assert rows(first.ignored) == [("other.csv",)]
     assert rows(first.rejected_movies, "movie_id") == [("tt0000004",)]
     assert rows(first.orphans["directing"], "movie_id") == [("tt9999999",)]
     movies = film_etl.table(spark, root, "movies")
@@ -105,8 +105,8 @@ def test_etl_is_incremental(spark, staging):
 
     # Nothing new but the file without a route: nothing changes.
     before = rows(movies)
-    again = film_etl.run(spark, str(folder), root, buckets=4)
-    assert again.loaded == []
+    again = film_etl.run(spark, str(folder), root, rows_per_bucket=2)
+    assert again.loaded.isEmpty()
     assert rows(film_etl.table(spark, root, "movies")) == before
 
     # A new part alone: known films are updated, their derived columns stay.
@@ -118,8 +118,8 @@ def test_etl_is_incremental(spark, staging):
         folder / "test_hidden.csv",
         HEADER.removesuffix(",label") + "\n" + film(6, "Seis", label=""),
     )
-    third = film_etl.run(spark, str(folder), root, buckets=4)
-    assert sorted(third.loaded) == ["test_hidden.csv", "train-2.csv"]
+    third = film_etl.run(spark, str(folder), root, rows_per_bucket=2)
+    assert rows(third.loaded) == [("test_hidden.csv",), ("train-2.csv",)]
     got = {r.movie_id: r for r in film_etl.table(spark, root, "movies").collect()}
     assert len(got) == 5
     assert (got["tt0000002"].primary_title, got["tt0000002"].title_length) == ("otro nombre", 3)
@@ -137,11 +137,11 @@ def test_etl_repeats_a_run_that_lost_its_ledger(spark, staging, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(film_etl.ledger, "commit_files", crash)
         with pytest.raises(RuntimeError):
-            film_etl.run(spark, str(folder), root, buckets=4)
+            film_etl.run(spark, str(folder), root, rows_per_bucket=2)
     once = {n: rows(film_etl.table(spark, root, n).drop("audit_time")) for n in ("movies", "directing")}
     assert once["movies"] and once["directing"]
-    result = film_etl.run(spark, str(folder), root, buckets=4)
-    assert len(result.loaded) == 2
+    result = film_etl.run(spark, str(folder), root, rows_per_bucket=2)
+    assert result.loaded.count() == 2
     for name, expected in once.items():
         assert rows(film_etl.table(spark, root, name).drop("audit_time")) == expected
 
@@ -157,7 +157,7 @@ def test_etl_keeps_what_it_cannot_place_yet(spark, tmp_path):
     )
 
     def run():
-        film_etl.run(spark, str(folder), root, json_layout="lines", buckets=2)
+        film_etl.run(spark, str(folder), root, json_layout="lines", rows_per_bucket=2)
         stored = film_etl.table(spark, root, "directing")
         return (
             [m for (m,) in rows(stored, "movie_id")],
@@ -189,21 +189,121 @@ def test_versions_are_replaced_whole(spark, tmp_path):
     assert rows(store.read_version(spark, path, schema)) == [(1,)]
 
 
+def parquet_files(folder):
+    return {p: p.stat().st_mtime_ns for p in (folder / "data").rglob("*.parquet")}
+
+
 def test_store_rewrites_only_touched_buckets(spark, tmp_path):
     path = str(tmp_path / "table")
     schema = spark.createDataFrame([], "k bigint, v string").schema
     rows_in = spark.range(200).selectExpr("id AS k", "'a' AS v")
-    store.upsert_into(spark, path, schema, rows_in, ["k"], ["v"], ["v"], buckets=8)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+    size = {"rows_per_bucket": 25}
+    store.upsert_into(spark, path, schema, rows_in, ["k"], ["v"], ["v"], **size)
+    before = parquet_files(tmp_path / "table")
+    assert len(before) >= 8
     # An int key must find the bucket of the stored bigint.
     one = spark.createDataFrame([(5, "b")], "k int, v string")
-    store.upsert_into(spark, path, schema, one, ["k"], ["v"], ["v"], buckets=8)
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
-    kept = {p.parent for p in before if after.get(p) == before[p]}
-    assert len(kept) == 7
+    store.upsert_into(spark, path, schema, one, ["k"], ["v"], ["v"], rows_per_bucket=99)
+    after = parquet_files(tmp_path / "table")
+    # The version before is still there for readers that have begun.
+    assert before.items() <= after.items() and len(after) == len(before) + 1
     got = rows(store.read_table(spark, path, schema).where(F.col("v") == "b"))
     assert got == [(5, "b")]
     assert store.read_table(spark, path, schema).count() == 200
+    again = spark.createDataFrame([(5, "c")], "k int, v string")
+    store.upsert_into(spark, path, schema, again, ["k"], ["v"], ["v"], rows_per_bucket=99)
+    # The first version's bucket went.
+    assert len(parquet_files(tmp_path / "table")) == len(before) + 1
+    assert store.read_table(spark, path, schema).count() == 200
+
+
+@pytest.mark.parametrize("change", ["upsert", "insert"])
+def test_a_change_that_dies_before_its_manifest_has_not_happened(
+    spark, tmp_path, monkeypatch, change
+):
+    path = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "k bigint, v string").schema
+    first = spark.range(100).selectExpr("id AS k", "'a' AS v")
+    second = spark.range(50, 150).selectExpr("id AS k", "'b' AS v")
+
+    def apply(staged):
+        if change == "upsert":
+            store.upsert_into(
+                spark, path, schema, staged, ["k"], ["v"], ["v"], rows_per_bucket=20
+            )
+        else:
+            store.insert_new(spark, path, schema, staged, ["k"], ["v"], rows_per_bucket=20)
+
+    def crash(*_):
+        raise RuntimeError("killed before the manifest")
+
+    apply(first)
+    before = rows(store.read_table(spark, path, schema))
+    with monkeypatch.context() as patch:
+        patch.setattr(store._Files, "publish", crash)
+        with pytest.raises(RuntimeError):
+            apply(second)
+    assert rows(store.read_table(spark, path, schema)) == before
+    apply(second)
+    limit = 50 if change == "upsert" else 100
+    expected = [(i, "a" if i < limit else "b") for i in range(150)]
+    assert rows(store.read_table(spark, path, schema)) == sorted(expected, key=repr)
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path):
+    files_of = store._Files(spark, str(tmp_path / "table"))
+    files_of.publish(store.Manifest(1))
+    with pytest.raises(store.ConcurrentChange):
+        files_of.publish(store.Manifest(1))
+    assert files_of.versions() == [1]
+
+
+def test_buckets_split_as_the_table_grows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "k bigint, v string").schema
+    for i in range(12):
+        staged = spark.range(i * 30, i * 30 + 60).selectExpr("id AS k", f"'{i}' AS v")
+        store.insert_new(spark, path, schema, staged, ["k"], ["v"], rows_per_bucket=50)
+    manifest = store._Files(spark, path).latest()
+    assert manifest.version == 12
+    assert sum(2.0**-b.bits for b in manifest.buckets) == 1
+    assert len({b.bits for b in manifest.buckets}) > 1
+    assert max(len(b.commits) for b in manifest.buckets) <= 8
+    assert max(b.rows for b in manifest.buckets) <= 50
+    expected = [(k, str(max(0, k // 30 - 1))) for k in range(390)]
+    assert rows(store.read_table(spark, path, schema)) == sorted(expected, key=repr)
+    staged = spark.range(0, 390, 5).selectExpr("id AS k", "'u' AS v")
+    store.upsert_into(spark, path, schema, staged, ["k"], ["v"], ["v"], rows_per_bucket=50)
+    got = dict(rows(store.read_table(spark, path, schema)))
+    assert got == {k: "u" if k % 5 == 0 else v for k, v in expected}
+
+
+def test_an_insert_reads_only_buckets_that_may_hold_its_keys(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "k bigint, v string").schema
+    stored = spark.range(4000).selectExpr("id AS k", "'a' AS v")
+    store.insert_new(spark, path, schema, stored, ["k"], ["v"], rows_per_bucket=125)
+    table = store._Table(store._Files(spark, path), schema, ["k"], 125)
+    manifest = table.files.latest()
+    assert len(manifest.buckets) >= 32
+
+    def asked(low, high):
+        batch = table.hashed(spark.range(low, high).selectExpr("id AS k"))
+        named = batch.withColumn(store.BUCKET, manifest.name_of())
+        return table.may_hold(named, manifest.buckets)
+
+    assert asked(0, 4000).count() == 4000  # no stored key is ruled out
+    assert asked(5000, 9000).count() < 100  # nearly all new keys are
+    three = asked(1, 4).select(store.BUCKET).distinct().count()
+    known = store.known_keys(
+        table,
+        table.hashed(spark.range(1, 4).selectExpr("id AS k")).withColumn(
+            store.BUCKET, manifest.name_of()
+        ),
+        manifest.buckets,
+    )
+    data = [f for f in known.inputFiles() if "/data/" in f]
+    assert len(data) == three <= 3
 
 
 def test_scored_files_can_be_read_back_in_order(spark, tmp_path):
@@ -246,13 +346,31 @@ def test_names_are_relative_to_the_folder_itself(spark, tmp_path):
     assert rows(got) == [("staging/train-2.csv",), ("train-2.csv",)]
 
 
-def test_another_bucket_count_is_refused(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = spark.createDataFrame([], "k int, v string, o int").schema
-    staged = spark.createDataFrame([(i, "a", 0) for i in range(50)], schema)
-    args = (spark, path, schema, staged, ["k"], ["v"], ["o"])
-    store.upsert_into(*args, buckets=8)
-    with pytest.raises(ValueError):
-        store.upsert_into(*args, buckets=5)
-    store.upsert_into(*args, buckets=8)
-    assert store.read_table(spark, path, schema).count() == 50
+def test_json_documents_are_read_by_many_tasks(spark, tmp_path, conf):
+    names = ["movie", "director"]
+    odd = ['a, "b"', "x{[,]}", "\\", 'end\\"', "né, 漢", "", ",,", None, 7, True, 1.50]
+    data = [
+        {"movie": odd[i % len(odd)], "more": {"a": [1, {"b": "]"}]}, "director": f"nm{i}"}
+        for i in range(300)
+    ]
+    columns = {
+        c: {str(i): r[c] for i, r in enumerate(data)} for c in ("more", "movie", "director")
+    }
+    text = {None: None, 7: "7", True: "true", 1.5: "1.5"}
+    expected = sorted(
+        [(text.get(r["movie"], r["movie"]), r["director"]) for r in data], key=repr
+    )
+    write(tmp_path / "r" / "a.json", json.dumps(data))
+    write(tmp_path / "r" / "b.json", json.dumps([]))
+    write(tmp_path / "r" / "c.json", json.dumps({"movie": "one, two", "director": "x"}))
+    write(tmp_path / "c" / "a.json", json.dumps(columns, indent=1, ensure_ascii=False))
+    write(tmp_path / "c" / "b.json", json.dumps({"movie": {}, "director": {"0": "z"}}))
+    for size in ("37b", "1k", "1m"):
+        conf(files__maxPartitionBytes=size, files__openCostInBytes="0")
+        got = files.read_json(spark, str(tmp_path / "r"), names, "records")
+        assert rows(got) == sorted([*expected, ("one, two", "x")], key=repr)
+        got = files.read_json(spark, str(tmp_path / "c"), names, "columns")
+        assert rows(got) == sorted([*expected, (None, "z")], key=repr)
+    conf(files__maxPartitionBytes="1k", files__openCostInBytes="0")
+    chunks = spark.read.option("lineSep", ",").text(str(tmp_path / "r" / "a.json"))
+    assert chunks.rdd.getNumPartitions() > 10

@@ -56,7 +56,7 @@ def test_matches_sql(spark, db, name):
     assert actual == expected
 
 
-@pytest.mark.parametrize("name", ["score_gbt", "score_dt", "tune_rf"])
+@pytest.mark.parametrize("name", ["score_gbt", "score_dt", "kfold_accuracy", "holdout_accuracy"])
 def test_model_queries_run(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 

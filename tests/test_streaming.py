@@ -35,7 +35,7 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
             ["k"],
             ["v"],
             ["at"],
-            buckets=4,
+            rows_per_bucket=1,
         )
         return rows(store.read_table(spark, path, schema))
 
