@@ -41,16 +41,13 @@ def medians(
     ``exact`` ranks the distinct values of all columns in one distributed pass
     and holds for any number of them. ``builtin`` keeps every distinct value in
     one buffer: only for columns known to be narrow (minutes, years). ``approx``
-    is a sketch.
+    is a sketch: each median within one per cent of its value.
     """
     if method == "builtin":
         freq = F.col(weight) if weight else F.lit(1)
         return df.agg(*[F.percentile(c, 0.5, freq).alias(c) for c in columns])
-    if method == "approx":
-        if weight:
-            raise ValueError("the sketch takes no weights")
-        return df.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])
-    per_field = column_quantiles(df, columns, {"median": 0.5}, weight=weight)
+    error = 0.01 if method == "approx" else None
+    per_field = column_quantiles(df, columns, {"median": 0.5}, weight=weight, error=error)
     return per_field.agg(
         *[F.max(F.when(F.col("field") == c, F.col("median"))).alias(c) for c in columns]
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
@@ -69,11 +70,43 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return measured.select(F.inline(F.array(*cells)))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
+def automatic_bins(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Equal-width bins per column from its rows, range and quartiles.
+
+    The smaller of the Freedman-Diaconis and Sturges widths, as plotting
+    libraries take it; Sturges alone where the quartiles are equal.
+    """
+    number = {c: F.col(c).cast("double") for c in columns}
+    bounds = df.agg(
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[(F.max(number[c]) - F.min(number[c])).alias(f"range_{c}") for c in columns],
+    ).first()
+    quartiles = {
+        r["field"]: r["high"] - r["low"]
+        for r in column_quantiles(df, columns, {"low": 0.25, "high": 0.75}).collect()
+    }  # a row per column
+    found = {}
+    for c in columns:
+        n, span = bounds[f"n_{c}"], bounds[f"range_{c}"]
+        if not n or not span:
+            found[c] = 1
+            continue
+        sturges = span / (math.log2(n) + 1)
+        spread = 2 * quartiles[c] / n ** (1 / 3)
+        found[c] = math.ceil(span / (min(spread, sturges) if spread else sturges))
+    return found
+
+
+def histogram(df: DataFrame, columns: Sequence[str], bins: int | str = 50) -> DataFrame:
     """Equal-width bins per column: field, bin, lower edge and row count.
 
-    The bounds come from one aggregate and enter as scalar values.
+    ``bins`` may be ``auto``, see ``automatic_bins``. The bounds come from one
+    aggregate and enter as scalar values.
     """
+    if bins == "auto":
+        counts = automatic_bins(df, columns)
+    else:
+        counts = dict.fromkeys(columns, bins)
     bounds = df.agg(
         *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in columns],
         *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in columns],
@@ -81,10 +114,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
 
     def cell(c: str):
         low, high = bounds.select(f"lo_{c}").scalar(), bounds.select(f"hi_{c}").scalar()
-        width = (high - low) / bins
+        width = (high - low) / counts[c]
         at = F.floor(F.try_divide(F.col(c).cast("double") - low, width))
         # The maximum belongs to the last bin; a constant column has one bin.
-        bin_no = F.least(F.coalesce(at, F.lit(0)), F.lit(bins - 1)).cast("int")
+        bin_no = F.least(F.coalesce(at, F.lit(0)), F.lit(counts[c] - 1)).cast("int")
         return F.struct(
             F.lit(c).alias("field"),
             F.when(F.col(c).isNotNull(), bin_no).alias("bin"),
@@ -99,8 +132,14 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     )
 
 
-def class_quantiles(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """Per column and class: count, minimum, quartiles, maximum (exact)."""
+def class_quantiles(
+    df: DataFrame, columns: Sequence[str], label: str, error: float | None = None
+) -> DataFrame:
+    """Per column and class: count, minimum, quartiles, maximum.
+
+    Exact, or with ``error`` the quartiles from a sketch, each within that share
+    of the value (see ``ordered.quantile_sketch``).
+    """
     known = df.where(F.col(label).isNotNull())
     limits = known.groupBy(label).agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
@@ -115,7 +154,7 @@ def class_quantiles(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
         for c in columns
     ]
     quartiles = column_quantiles(
-        known, columns, {"q25": 0.25, "median": 0.5, "q75": 0.75}, [label]
+        known, columns, {"q25": 0.25, "median": 0.5, "q75": 0.75}, [label], error=error
     )
     return limits.select(label, F.inline(F.array(*cells))).join(
         quartiles, ["field", label], "left"

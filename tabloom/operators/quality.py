@@ -84,6 +84,49 @@ def report(
     )
 
 
+def side_by_side(reports: Mapping[str, DataFrame], base: str) -> DataFrame:
+    """Reports of several stores in one table, each count beside that of ``base``.
+
+    Per store, field and status: ``Count``, ``duplicate_count`` and
+    ``correct_or_error`` of the store, ``base_count``, and ``share`` and
+    ``base_share`` of the field's rows. A status that a store has no row of is a
+    row with count 0 if another one has it.
+    """
+    names = ["Field", "table_name", "correct_or_error_type", "correct_or_error"]
+    rows = reduce(
+        DataFrame.unionByName,
+        [report.withColumn("store", F.lit(name)) for name, report in reports.items()],
+    )
+    stores = F.array(*map(F.lit, reports))
+    # Reports have a row per rule and status, whatever the tables hold.
+    wide = (
+        rows.groupBy(*names)
+        .agg(F.map_from_entries(F.collect_list(F.struct("store", "Count"))).alias("counts"))
+        .select(*names, "counts", F.explode(stores).alias("store"))
+        .withColumn("Count", F.coalesce(F.col("counts")[F.col("store")], F.lit(0)))
+        .withColumn("base_count", F.coalesce(F.col("counts")[base], F.lit(0)))
+    )
+    repeated = rows.groupBy("store", "table_name").agg(
+        F.max("duplicate_count").alias("duplicate_count")
+    )
+    totals = wide.groupBy("store", "Field").agg(
+        F.sum("Count").alias("rows"), F.sum("base_count").alias("base_rows")
+    )
+    return (
+        wide.join(totals, ["store", "Field"])
+        .join(repeated, ["store", "table_name"], "left")
+        .select(
+            "store",
+            *names,
+            "Count",
+            F.coalesce("duplicate_count", F.lit(0)).alias("duplicate_count"),
+            F.try_divide("Count", "rows").alias("share"),
+            "base_count",
+            F.try_divide("base_count", "base_rows").alias("base_share"),
+        )
+    )
+
+
 # --- film catalogue preset -------------------------------------------------
 # Id formats, null words, limits and statuses of the report. The
 # title rule of primary_title tests original_title for the null words.
@@ -168,3 +211,11 @@ def film_report(
             "movies": (movies, MOVIE_RULES, schemas.MOVIE_DUPLICATE_COLS),
         }
     )
+
+
+def film_reports(
+    stores: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]], base: str
+) -> DataFrame:
+    """``film_report`` of several stores (movies, directing, writing) side by side."""
+    reports = {name: film_report(*tables) for name, tables in stores.items()}
+    return side_by_side(reports, base)

@@ -19,9 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The sketch returns at most this many keys, so the broadcast below is bounded.
-MAX_HOT_KEYS = 256
-_TRACKED = 10_000
+# Hot keys are broadcast. A key is hot beyond ``ROWS_PER_SALT`` rows, or a greater
+# number that leaves no more than this many of them: fewer than ``rows / limit``
+# keys can have more than ``limit`` rows, and the sketch tracks all of those.
+MAX_HOT_KEYS = 20_000
 ROWS_PER_SALT = 2_000_000
 
 _HASH, _SALTS, _SALT = "__key_hash", "__salts", "__salt"
@@ -30,16 +31,21 @@ _HASH, _SALTS, _SALT = "__key_hash", "__salts", "__salt"
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
-    """Hashes of the keys with more than ``rows_per_salt`` rows (<= 256 rows)."""
+    """Hashes of all keys with more than ``rows_per_salt`` rows, and their salts."""
+    rows = df.count()
+    limit = max(rows_per_salt, -(-rows // MAX_HOT_KEYS))
+    most = max(1, rows // limit)
+    # A sketch of n counters errs by less than rows / n.
+    tracked = min(1_000_000, 20 * most + 1_000)
     sketch = df.select(F.xxhash64(*keys).alias(_HASH)).agg(
-        F.expr(f"approx_top_k({_HASH}, {MAX_HOT_KEYS}, {_TRACKED})").alias("top")
+        F.expr(f"approx_top_k({_HASH}, {most}, {tracked})").alias("top")
     )
     return (
         sketch.select(F.inline("top"))
-        .where(F.col("count") > rows_per_salt)
+        .where(F.col("count") > limit)
         .select(
             F.col("item").alias(_HASH),
-            F.ceil(F.col("count") / rows_per_salt).cast("int").alias(_SALTS),
+            F.ceil(F.col("count") / limit).cast("int").alias(_SALTS),
         )
     )
 

@@ -189,6 +189,22 @@ def entity_scores_writer(spark, folder):
     return rounded(_entity_scores(spark, folder, "writer_id"), "avg_score")
 
 
+@query
+def entity_scores_leave_one_out(spark, folder):
+    out = encoding.leave_out_scores(
+        bridge(spark, folder, "writer_id"), films(spark, folder), "writer_id"
+    )
+    return rounded(out, "avg_score")
+
+
+@query
+def entity_scores_out_of_fold(spark, folder):
+    out = encoding.leave_out_scores(
+        bridge(spark, folder, "director_id"), films(spark, folder), "director_id", folds=5
+    )
+    return rounded(out, "avg_score")
+
+
 # --- rows, subsets, nulls --------------------------------------------------------
 
 
@@ -487,6 +503,22 @@ def dq_report(spark, folder):
     )
 
 
+@query
+def dq_report_stores(spark, folder):
+    """The report over a clean store, one with broken ids and one with duplicates."""
+    movies = catalogue(spark, folder)
+    directing, writing = (
+        catalogue_pairs(spark, folder, p) for p in ("director_id", "writer_id")
+    )
+    again = movies.where("title_changed IS NULL")
+    stores = {
+        "clean": (movies.where("movie_id LIKE 'tt%'"), directing.where("director_id LIKE 'nm%'"), writing),
+        "dirty": (movies, directing, writing),
+        "duplicates": (movies.unionByName(again), directing, writing),
+    }
+    return rounded(quality.film_reports(stores, "clean"), "share", "base_share")
+
+
 @query
 def dq_report_csv(spark, folder):
     path = scratch_path(spark, "report")
@@ -672,6 +704,21 @@ def histogram(spark, folder):
     return rounded(out, "bin_start")
 
 
+@query
+def histogram_auto(spark, folder):
+    out = profile.histogram(
+        load(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"], "auto"
+    )
+    return rounded(out, "bin_start")
+
+
+@query
+def class_quantiles_sketch(spark, folder):
+    """Quartiles within one per cent, from a sketch of bounded size."""
+    out = profile.class_quantiles(films(spark, folder), _NUMBERS, "label", error=0.01)
+    return rounded(out, "q25", "median", "q75")
+
+
 @query
 def class_quantiles(spark, folder):
     out = profile.class_quantiles(films(spark, folder), _NUMBERS, "label")

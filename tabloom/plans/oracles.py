@@ -224,6 +224,59 @@ def _dq_report() -> str:
     )
 
 
+def _dq_stores() -> str:
+    films, directors = _VIEWS["catalogue"], _VIEWS["catalogue_directors"]
+    only_films = f"SELECT * FROM ({films}) WHERE movie_id LIKE 'tt%'"
+    only_directors = f"SELECT * FROM ({directors}) WHERE director_id LIKE 'nm%'"
+    twice = f"""SELECT * FROM ({films}) UNION ALL
+                SELECT * FROM ({films}) WHERE title_changed IS NULL"""
+    stores = {
+        "clean": (only_films, only_directors),
+        "dirty": (films, directors),
+        "duplicates": (twice, directors),
+    }
+    parts = []
+    for name, (some_films, some_directors) in stores.items():
+        sql = _dq_report().replace(films, some_films).replace(directors, some_directors)
+        parts.append(f"SELECT '{name}' AS store, * FROM ({sql})")
+    key = "Field, table_name, correct_or_error_type, correct_or_error"
+    return f"""
+    WITH r AS ({" UNION ALL ".join(parts)}),
+    cells AS (SELECT * FROM (SELECT DISTINCT {key} FROM r), (SELECT DISTINCT store FROM r)),
+    counted AS (
+        SELECT cells.*, COALESCE(r.Count, 0) AS Count, COALESCE(b.Count, 0) AS base_count
+        FROM cells LEFT JOIN r USING (store, {key})
+        LEFT JOIN (SELECT * FROM r WHERE store = 'clean') b USING ({key}))
+    SELECT c.store, {key}, Count, COALESCE(n, 0) AS duplicate_count,
+           round(Count / SUM(Count) OVER field, 6) AS share, base_count,
+           round(base_count / SUM(base_count) OVER field, 6) AS base_share
+    FROM counted c LEFT JOIN (
+        SELECT store, table_name, MAX(duplicate_count) AS n FROM r GROUP BY ALL) d
+        USING (store, table_name)
+    WINDOW field AS (PARTITION BY c.store, Field)"""
+
+
+def _leave_out(role: str, same: str) -> str:
+    """Scores of persons over train films, those that are the ``same`` left out."""
+    bridge = {"director": "directing", "writer": "writing"}[role]
+    return _with(
+        f"movies {bridge}",
+        f"""
+        SELECT a.movie_id, COUNT(*) AS person_count,
+               round(AVG(COALESCE(s, 0.5)), 6) AS avg_score
+        FROM pairs a LEFT JOIN (
+            SELECT a.movie_id, a.{role}_id, AVG(b.y) AS s
+            FROM pairs a JOIN pairs b ON a.{role}_id = b.{role}_id
+            WHERE b.train AND NOT (a.train AND {same}) GROUP BY ALL) USING (movie_id, {role}_id)
+        GROUP BY a.movie_id""",
+        f"""pairs AS (
+            SELECT movie_id, {role}_id, subset = 'train' AS train,
+                   {_bucket("movie_id", 5)} AS fold,
+                   CASE WHEN label THEN 1.0::DOUBLE ELSE 0 END AS y
+            FROM {bridge} JOIN movies USING (movie_id))""",
+    )
+
+
 def _person_stats(role: str) -> str:
     return f"""
     SELECT {role}_id AS person_id, round(AVG(label::INT), 6) AS label_mean,
@@ -288,6 +341,43 @@ def _histogram() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _histogram_auto() -> str:
+    rows = []
+    for c in ("l_quantity", "l_extendedprice"):
+        rows.append(
+            f"""
+        SELECT '{c}' AS field, bin, round(lo + bin * ((hi - lo) / bins), 6) AS bin_start,
+               COUNT(*) AS n
+        FROM (SELECT lo, hi, bins,
+                     CAST(LEAST(FLOOR(({c} - lo) / ((hi - lo) / bins)), bins - 1) AS INT) AS bin
+              FROM lineitem, (
+                  SELECT lo, hi, CEIL((hi - lo) / LEAST(
+                      CASE WHEN iqr > 0 THEN 2 * iqr / n ** (1.0 / 3) ELSE hi - lo END,
+                      (hi - lo) / (log2(n) + 1))) AS bins
+                  FROM (SELECT MIN({c}) AS lo, MAX({c}) AS hi, COUNT({c}) AS n,
+                               quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS iqr
+                        FROM lineitem)))
+        GROUP BY ALL"""
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _class_quantiles_sketch() -> str:
+    ratio = "ln(1.01::DOUBLE / 0.99)"
+    rows = []
+    for c in ("num_votes", "runtime_min", "title_length"):
+        near = f"exp(ceil(ln({c}::DOUBLE) / {ratio}) * {ratio}) * 0.99"
+        rows.append(
+            f"""
+        SELECT '{c}' AS field, label, COUNT({c}) AS n, MIN({c})::DOUBLE AS min,
+               MAX({c})::DOUBLE AS max, round(quantile_cont({near}, 0.25), 6)::DOUBLE AS q25,
+               round(quantile_cont({near}, 0.5), 6)::DOUBLE AS median,
+               round(quantile_cont({near}, 0.75), 6)::DOUBLE AS q75
+        FROM movies WHERE label IS NOT NULL GROUP BY label"""
+        )
+    return _with("movies", " UNION ALL ".join(rows))
+
+
 def _class_quantiles() -> str:
     rows = [
         f"""
@@ -569,6 +659,11 @@ def oracle_sql() -> dict[str, str]:
                 PARTITION BY p_name, p_brand, p_type ORDER BY p_partkey) = 1""",
         "dq_report": _dq_report(),
         "dq_report_csv": _dq_report(),
+        "dq_report_stores": _dq_stores(),
+        "entity_scores_leave_one_out": _leave_out("writer", "b.movie_id = a.movie_id"),
+        "entity_scores_out_of_fold": _leave_out("director", "b.fold = a.fold"),
+        "histogram_auto": _histogram_auto(),
+        "class_quantiles_sketch": _class_quantiles_sketch(),
         "fanout_person_stats": _with(
             "fan", _person_stats("director") + " UNION ALL " + _person_stats("writer")
         ),

@@ -3,6 +3,8 @@ import datetime
 from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tabloom.operators import constraints, dedupe, merge
 
@@ -80,3 +82,19 @@ def test_duplicate_groups_count_nulls_together(spark):
     df = frame(spark, [(1, None, "x"), (1, None, "x"), (2, "y", "x")])
     assert dedupe.duplicate_group_count(df, ["k", "a", "b"]).first()[0] == 1
     assert rows(dedupe.keep_one(df, ["k"], ["a", "b"])) == [(1, None, "x"), (2, "y", "x")]
+
+
+def test_duplicate_rows_of_large_and_small_groups(spark):
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN id % 50 ELSE 1000 + id END AS c",
+        "id * 7919 % 3000 AS o", "id AS payload",
+    )
+    content, order = ["c"], ["o"]
+    window = Window.partitionBy("c").orderBy("o")
+    expected = rows(
+        df.withColumn("row_num", F.row_number().over(window).cast("long")).where("row_num > 1")
+    )
+    for large in (1, 30, 500, 10_000):
+        got = dedupe.duplicate_rows(df, content, order, large=large)
+        assert got.columns == [*df.columns, "row_num"]
+        assert rows(got) == expected

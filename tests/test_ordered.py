@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from conftest import final_plan, rows
 
-from tabloom.operators import dedupe, ordered
+from tabloom.operators import cleaning, dedupe, ordered
 
 
 def expected_running(data):
@@ -89,7 +89,7 @@ def test_quantiles_of_nulls(spark):
 
 def test_no_window_runs_in_one_task(spark):
     df = spark.range(2000).selectExpr("id", "id % 2 AS g")
-    plan = final_plan(dedupe.duplicate_rows(df, ["g"], ["id"]))
+    plan = final_plan(dedupe.duplicate_rows(df, ["g"], ["id"], large=100))
     # The big window is clustered by stored partition and group.
     assert "hashpartitioning(__part" in plan
     assert "Window" in plan
@@ -100,3 +100,34 @@ def test_duplicate_rows_number_a_hot_group(spark):
     df = spark.range(900).selectExpr("id", "if(id < 600, 0, id) AS g")
     out = dedupe.duplicate_rows(df, ["g"], ["id"]).collect()
     assert sorted((r.id, r.row_num) for r in out) == [(i, i + 1) for i in range(1, 600)]
+
+
+def test_sketches_stay_within_their_error_and_can_be_merged(spark):
+    rng = np.random.default_rng(3)
+    data = [
+        (int(i % 3), float(x), int(w))
+        for i, (x, w) in enumerate(
+            zip(np.exp(rng.normal(0, 6, 3000)) * rng.choice([-1, 0, 1], 3000), rng.integers(0, 5, 3000))
+        )
+    ]
+    df = spark.createDataFrame([*data, (0, None, 1)], "g int, v double, w long")
+    wanted = {"p1": 0.01, "p50": 0.5, "p99": 0.99}
+    error = 0.02
+    parts = [
+        ordered.quantile_sketch(df.where(f"pmod(hash(v), 2) = {i}"), ["v"], error, ["g"], "w")
+        for i in (0, 1)
+    ]
+    merged = parts[0].unionByName(parts[1])
+    got = {r.g: r for r in ordered.sketch_quantiles(merged, wanted, ["g"]).collect()}
+    exact = {r.g: r for r in ordered.quantiles(df, "v", wanted, ["g"], "w").collect()}
+    for g, row in exact.items():
+        for name in wanted:
+            assert abs(got[g][name] - row[name]) <= error * abs(row[name]) + 1e-12
+    wide = ordered.quantile_sketch(spark.range(100_000).selectExpr("id * id AS v"), ["v"], error)
+    assert wide.count() < 700
+
+
+def test_approximate_medians_take_weights(spark):
+    df = spark.createDataFrame([(1.0, 1), (10.0, 5), (500.0, 1)], "v double, w long")
+    got = cleaning.medians(df, ["v"], weight="w", method="approx").first().v
+    assert got == pytest.approx(10, rel=0.01)

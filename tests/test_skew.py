@@ -33,9 +33,15 @@ def test_salted_join_spreads_the_hot_key(spark, conf):
     assert max(r["__salts"] for r in hot) == 20
 
 
-def test_hot_keys_are_bounded(spark):
-    many = spark.range(20000).selectExpr("id % 2000 AS k")
-    assert skew.hot_keys(many, ["k"], 1).count() <= skew.MAX_HOT_KEYS
+def test_every_hot_key_is_found_and_their_number_is_bounded(spark, monkeypatch):
+    # 400 keys of 50 rows among 20,000 rare ones: none of the 400 may stay whole.
+    many = spark.range(40000).selectExpr(
+        "CASE WHEN id < 20000 THEN id % 400 ELSE id END AS k"
+    )
+    assert skew.hot_keys(many, ["k"], 20).count() == 400
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 100)
+    # At most a hundred are broadcast: now a key is hot beyond 400 rows, and none is.
+    assert skew.hot_keys(many, ["k"], 20).count() == 0
 
 
 def test_session_without_skew_handling_salts(spark, conf):
