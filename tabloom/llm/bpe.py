@@ -1,11 +1,13 @@
 """Whole texts to token ids with the ``tokenizers`` library, once per distinct piece.
 
-A byte-level BPE with the usual pre-tokenizer pattern never forms a token that
-reaches from a character that is not white space over a following space: no
-alternative of the pattern has a space anywhere but at its start. A text can
-therefore be cut before every such space and the cuts be encoded one by one;
-the ids of the pieces, one after the other, are the ids of the text. Pieces
-repeat, so each is encoded once per task and kept.
+In a byte-level BPE with the usual pre-tokenizer pattern a space that a
+character other than white space follows begins a match: the pattern's words
+take the space in front of them, and a run of white space leaves its last
+character to them. A text can therefore be cut before every such space and the
+cuts be encoded one by one; the ids of the pieces, one after the other, are the
+ids of the text. Pieces repeat, so a batch is cut and its pieces are numbered
+in Arrow, each distinct piece is encoded once, and its ids are put wherever it
+stands with numpy.
 """
 
 from __future__ import annotations
@@ -14,110 +16,202 @@ import base64
 import os
 import re
 from collections.abc import Iterator
-from itertools import compress, islice
-from operator import not_
-from struct import pack
+from itertools import repeat
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-_CACHED_PIECES = 400_000
-_CACHED_RANKED = 80_000  # decoding runs in workers of its own beside these
+_CACHED_BYTES = 64 << 20  # of pieces that a worker keeps
+_OVERHEAD = 150  # bytes of a kept piece beside its own and its ids
+_LONGEST = 64  # characters of a piece that is kept for later steps
+_STEP_BYTES = 4 << 20  # of text that is cut at once
+_JOINED = 1 << 16  # characters of new pieces that are encoded as one text
 _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its next tasks
-_AFTER_SPACE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
-_HEAD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+# White space by its code points: the engines' classes differ.
+_WHITE = "\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+_UNCUT_SPACE = f" [{_WHITE}]"
+_CUT = re.compile(r"(?= \S)")
 
 
 def pieces(text: str) -> list[str]:
-    """Cut before every space that follows a character that is not white space."""
-    if not text:
-        return []
-    if text[0] != " " and not _AFTER_SPACE.search(text):
-        first, *others = text.split(" ")
-        return [first, *[" " + x for x in others]]
-    return _CUT.split(text)
+    """Cut before every space that a character other than white space follows."""
+    found = _CUT.split(text)
+    return found if found[0] else found[1:]
 
 
 class PieceEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids.
+    """Encodes texts to unsigned 32-bit ids.
 
-    ``tokenizer`` must be byte-level BPE with the pattern described above.
+    ``tokenizer`` must be byte-level BPE with the pattern described above. Texts
+    that hold an added token's text are left to the library as a whole.
     """
 
-    def __init__(self, tokenizer: Tokenizer, cached: int = _CACHED_PIECES):
+    def __init__(self, tokenizer: Tokenizer, cached: int = _CACHED_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
         self.cached = cached
-        # Past the pre-tokenizer: for words that are known to be one match.
-        self._match = tokenizer.model.tokenize
-        self._shown = dict(enumerate(byte_characters()))
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self._added = "|".join(map(re.escape, added))
+        space = byte_characters()[0x20]
+        vocabulary = tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers: dict[str, int] = {}  # of kept pieces
+        self._ids = np.empty(0, np.uint32)  # of all pieces learnt, in a row
+        self._sizes = np.empty(0, np.int64)
+        self._held = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(text) for text in texts]
-        if len(self._known) > self.cached:  # pieces in use move over again
-            self._older, self._known = self._known, {}
-        known, older = self._known, self._older
-        found = [list(map(known.get, part)) for part in cut]
-        wanted: set[str] = set()
-        for part, ids in zip(cut, found, strict=True):
-            if not all(ids):
-                wanted.update(compress(part, map(not_, ids)))
-        if older:
-            known.update((x, older[x]) for x in wanted if x in older)
-        self._learn([x for x in wanted if x not in known])
-        return [
-            b"".join(ids if all(ids) else [i or known[x] for i, x in zip(ids, part)])
-            for part, ids in zip(cut, found, strict=True)
-        ]
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode pieces: a word at the start and what follows it, each once.
-
-        A run of letters before an ASCII character that is no letter is a
-        match of its own in the pattern.
+        """Each text's ids as little-endian bytes."""
+        out: list[bytes] = []
+        for ids, ends in self.batches(pa.array(texts, pa.string())):
+            starts = np.concatenate([[0], ends[:-1]])
+            data = ids.astype("<u4", copy=False).tobytes()
+            out += [
+                data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())
+            ]
+        return out
+
+    def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of consecutive texts and where each text's ids end.
+
+        A null is an empty text. A step holds some texts, as many as are cut at
+        once, so that memory is bounded by them or one long text.
         """
-        known = self._known
-        halves: dict[str, int] = {}
-        heads: set[str] = set()
-        others: set[str] = set()
-        for piece in new:
-            found = _HEAD.match(piece)
-            end = found.end() if found else 0
-            if end == len(piece):
-                heads.add(piece)
-            elif end and piece[end] < "\x80":
-                halves[piece] = end
-                heads.add(piece[:end])
-                others.add(piece[end:])
-            else:
-                others.add(piece)
-        shown = self._shown
-        for head in heads:
-            if head not in known:
-                spelled = head.encode().decode("latin-1").translate(shown)
-                ids = [token.id for token in self._match(spelled)]
-                known[head] = pack(f"<{len(ids)}I", *ids)
-        for batch in _batches(x for x in others if x not in known):
-            self._store(batch)
-        for piece, end in halves.items():
-            known[piece] = known[piece[:end]] + known[piece[end:]]
-
-    def _store(self, batch: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
-        self._known.update(
-            (x, pack(f"<{len(ids)}I", *ids))
-            for x, ids in zip(batch, (e.ids for e in found), strict=True)
-        )
-
-
-def _batches(texts: Iterator[str], size: int = 4096) -> Iterator[list[str]]:
-    texts = iter(texts)
-    while batch := list(islice(texts, size)):
+        texts = pc.fill_null(texts, "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(texts):
+            before = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, before + _STEP_BYTES)))
+            yield self._step(texts.slice(begin, end - begin))
+            begin = end
+
+    def _step(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        cut = pc.split_pattern(texts, " ")
+        bounds = cut.offsets.to_numpy()
+        counted = cut.values.dictionary_encode()
+        names = counted.dictionary
+        codes = counted.indices.to_numpy().copy()
+        first = bounds[:-1]  # these have no space in front
+        heads, at = np.unique(codes[first], return_inverse=True)
+        codes[first] = len(names) + at
+        keys = pc.binary_join_element_wise(pa.scalar(" "), names, "").to_pylist()
+        keys += names.take(pa.array(heads)).to_pylist()
+        del cut, counted
+        odd = pc.match_substring_regex(texts, _UNCUT_SPACE).to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(texts), bool)
+        if self._added:
+            found = pc.match_substring_regex(texts, self._added)
+            whole = found.to_numpy(zero_copy_only=False)
+        ends = bounds[1:]
+        if (odd | whole).any():
+            codes, ends = self._recut(texts, codes, bounds, odd & ~whole, whole, keys)
+        numbers = self._numbered(keys)
+        ids, sizes = self._ids, self._sizes
+        if whole.any():  # the ids of such a text are one piece more
+            more = [
+                np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4")
+                for t in texts.filter(pa.array(whole)).to_pylist()
+            ]
+            numbers = np.concatenate([numbers, len(sizes) + np.arange(len(more))])
+            sizes = np.concatenate([sizes, [len(x) for x in more]])
+            ids = np.concatenate([ids, *more])
+        starts = np.cumsum(sizes) - sizes
+        codes = numbers[codes]
+        own = sizes[codes]
+        total = np.concatenate([[0], np.cumsum(own)])
+        kind = np.int32 if max(len(ids), total[-1]) < 1 << 31 else np.int64
+        place = np.repeat((starts[codes] - total[:-1]).astype(kind), own)
+        place += np.arange(total[-1], dtype=kind)
+        return ids[place], total[ends]
+
+    def _recut(self, texts, codes, bounds, odd, whole, keys):
+        """Codes of the pieces where some texts are cut otherwise than at each space.
+
+        New pieces are added to ``keys``; a text that is left whole gets one code
+        behind all keys.
+        """
+        numbers: dict[str, int] = {}
+        parts = np.split(codes, bounds[1:-1])
+        for i in np.flatnonzero(odd):
+            cut = pieces(texts[int(i)].as_py())
+            parts[i] = np.array(
+                [numbers.setdefault(x, len(keys) + len(numbers)) for x in cut], np.int64
+            )
+        keys += numbers
+        for n, i in enumerate(np.flatnonzero(whole)):
+            parts[i] = np.array([len(keys) + n])
+        return np.concatenate(parts), np.cumsum([len(x) for x in parts])
+
+    def _numbered(self, keys: list[str]) -> np.ndarray:
+        """The number of each distinct piece among those learnt."""
+        if self._held > self.cached:
+            self._forget()
+        found = map(self._numbers.get, keys, repeat(-1))
+        numbers = np.fromiter(found, np.int64, len(keys))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            base = len(self._sizes)
+            new = [keys[i] for i in missing]
+            order, ids, sizes = self._learn(new)
+            numbers[missing[order]] = base + np.arange(len(order))
+            self._ids = np.concatenate([self._ids, ids])
+            self._sizes = np.concatenate([self._sizes, sizes])
+            kept = {
+                key: n
+                for key, n in zip(new, numbers[missing].tolist())
+                if len(key) <= _LONGEST
+            }
+            self._numbers.update(kept)
+            self._held += sum(map(len, kept)) + _OVERHEAD * len(kept) + 4 * len(ids)
+        return numbers
+
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces in some order, their ids in a row, how many each has.
+
+        Pieces that begin with their only space are encoded as one text; in its
+        ids every token that begins with a space begins a piece.
+        """
+        joined, others = [], []
+        for i, piece in enumerate(new):
+            plain = piece.rfind(" ") == 0 and len(piece) > 1 and not piece[1].isspace()
+            (joined if plain else others).append(i)
+        encode = self.tokenizer.encode_batch_fast
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for texts in _chunks(new[i] for i in joined):
+            found = encode(["".join(texts)], add_special_tokens=False)[0].ids
+            found = np.array(found, np.uint32)
+            starts = np.flatnonzero(self._spaced[found])
+            if len(starts) != len(texts):
+                raise ValueError("the tokenizer joins pieces: its pattern is another one")
+            ids.append(found)
+            sizes.append(np.diff(starts, append=len(found)))
+        for texts in _chunks(new[i] for i in others):
+            found = [e.ids for e in encode(texts, add_special_tokens=False)]
+            ids.append(np.array([x for own in found for x in own], np.uint32))
+            sizes.append(np.array([len(own) for own in found], np.int64))
+        order = np.array(joined + others, np.int64)
+        return order, np.concatenate(ids), np.concatenate(sizes)
+
+
+def _chunks(texts: Iterator[str]) -> Iterator[list[str]]:
+    """Lists of texts of bounded length together, or one long text."""
+    batch, size = [], 0
+    for text in texts:
+        batch.append(text)
+        size += len(text)
+        if size >= _JOINED:
+            yield batch
+            batch, size = [], 0
+    if batch:
         yield batch
 
 
@@ -198,4 +292,4 @@ def _build(path: str, pattern: str) -> PieceEncoder:
         ]
     )
     tokenizer.decoder = decoders.ByteLevel()
-    return PieceEncoder(tokenizer, _CACHED_RANKED)
+    return PieceEncoder(tokenizer)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from tabloom.llm import (
     ball_kmeans,
@@ -40,11 +38,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return on_workers(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-@F.pandas_udf(LongType())
-def crc32(column):
-    return column.map(zlib.crc32).astype("int64")
-
-
 @query
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     index = token_files.write_tokens(
@@ -54,7 +47,7 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
         end_id=2,
     )
     return token_files.read_tokens(index).select(
-        "doc_id", "start", "n_tokens", crc32("ids").alias("ids_crc32")
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
 
 

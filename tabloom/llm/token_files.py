@@ -22,11 +22,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabloom.llm import bpe
-from tabloom.llm.common import id_key, id_value, partitions, sorted_groups
+from tabloom.llm.common import id_key, id_value, sorted_groups
 from tabloom.session import materialize, scratch_path
 
 BATCH = 256
-_DOCS_PER_SHARD = 50_000
+_SHARD_BYTES = 32 << 20  # of text
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
@@ -149,38 +149,34 @@ def write_tokens(
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         shard = TaskContext.get().partitionId()
         writer: ShardWriter | None = None
-        end = np.array([end_id], "<u4")
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [x or "" for x in part.column("text").to_pylist()]
-                if not texts:
-                    continue
-                if writer is None:
-                    name = f"shard-{shard:05d}-{uuid.uuid4().hex}.arrow"
-                    writer = ShardWriter(folder, name, length, vocabulary)
-                begins, counts = [], []
-                for ids in encoder.encode(texts):
-                    begins.append(writer.tokens)
-                    writer.add(np.frombuffer(ids, "<u4"))
-                    writer.add(end)
-                    counts.append(writer.tokens - begins[-1])
-                size = len(texts)
+            if batch.num_rows and writer is None:
+                name = f"shard-{shard:05d}-{uuid.uuid4().hex}.arrow"
+                writer = ShardWriter(folder, name, length, vocabulary)
+            at = 0
+            for ids, ends in encoder.batches(batch.column("text")):
+                before = writer.tokens
+                writer.add(np.insert(ids, ends, end_id))
+                closed = before + ends + np.arange(1, len(ends) + 1)
+                begins = np.concatenate([[before], closed[:-1]])
+                size = len(ends)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("key"),
-                        pa.array([shard] * size, pa.int32()),
+                        batch.column("key").slice(at, size),
+                        pa.array(np.full(size, shard, np.int32)),
                         pa.array([writer.path] * size),
-                        pa.array(begins, pa.int64()),
-                        pa.array(counts, pa.int64()),
+                        pa.array(begins),
+                        pa.array(closed - begins),
                     ],
                     ["key", "shard", "path", "begin", "n_tokens"],
                 )
+                at += size
         if writer is not None:
             writer.close()
 
     rows = docs.select(id_key(id_column).alias("key"), F.col(text_column).alias("text"))
-    count = partitions(docs.count(), _DOCS_PER_SHARD, spark)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(1, -(-size // _SHARD_BYTES))
     index = materialize(
         rows.repartitionByRange(count, "key", F.xxhash64("text"))
         .sortWithinPartitions("key", "text")

@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import re
 import zlib
 
@@ -118,50 +120,6 @@ def normal(line):
     return " ".join(line.lower().split())
 
 
-def lines(docs, least=24, shingle=8, threshold=0.8):
-    """Documents with distinct ids."""
-    all_lines = [
-        (order(key), i, normal(x))
-        for key, text in docs
-        for i, x in enumerate((text or "").split("\n"))
-        if len(normal(x)) >= least
-    ]
-    different = sorted({x for _, _, x in all_lines})
-    sets = [{x[i : i + shingle] for i in range(len(x) - shingle + 1)} for x in different]
-    links = []
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            if min(len(a), len(b)) >= threshold * max(len(a), len(b)):
-                shared = len(a & b)
-                if shared >= threshold * (len(a) + len(b) - shared):
-                    links.append((i, j))
-    group = dict(
-        zip(different, components(len(different), links, list(range(len(different)))))
-    )
-    stays = {}
-    for o, i, x in all_lines:
-        g = group[x]
-        stays[g] = min(stays.get(g, (o, i)), (o, i))
-    gone = collections.defaultdict(set)
-    for o, i, x in all_lines:
-        if stays[group[x]] != (o, i):
-            gone[o].add(i)
-    out = []
-    for key, text in docs:
-        own = (text or "").split("\n")
-        kept = "\n".join(x for i, x in enumerate(own) if i not in gone[order(key)])
-        out.append(
-            (
-                key,
-                sum(1 for x in own if x.strip()),
-                len(gone[order(key)]),
-                hashlib.sha256(kept.encode()).hexdigest(),
-            )
-        )
-    return out
-
-
 def every_line(docs, shingle=8, threshold=0.8):
     """(id, numbers of the lines that stay) with lines of any length; distinct ids."""
     places = sorted(
@@ -220,3 +178,178 @@ def embeddings(rows, cosine=0.98):
     degree = collections.Counter(i for pair in links for i in pair)
     found = components(len(rows), links, names)
     return [(k, degree[i], c, k == c) for i, (k, c) in enumerate(zip(names, found))]
+
+
+def ball_kmeans(rows, parts, entries, rounds):
+    """(id, vector, label) -> ((id, code, error, label_error), sha256 of the codebooks)."""
+    kept = sorted(
+        (
+            (order(key), [math.floor(4096 * x) for x in v], key, label)
+            for key, v, label in rows
+            if v and all(x is not None and math.isfinite(x) for x in v)
+        ),
+        key=lambda r: r[:2],
+    )
+    size = len(kept[0][1])
+    bounds = [size * i // parts for i in range(parts + 1)]
+    cut = [[v[a:b] for a, b in zip(bounds, bounds[1:])] for _, v, _, _ in kept]
+    books = [[list(v[p]) for v in cut[:entries]] for p in range(parts)]
+
+    def apart(a, b):
+        return sum((x - y) ** 2 for x, y in zip(a, b))
+
+    def assign():
+        return [
+            [min((apart(v[p], e), i) for i, e in enumerate(books[p])) for p in range(parts)]
+            for v in cut
+        ]
+
+    for _ in range(rounds):
+        found = assign()
+        for p in range(parts):
+            for i in range(len(books[p])):
+                own = [v[p] for v, f in zip(cut, found) if f[p][1] == i]
+                if own:
+                    books[p][i] = [sum(x) // len(own) for x in zip(*own)]
+    errors = [(sum(d for d, _ in f), "".join(f"{i:02x}" for _, i in f)) for f in assign()]
+    by_label = collections.Counter()
+    for (_, _, _, label), (error, _) in zip(kept, errors):
+        by_label[label] += error
+    text = ",".join(str(x) for book in books for e in book for x in e)
+    out = [
+        (key, code, error, by_label[label])
+        for (_, _, key, label), (error, code) in zip(kept, errors)
+    ]
+    return out, hashlib.sha256(text.encode()).hexdigest()
+
+
+def _xlogx(x):
+    return x * math.log(max(x, 1))
+
+
+def class_ngrams(docs, k, rounds, discount=0.5, prior=1.0):
+    """(id, text) -> (id, held_out, n_tokens, n_known, train_tokens, base, score)."""
+
+    def tokens(text):
+        return [w.lower() for w in words(text)] + [b""]
+
+    def held(key):
+        return key is not None and zlib.crc32(str(key).encode()) % 7 == 2
+
+    train = [tokens(t) for key, t in docs if not held(key)]
+    count = collections.Counter(w for t in train for w in t)
+    pairs = collections.Counter(
+        pair for t in train for pair in zip([b""] + t, t)
+    )
+    salt = {w: xxhash.xxh64_intdigest(w) & 0xFFFF for w in count}
+    cls = {w: salt[w] % k for w in count}
+    for rank, w in enumerate(sorted(count, key=lambda w: (-count[w], w))[:k]):
+        cls[w] = rank
+
+    def matrix():
+        n = [[0] * k for _ in range(k)]
+        for (a, b), c in pairs.items():
+            n[cls[a]][cls[b]] += c
+        return n
+
+    for turn in range(rounds):
+        n = matrix()
+        left = [sum(r) for r in n]
+        right = [sum(r[c] for r in n) for c in range(k)]
+        moved = dict(cls)
+        for w in count:
+            if (salt[w] >> 15) != turn % 2:
+                continue
+            after, before = [0] * k, [0] * k
+            for (a, b), c in pairs.items():
+                if a == w:
+                    after[cls[b]] += c
+                if b == w:
+                    before[cls[a]] += c
+            a = cls[w]
+
+            def change(b, sign):
+                def cell(x, by):
+                    return _xlogx(max(x + sign * by, 0)) - _xlogx(x)
+
+                return (
+                    sum(cell(n[b][c], after[c]) + cell(n[c][b], before[c]) for c in range(k))
+                    - cell(left[b], sum(after))
+                    - cell(right[b], sum(before))
+                )
+
+            gains = [1e-9 if b == a else change(b, 1) + change(a, -1) for b in range(k)]
+            moved[w] = max(range(k), key=lambda b: (gains[b], -b))
+        cls = moved
+    n = matrix()
+    total, types = sum(count.values()), len(count)
+    of_class = [sum(c for w, c in count.items() if cls[w] == i) for i in range(k)]
+    in_class = [sum(1 for w in count if cls[w] == i) for i in range(k)]
+
+    def step(row):
+        return [
+            (row[c] + prior * of_class[c] / total) / (sum(row) + prior) for c in range(k)
+        ]
+
+    out = []
+    steps = [step(row) for row in n] if total else []
+    unseen = [sum(in_class[a] / types * steps[a][c] for a in range(k)) for c in range(k)] if total else []
+    for key, text in docs:
+        t = tokens(text)
+        base = sum(math.log10((count[w] + 1) / (total + types + 1)) for w in t)
+        score, last = 0.0, steps[cls[b""]] if total else None
+        for w in t if total else []:
+            if w in count:
+                c = cls[w]
+                score += math.log10(last[c] * (count[w] - discount) / of_class[c])
+                last = steps[c]
+            else:
+                score += math.log10(
+                    sum(last[c] * discount * in_class[c] / max(of_class[c], 1) for c in range(k))
+                )
+                last = unseen
+        out.append(
+            (key, held(key), len(t), sum(w in count for w in t), total, base, score)
+        )
+    return out
+
+
+def filter_audit(docs, labels):
+    """(id, text, lang) rows, (id, quality, toxic) rows -> rows of the audit."""
+    first = {}
+    for key, text, _ in docs:
+        t = text or ""
+        first[t] = min(first.get(t, order(key)), order(key))
+    good = {key for key, q, _ in labels if q == 1 and key is not None}
+    toxic = {key for key, _, x in labels if x == 1 and key is not None}
+    by_part = collections.defaultdict(list)
+    for key, text, lang in docs:
+        t = text or ""
+        w = words(t)
+        fails = {
+            "A": len(w) < 200,
+            "B": 100 * len(set(w)) < 50 * len(w),
+            "C": 100 * sum("A" <= c <= "Z" for c in t) > 3 * len(t),
+            "D": any(c in "#$%&*|" for c in t),
+            "E": order(key) > first[t],
+        }
+        by_part[lang or ""].append((key, fails))
+    out = []
+    for part, rows in by_part.items():
+        shapley, steps = collections.Counter(), []
+        for names in itertools.permutations("ABCDE"):
+            left = rows
+            for at, name in enumerate(names, 1):
+                gone = [r for r in left if r[1][name]]
+                left = [r for r in left if not r[1][name]]
+                shapley[name] += len(gone)
+                failing = sum(f[name] for _, f in rows)
+                alone = sum(f[name] and sum(f.values()) == 1 for _, f in rows)
+                steps.append(
+                    (
+                        "".join(names), at, len(left), len(gone), failing - len(gone), alone,
+                        sum(k in good for k, _ in gone), sum(k in toxic for k, _ in gone), name,
+                    )
+                )
+        out += [(part, *row[:-1], shapley[row[-1]]) for row in steps]
+    return out

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabloom.llm import (
+    ball_kmeans,
+    bpe,
     byte_bpe,
+    class_ngrams,
     cover_tree,
+    filter_audit,
     license_scan,
     line_dedup,
     packing,
@@ -44,6 +48,7 @@ DOCS = [
     (None, PROSE + " null"),
     (11, "same line that is repeated here\nother words in this line\n" * 3),
     (12, "Same line  that is repeated here\nother words in this line!\nshort"),
+    (14, "the end <|endoftext|> of<|endoftext|>a text"),
     (13, "SPDX-License-Identifier: (MIT OR GPL-2.0-only) AND CC-BY-NC-4.0 yes"),
 ]
 SCHEMA = "doc_id long, text string"
@@ -66,7 +71,6 @@ def same(actual, expected):
 @pytest.fixture(scope="module")
 def encode():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -168,10 +172,16 @@ def test_pivot_pairs_lose_nothing():
     assert found == {tuple(p) for p in np.argwhere(near).tolist()}
 
 
+def lines_of(docs):
+    return [
+        (key, "\n".join((text or "").split("\n")[i] for i in stay) if text is not None else None)
+        for (key, text), (_, stay) in zip(docs, brute.every_line(docs), strict=True)
+    ]
+
+
 def test_line_dedup(spark):
     done = line_dedup.dedup_lines(frame(spark))
-    digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
-    same(got(done, "id", "n_lines", "n_removed", digest), brute.lines(DOCS))
+    same(got(done, "id", "kept_text"), lines_of(DOCS))
 
 
 def test_line_dedup_of_short_lines(spark):
@@ -252,6 +262,167 @@ def test_packing(spark, encode):
     assert short <= 1  # the only shard's last sequence
 
 
+def test_pieces_make_up_the_whole_text_s_ids():
+    plain = Tokenizer.from_file(JSON)
+    random = np.random.default_rng(7)
+    alphabet = [
+        *" \n\t\x0b\r\x1c\x85\xa0\u2003\u3000abABé漢😀\u0301019'.,!_<|>", "  ", " \n", " word", "word",
+        "'ll", "<|endoftext|>", "\n\n",
+    ]
+    texts = ["".join(random.choice(alphabet, random.integers(0, 25))) for _ in range(4000)]
+    texts += ["x" * 300, " " * 50, ""]
+    small = bpe.PieceEncoder(Tokenizer.from_file(JSON), cached=20_000)
+    for encoder in (bpe.from_json(JSON), small):
+        found = encoder.encode(texts)
+        for text, ids in zip(texts, found, strict=True):
+            expected = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == expected, text
+
+
+def test_texts_without_spaces_are_not_kept():
+    encoder = bpe.PieceEncoder(Tokenizer.from_file(JSON))
+    for i in range(3):
+        encoder.encode([chr(0x4E00 + j % 500) * 2000 + str(i) for j in range(50)])
+    assert not encoder._numbers and encoder._held < encoder.cached
+
+
+VECTORS = [
+    (i, [float(np.float32(x)) for x in v], None if i % 7 == 0 else i % 3)
+    for i, v in enumerate(
+        np.random.default_rng(11).normal(size=(90, 12)).repeat(2, axis=0)
+        * np.random.default_rng(12).integers(1, 3, (180, 1))
+    )
+]
+
+
+def test_ball_kmeans(spark):
+    odd = [
+        (500, None, 0), (501, [None] * 12, 0), (502, [float("inf")] * 12, 1), (503, [], 1),
+        (504, [1.0], 2), (None, [0.5] * 12, 2), (3, [-0.25] * 12, 0), VECTORS[5],
+    ]
+    rows = VECTORS + odd
+    schema = "vec_id long, embedding array<double>, label int"
+    table = spark.createDataFrame(rows, schema).repartition(3).withColumn("key", F.lit(0))
+    for parts, entries, rounds in ((4, 5, 3), (8, 16, 6), (5, 3, 0)):
+        codes, books = ball_kmeans.compress(table, parts, entries, rounds)
+        usable = [r for r in rows if r[1] is None or len(r[1]) != 1]
+        expected, digest = brute.ball_kmeans(usable, parts, entries, rounds)
+        same(got(codes, "vec_id", "code", "error", "label_error"), expected)
+        assert books.digest() == digest
+    few = spark.createDataFrame(VECTORS[:3], schema)
+    codes, books = ball_kmeans.compress(few)
+    assert codes.count() == 3 and len(books.entries[0]) == 3
+
+
+def test_ball_kmeans_skips_only_what_cannot_be_nearer():
+    random = np.random.default_rng(2)
+    x = random.integers(-9, 9, (4000, 3))
+    entries = random.integers(-9, 9, (16, 3))
+    entries[7] = entries[2]  # equally near: the lower index
+    expected = ball_kmeans.nearest(x, entries)
+    for start in (np.zeros(4000, np.uint8), random.integers(0, 16, 4000).astype(np.uint8)):
+        assert (ball_kmeans.moved(x, entries, start) == expected).all()
+
+
+def test_class_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(class_ngrams, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(class_ngrams, "_PARTITION_WORDS", 40)
+    random = np.random.default_rng(5)
+    docs = DOCS + [
+        (100 + i, " ".join(f"{'ab'[j % 2]}{random.integers(0, 12)}" for j in range(40)) + f" X{i}")
+        for i in range(30)
+    ]
+    docs += [docs[-1], (100, "other text under the same id")]
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    for k, rounds in ((3, 0), (4, 3)):
+        found = class_ngrams.score(frame(spark, docs), classes=k, rounds=rounds)
+        expected = sorted(brute.class_ngrams(docs, k, rounds), key=repr)
+        actual = got(found, *names)
+        assert [r[:5] for r in actual] == [r[:5] for r in expected]
+        for a, e in zip(actual, expected, strict=True):
+            assert a[5:] == pytest.approx(e[5:], rel=1e-9)
+
+
+def test_class_ngrams_add_up_to_one():
+    random = np.random.default_rng(1)
+    matrix = random.integers(0, 9, (5, 5))
+    matrix[2], matrix[:, 2] = 0, 0  # a class without words
+    tokens, types = matrix.sum(axis=0) + 3, np.array([1, 2, 0, 3, 2])
+    tokens[2] = 0
+    model = class_ngrams.transitions(matrix, types, tokens, 0, 0.5, 1.0)
+    # All words of a class together emit its tokens less the discounts.
+    emitted = np.append(tokens - 0.5 * types, 1.0)
+    assert np.power(10, model.log) @ emitted == pytest.approx(np.ones(6))
+
+
+def test_class_ngrams_learn_what_follows(spark):
+    text = " ".join(["red cat", "blue dog", "red dog", "blue cat"][i % 4] for i in range(200))
+    docs = [(i, text + f" z{i}") for i in range(60)]
+    scored = class_ngrams.score(frame(spark, docs), classes=6).toPandas()
+    held = scored[scored["held_out"]]
+    assert len(held) and (held["score"] > 0.6 * held["base_score"]).all()
+
+
+def test_class_ngrams_without_training_texts(spark):
+    key = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    row = class_ngrams.score(frame(spark, [(key, "a b")])).first()
+    assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (True, 3, 0, 0)
+    assert (row.base_score, row.score) == (0.0, 0.0)
+
+
+def audit_docs():
+    docs = [(k, t, ["en", "fr", None, ""][i % 4]) for i, (k, t) in enumerate(DOCS)]
+    long = " ".join(f"w{i}" for i in range(250))
+    docs += [
+        (50, long, "en"), (51, long, "fr"), (51, long, "fr"), (49, long, "de"), (None, long, "en"),
+        (52, long + " $", "en"), (53, "ABC " * 210, "en"), (54, long[:-1], "fr"), (3, "", "en"),
+        (55, long.upper(), "de"), (56, "é" * 700 + "A" * 22, "de"),
+    ]
+    return docs
+
+
+LABELS = [(50, 1, 0), (51, 1, 1), (51, 0, 0), (3, 1, 1), (None, 1, 1), (52, None, 1), (999, 1, 1)]
+
+
+def test_filter_audit(spark, monkeypatch):
+    names = [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails",
+        "good_lost", "toxic_lost", "shapley",
+    ]
+    docs = audit_docs()
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    table = table.repartition(4).withColumns({c: F.lit(1) for c in ("mask", "n", "kept")})
+    labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
+    expected = brute.filter_audit(docs, LABELS)
+    same(got(filter_audit.audit(table, labels), *names), expected)
+    # Tries that hold few texts, and ranges so small that long prefixes divide them.
+    monkeypatch.setattr(filter_audit, "_TRIE_BYTES", 100)
+    monkeypatch.setattr(filter_audit, "_MOST_PREFIXES", 1000)
+    small = filter_audit.audit(table, labels, range_bytes=64)
+    same(got(small, *names), expected)
+
+
+def test_prefixes_grow_until_no_range_is_heavy(spark):
+    texts = [f"same beginning {i % 10} {i}".encode() for i in range(400)] + [b"", b"same"]
+    table = spark.createDataFrame([(bytearray(t),) for t in texts], "text binary")
+    key = filter_audit.adaptive_prefix(table, 1000)
+    sizes = table.groupBy(key.alias("k")).agg(F.sum(F.octet_length("text")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 1000
+    assert 10 <= sizes.count() <= 20
+
+
+def test_tries_hold_every_text():
+    random = np.random.default_rng(9)
+    texts = [bytes(random.choice([97, 98], random.integers(0, 9)).tolist()) for _ in range(500)]
+    trie = filter_audit.Trie()
+    for i, text in enumerate(texts):
+        node = trie.end_of(text)
+        node.owner = i if node.owner is None else node.owner
+    assert {t: n.owner for t, n in trie.ends()} == {
+        t: texts.index(t) for t in set(texts)
+    }
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
@@ -266,6 +437,10 @@ def test_empty_tables(spark):
         line_dedup.dedup_lines(docs),
         cover_tree.near_duplicates(vectors),
         packing.pack(docs, JSON, 0),
+        byte_bpe.decode(byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS),
+        class_ngrams.score(docs),
+        ball_kmeans.compress(vectors)[0],
+        filter_audit.audit(docs.withColumn("lang", F.lit("en")), labels.withColumn("toxic", F.lit(0))),
     ):
         assert out.count() == 0
 
@@ -275,3 +450,7 @@ def test_repeated_rows_stay(spark):
     assert substring_dedup.deduplicated(docs).count() == 4
     assert line_dedup.deduplicated(docs).count() == 4
     assert simhash.near_duplicates(docs).count() == 4
+    assert quality_rules.judge(docs).count() == 4
+    assert license_scan.scan(docs).count() == 4
+    assert packing.pack(docs, JSON, 0).count() == 4
+    assert byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN).count() == 4
