@@ -50,8 +50,10 @@ def index_label(df: DataFrame, label: str) -> DataFrame:
 
 def random_forest(trees: int = 300, depth: int = 10, bins: int = 20, label: str = "label"):
     return RandomForestClassifier(
-        labelCol=label, numTrees=trees, maxDepth=depth, maxBins=bins, seed=SEED
-    )
+        labelCol=label, numTrees=trees, maxDepth=depth, maxBins=bins, seed=SEED,
+        # A row's node in every tree is kept, not found again at each level.
+        cacheNodeIds=True,
+    )
 
 
 def decision_tree(label: str = "label_index"):

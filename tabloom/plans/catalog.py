@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import IndexToString
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1140,12 +1141,16 @@ def score_gbt(spark, folder):
 
 @query
 def score_dt(spark, folder):
-    labelled = cleaning.split_by_subset(_features(spark, folder))[0].withColumn(
-        "label", F.col("label").cast("string")
-    )
-    prepared = ml.indexed_pipeline(schemas.FEATURES).fit(labelled).transform(labelled)
-    model = ml.decision_tree().fit(prepared)
-    return ml.score(model, prepared, ["movie_id", "label_index"])
+    """A tree on a label of text: indexed for training, text again when it scores."""
+    labelled, test, validation = cleaning.split_by_subset(_features(spark, folder))
+    labelled = labelled.withColumn("label", F.col("label").cast("string"))
+    prepared = ml.indexed_pipeline(schemas.FEATURES).fit(labelled)
+    model = ml.decision_tree().fit(prepared.transform(labelled))
+    hidden = ml.assemble(validation.unionByName(test), schemas.FEATURES)
+    text = IndexToString(
+        inputCol="prediction", outputCol="label", labels=prepared.stages[1].labels
+    )
+    return text.transform(model.transform(hidden)).select("movie_id", "label")
 
 
 @query

@@ -100,19 +100,16 @@ def run(
     names = new.select("file_name")
     result = LoadResult(names.where(known), names.where(~known))
 
-    def paths(route: str) -> list[str]:
-        return files.paths_of(new.where(F.col("route") == route))
-
-    found = {route: paths(route) for route in ("train", "val", "test", *RELATIONS)}
+    paths = files.paths_by(new.where(known), "route")
     parts = {
         subset: files.read_csv(
             spark,
-            found[subset],
+            paths[subset],
             schemas.RAW_TRAIN if subset == "train" else schemas.RAW_UNLABELLED,
             place="place",
         )
         for subset in ("train", "val", "test")
-        if found[subset]
+        if subset in paths
     }
     if parts:
         staged = tag_subsets(parts)
@@ -141,8 +138,8 @@ def run(
         )
     for name, (raw_person, person, schema) in RELATIONS.items():
         before = waiting(spark, root, name)
-        if found[name]:
-            raw = files.read_json(spark, found[name], ["movie", raw_person], json_layout)
+        if name in paths:
+            raw = files.read_json(spark, paths[name], ["movie", raw_person], json_layout)
             new = clean_bridge(raw, {raw_person: person, "movie": "movie_id"})
             pairs = new.unionByName(before).distinct()
         elif parts and not before.isEmpty():
@@ -163,7 +160,7 @@ def run(
             spark, f"{root}/waiting_{name}", fk_orphans(pairs, movies, "movie_id")
         )
         result.orphans[name] = waiting(spark, root, name)
-    if any(found.values()):
+    if paths:
         ledger.commit_files(spark, f"{root}/processed_files", result.loaded)
     return result
 

@@ -32,9 +32,12 @@ def list_inputs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def paths_of(listing: DataFrame) -> list[str]:
-    """The paths of a listing, for a reader: Spark's readers take a list of them."""
-    return [r["path"] for r in listing.select("path").toLocalIterator()]
+def paths_by(listing: DataFrame, column: str) -> dict[str | None, list[str]]:
+    """Paths by another column, for the readers: Spark's take a list of paths."""
+    found: dict[str | None, list[str]] = {}
+    for row in listing.select(column, "path").toLocalIterator():
+        found.setdefault(row[column], []).append(row["path"])
+    return found
 
 
 def read_csv(

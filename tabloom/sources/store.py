@@ -17,6 +17,7 @@ hash when it is next rewritten; the number of buckets follows the table.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Sequence
@@ -401,6 +402,25 @@ def known_keys(table: _Table, batch: DataFrame, touched: list[Bucket]) -> DataFr
     return possible.select(*table.key).join(stored, table.key, "left_semi")
 
 
+def vacuum(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> list[str]:
+    """Delete what changes that died have left; returns the commits' names.
+
+    A commit that no manifest names may belong to a change that is still
+    running, so only those are deleted that have not been touched for a while.
+    """
+    files = _Files(spark, path)
+    named = {c for v in files.versions() for c, _ in files.manifest(v).places()}
+    limit = (time.time() - 3600 * older_than_hours) * 1000
+    gone = set()
+    for kind in ("data", "keys"):
+        for status in files.system.globStatus(files.path(f"{kind}/*")) or []:
+            commit = status.getPath().getName()
+            if commit not in named and status.getModificationTime() <= limit:
+                files.system.delete(status.getPath(), True)
+                gone.add(commit)
+    return sorted(gone)
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions below ``path``, ascending."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
