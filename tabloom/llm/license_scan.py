@@ -32,14 +32,40 @@ NOTICES = {
     "creative commons attribution noncommercial": "cc-by-nc",
     "creative commons zero": "cc0",
     "released into the public domain": "public-domain",
+    "this is free and unencumbered software": "unlicense",
+    "do what the fuck you want to public license": "wtfpl",
+    "boost software license": "bsl",
+    "artistic license 2": "artistic-2",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
+    "common development and distribution license": "cddl",
+    "academic free license": "afl",
+    "open font license": "ofl",
+    "zlib license": "zlib",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "cc by sa": "cc-by-sa",
+    "cc by nd": "cc-by-nd",
+    "open database license": "odbl",
     "all rights reserved": "all-rights-reserved",
 }
 TAG = "spdx license identifier"
 # How freely a text under a licence may be used, by the start of its label.
 FREEDOM = {
+    "afl": 0.9,
     "agpl": 0.3,
     "all-rights-reserved": 0.0,
     "apache": 1.0,
+    "artistic": 0.7,
+    "bsl": 1.0,
+    "cddl": 0.5,
+    "epl": 0.5,
+    "eupl": 0.4,
+    "odbl": 0.5,
+    "ofl": 0.8,
+    "python": 1.0,
+    "wtfpl": 1.0,
+    "zlib": 1.0,
     "bsd": 1.0,
     "cc-by-nc": 0.2,
     "cc-by-nd": 0.2,
@@ -66,8 +92,31 @@ _FOLD = bytes(
 )
 
 
+# Identifiers that are written otherwise, deprecated ones among them.
+ALIASES = {
+    "0bsd": "bsd",
+    "apache2": "apache-2",
+    "boost": "bsl",
+    "bsl-1": "bsl",
+    "expat": "mit",
+    "gplv2": "gpl-2",
+    "gplv3": "gpl-3",
+    "lgplv2.1": "lgpl-2.1",
+    "lgplv3": "lgpl-3",
+    "mit-0": "mit",
+    "mit/x11": "mit",
+    "psf": "python-2",
+    "x11": "mit",
+}
+
+
 def label_of(identifier: str) -> str:
     """An identifier in lower case, without a version that labels leave out."""
+    name = _plain_label(identifier)
+    return ALIASES.get(name, name)
+
+
+def _plain_label(identifier: str) -> str:
     name = identifier.lower().rstrip("+")
     for tail in ("-only", "-or-later"):
         name = name.removesuffix(tail)
@@ -88,51 +137,43 @@ def postfix(expression: str) -> list[str]:
     ``with`` binds closer than ``and``, ``and`` closer than ``or``; operators
     may be in any case. The text after a tag may go on with prose: reading
     ends at the first symbol that cannot follow. Nothing valid gives [].
-    """
-    symbols = []
-    at = 0
-    while match := _SYMBOL.match(expression, at):
-        symbols.append(match[1])
-        at = match.end()
-    for end in range(len(symbols), 0, -1):
-        if (out := _postfix(symbols[:end])) is not None:
-            return out
-    return []
-
 
-def _postfix(symbols: list[str]) -> list[str] | None:
+    One pass: the start is valid wherever an operand or a closing bracket
+    leaves no bracket open, and what is out then, with the operators that wait,
+    is its postfix form.
+    """
     out: list[str] = []
     stack: list[str] = []
-    operand_next = True
-    for symbol in symbols:
+    valid: tuple[int, list[str]] = (0, [])  # how much of ``out``, and what waited
+    depth, at, operand_next = 0, 0, True
+    while match := _SYMBOL.match(expression, at):
+        symbol, at = match[1], match.end()
         low = symbol.lower()
+        if operand_next != (symbol == "(" or (low not in _BINDING and symbol != ")")):
+            break
         if low in _BINDING:
-            if operand_next:
-                return None
             while stack and stack[-1] != "(" and _BINDING[stack[-1]] >= _BINDING[low]:
                 out.append(stack.pop())
             stack.append(low)
             operand_next = True
-        elif symbol == "(":
-            if not operand_next:
-                return None
+            continue
+        if symbol == "(":
             stack.append(symbol)
-        elif symbol == ")":
-            if operand_next:
-                return None
-            while stack and stack[-1] != "(":
+            depth += 1
+            continue
+        if symbol == ")":
+            if not depth:
+                break
+            while stack[-1] != "(":
                 out.append(stack.pop())
-            if not stack:
-                return None
             stack.pop()
+            depth -= 1
         else:
-            if not operand_next:
-                return None
             out.append(symbol)
             operand_next = False
-    if operand_next or "(" in stack:
-        return None
-    return out + stack[::-1]
+        if not depth:  # at most one operator of each kind waits here
+            valid = len(out), stack[::-1]
+    return out[: valid[0]] + valid[1]
 
 
 def evaluate(postfixed: list[str]) -> tuple[float, set[str]]:
