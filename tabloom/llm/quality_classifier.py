@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import binary, gram_hashes, id_key, id_value
+from tabloom.session import materialize
 
 BUCKETS, WIDTH, REACH = 1 << 14, 64, 2
 _SHAPES = 6
@@ -216,14 +217,15 @@ def train(
     (0.5, or that label). Only texts are inputs.
     """
     chosen = training_ids(labels, sample_rows, id_column, label_column)
-    picked = (
+    sample = (
         docs.select(
             F.col(id_column).cast("long").alias("key"), F.col(text_column).alias("text")
         )
         .join(F.broadcast(chosen), "key")  # sample_rows bounds it
         .select("key", "label", "text")
-        .coalesce(_FIT_TASKS)
     )
+    # The table is read by as many tasks as it has parts; the sample by a few.
+    picked = materialize(sample, "labelled-sample").repartition(_FIT_TASKS)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, codes = index_vectors(), TokenCodes()
