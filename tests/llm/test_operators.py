@@ -1,6 +1,7 @@
 """Every corpus operator against its plain definition, on awkward rows."""
 
 import base64
+import re
 import zlib
 from collections import defaultdict
 
@@ -97,6 +98,23 @@ def test_quality_rules(spark):
     assert judged.where("base_failed and kept").count() == 0
 
 
+def test_quality_rules_are_ordered_by_what_they_add(spark):
+    rows = spark.range(1000).selectExpr("id", "repeat('x', 100) AS text")
+    rules = [
+        quality_rules.Rule("never", F.lit(False)),
+        quality_rules.Rule("costly", F.expr("id % 10 < 5"), passes=3),
+        quality_rules.Rule("inside", F.expr("id % 10 < 4"), passes=1),
+        quality_rules.Rule("cheap", F.expr("id % 100 = 99")),
+        quality_rules.Rule("null", F.lit(None).cast("boolean"), passes=1),
+    ]
+    for _ in range(10):
+        names = [r.name for r in quality_rules.ordered_by_gain(rows.repartition(3), rules)]
+        # Alone "costly" rejects most, but what "inside" leaves of it is little.
+        assert names == ["inside", "cheap", "costly", "never", "null"]
+    empty = quality_rules.ordered_by_gain(rows.limit(0), rules)
+    assert {r.name for r in empty} == {r.name for r in rules}
+
+
 def test_classifier(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -132,12 +150,47 @@ def test_license_scan(spark):
         ("MIT is the licence", "MIT"),
         ("and", ""),
         ("(a", ""),
+        ("a and b or (c", "a b and"),
+        ("((a or b)) with c) and d", "a b or c with"),
+        ("a or or b", "a"),
+        (") a", ""),
+        ("a " * 200_000, "a"),
+        ("(" * 20_000 + "a", ""),
+        ("a and b " * 3, "a b and"),
     ],
 )
 def test_shunting_yard(expression, expected):
     assert " ".join(license_scan.postfix(expression)) == expected
 
 
+def plain_licences(text):
+    """(n_words, n_base, first_word, last_word, base_labels) by definition."""
+    found = re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())
+    w = [x.lower() for x in found]
+    places = [
+        (i, label)
+        for phrase, label in license_scan.BASE.items()
+        for i in range(len(w))
+        if w[i : i + len(phrase.split())] == phrase.encode().split()
+    ]
+    at = [i for i, _ in places]
+    labels = ",".join(sorted({x for _, x in places}))
+    return len(w), len(at), min(at, default=None), max(at, default=None), labels
+
+
+def test_license_scan_against_its_definition(spark):
+    random = np.random.default_rng(3)
+    words = [
+        "the", "MIT", "license", "License,", "apache", "version", "2", "cc-by-nc", "by", "nc", "cc",
+        "(Apache)", "é", "x1", "\n", "--",
+    ]
+    docs = [(i, " ".join(random.choice(words, random.integers(0, 60)))) for i in range(300)]
+    docs += [*DOCS, (900, "the MIT license " * 30_000), (901, "the mit license" * 2)]
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+    expected = [(k, *plain_licences(t)) for k, t in docs]
+    same(got(license_scan.scan(frame(spark, docs)), *names), expected)
+
+
 def test_simhash(spark):
     done = simhash.near_duplicates(frame(spark))
     same(got(done, "doc_id", "fingerprint", "component_id"), brute.simhash(DOCS))
@@ -202,6 +255,42 @@ def test_line_dedup_of_short_lines(spark):
     assert dict(expected)[2] == "\n\nno copy"
 
 
+def test_line_dedup_with_null_and_repeated_ids(spark):
+    first = "the very same first line of them all"
+    docs = [(None, f"{first}\nnull {i}") for i in range(3)]
+    docs += [(7, f"{first}\nseven {i}") for i in range(2)] + [docs[0], (7, "seven 1\n")]
+    done = line_dedup.dedup_lines(frame(spark, docs)).select("id", "kept_text").collect()
+    texts = [r.kept_text for r in done]
+    # One row of the smallest id keeps the line, whichever comes first by its hash.
+    assert sum(first in t for t in texts) == 1
+    assert all(r.id == 7 for r in done if first in r.kept_text)
+    lines = sorted(x for t in texts for x in t.split("\n") if x and x != first)
+    # The row that repeats an id and text is treated like its twin.
+    assert lines == ["null 0", "null 0", "null 1", "null 2", "seven 0", "seven 1"]
+
+
+@pytest.mark.parametrize("size", [12, 60])
+def test_links_connect_what_all_similar_pairs_connect(size):
+    random = np.random.default_rng(size)
+    base = ["".join(random.choice([*"abcdefgh "], 60)) for _ in range(4)]
+    lines = []
+    for i in range(size):
+        x = list(base[i % 4])
+        for _ in range(random.integers(0, 4)):
+            x[random.integers(0, 60)] = "z"
+        lines.append("".join(x))
+    sets = [{x[i : i + 5] for i in range(56)} for x in lines]
+    pairs = [
+        (i, j) for i in range(size) for j in range(i)
+        if len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j])
+    ]
+    links = line_dedup.similar_links(lines, 5, 0.6, lambda i, o: np.ones(len(o), bool))
+    assert set(map(frozenset, links)) <= set(map(frozenset, pairs))
+    names = list(range(size))
+    assert brute.components(size, links, names) == brute.components(size, pairs, names)
+    assert len(links) == size - len(set(brute.components(size, pairs, names)))
+
+
 def test_cover_tree(spark):
     random = np.random.default_rng(4)
     centers = random.normal(size=(12, 8))
