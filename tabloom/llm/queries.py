@@ -232,6 +232,26 @@ ORACLE_SQL: dict[str, str] = {
                  OR 50 * marks > word_chars OR 2 * n_dup_lines > n_lines
                  OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
         FROM b""",
+    "op4_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+        gone AS (
+            SELECT DISTINCT doc_id, i + k AS i
+            FROM (SELECT doc_id, i FROM windows
+                  QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id), range(13) AS r(k)),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+            FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words,
+            (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+            sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op8_cover_tree": r"""
         WITH RECURSIVE usable AS (
             SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
