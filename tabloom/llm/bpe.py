@@ -48,12 +48,14 @@ class PieceEncoder:
     that hold an added token's text are left to the library as a whole.
     """
 
-    def __init__(self, tokenizer: Tokenizer, cached: int = _CACHED_BYTES):
+    def __init__(
+        self, tokenizer: Tokenizer, step: int = _STEP_BYTES, cached: int = _CACHED_BYTES
+    ):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
         tokenizer.no_truncation()
         tokenizer.no_padding()
         self.tokenizer = tokenizer
-        self.cached = cached
+        self.step, self.cached = step, cached
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self._added = "|".join(map(re.escape, added))
         space = byte_characters()[0x20]
@@ -90,7 +92,7 @@ class PieceEncoder:
         begin = 0
         while begin < len(texts):
             before = sizes[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(sizes, before + _STEP_BYTES)))
+            end = max(begin + 1, int(np.searchsorted(sizes, before + self.step)))
             yield self._step(texts.slice(begin, end - begin))
             begin = end
 
@@ -215,11 +217,14 @@ def _chunks(texts: Iterator[str]) -> Iterator[list[str]]:
         yield batch
 
 
-def from_json(path: str) -> PieceEncoder:
+def from_json(
+    path: str, step: int = _STEP_BYTES, cached: int = _CACHED_BYTES
+) -> PieceEncoder:
     """The encoder of a tokenizer file."""
-    if (path,) not in _ENCODERS:
-        _ENCODERS[(path,)] = PieceEncoder(Tokenizer.from_file(path))
-    return _ENCODERS[(path,)]
+    name = (path, step, cached)
+    if name not in _ENCODERS:
+        _ENCODERS[name] = PieceEncoder(Tokenizer.from_file(path), step, cached)
+    return _ENCODERS[name]
 
 
 def byte_characters() -> list[str]:

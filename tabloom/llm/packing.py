@@ -15,6 +15,7 @@ from tabloom.llm import bpe
 from tabloom.llm.common import id_key, id_value, materialize
 
 SHARD = 1024  # documents per inverted index
+_STEP_BYTES, _CACHED_BYTES = 14 << 20, 128 << 20  # of the encoder
 _SHARDS_PER_TASK = 16
 _K1, _B = 1.2, 0.75
 
@@ -95,27 +96,39 @@ _ENCODED = (
 
 
 def _encode(batches, tokenizer_path: str, end_id: int, window: int, with_ids: bool):
-    encoder = bpe.from_json(tokenizer_path)
-    end = np.array([end_id], "<u4").tobytes()
+    encoder = bpe.from_json(tokenizer_path, _STEP_BYTES, _CACHED_BYTES)
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            texts = [x or "" for x in part.column("text").to_pylist()]
-            out = []
-            for key, ids in zip(
-                part.column("key").to_pylist(), encoder.encode(texts), strict=True
-            ):
-                ids += end
-                total = len(ids) // 4
-                for begin in range(0, total, window):
-                    own = ids[4 * begin : 4 * (begin + window)]
-                    size = len(own) // 4
-                    sketch = None if size == window else _sketch(own)
-                    kept = own if with_ids or size < window else None
-                    out.append(
-                        (key, begin, size, zlib.crc32(own), total, kept, sketch)
-                    )
-            yield _batch(out, _ENCODED_ARROW)
+        done = 0
+        for ids, ends in encoder.batches(batch.column("text")):
+            count = len(ends)
+            keys = batch.column("key").slice(done, count).to_numpy()
+            done += count
+            ids = np.insert(ids, ends, end_id).astype("<u4", copy=False)
+            closes = ends + np.arange(1, count + 1)
+            begins = np.concatenate([[0], closes[:-1]])
+            totals = closes - begins
+            pieces = -(-totals // window)
+            owner = np.repeat(np.arange(count), pieces)
+            start = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start *= window
+            length = np.minimum(window, totals[owner] - start)
+            at = begins[owner] + start
+            data = memoryview(ids.tobytes())
+            spans = [data[4 * a : 4 * b] for a, b in zip(at.tolist(), (at + length).tolist())]
+            is_open = length < window
+            kept = [
+                bytes(x) if with_ids or o else None
+                for x, o in zip(spans, is_open.tolist())
+            ]
+            columns = [
+                keys[owner], start, length, [zlib.crc32(x) for x in spans], totals[owner],
+                kept,
+                pa.array(_sketches(ids, at, length), mask=~is_open),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, _ENCODED_ARROW, strict=True)],
+                schema=_ENCODED_ARROW,
+            )
 
 
 _ENCODED_ARROW = pa.schema(
@@ -141,12 +154,18 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _sketch(ids: bytes) -> int:
-    """Two minima over hashed token ids: texts with common tokens sort together."""
-    tokens = np.frombuffer(ids, "<u4")
-    a = (tokens * np.uint32(0x9E3779B1) ^ np.uint32(0x5BD1E995)) * np.uint32(0x85EBCA6B)
-    b = (tokens * np.uint32(0xC2B2AE35) ^ np.uint32(0x27D4EB2F)) * np.uint32(0x165667B1)
-    return (int(a.min()) >> 1 << 32) | int(b.min())
+def _sketches(ids: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Two minima over each piece's hashed ids: texts with common tokens sort together."""
+    spans = np.column_stack([at, at + length]).ravel()
+    minima = []
+    for factor, salt, last in (
+        (0x9E3779B1, 0x5BD1E995, 0x85EBCA6B), (0xC2B2AE35, 0x27D4EB2F, 0x165667B1),
+    ):
+        mixed = (ids * np.uint32(factor) ^ np.uint32(salt)) * np.uint32(last)
+        # One value more, as the last span ends behind the ids.
+        found = np.minimum.reduceat(np.append(mixed, np.uint32(0)), spans)[::2]
+        minima.append(found.astype(np.int64))
+    return (minima[0] >> 1 << 32) | minima[1]
 
 
 class Statistics:
@@ -165,12 +184,23 @@ def corpus_statistics(ends: DataFrame) -> Statistics:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(0, np.int64)
+        own = some = np.zeros(0, np.uint8)  # of one document, and of up to 255
+        held = 0
         for batch in batches:
             for ids in batch.column("ids").to_pylist():
-                tokens = np.unique(np.frombuffer(ids, "<u4")).astype(np.int64)
-                if tokens[-1] >= len(found):
-                    found = np.pad(found, (0, int(tokens[-1]) + 1 - len(found)))
-                found[tokens] += 1
+                tokens = np.frombuffer(ids, "<u4")
+                if (most := int(tokens.max())) >= len(own):
+                    more = (0, most + 1 - len(own))
+                    found, own, some = (np.pad(x, more) for x in (found, own, some))
+                own[tokens] = 1
+                some += own
+                own[tokens] = 0
+                held += 1
+                if held == 255:
+                    found += some
+                    some[:] = 0
+                    held = 0
+        found += some
         tokens = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array(tokens, pa.int64()), pa.array(found[tokens], pa.int64())],
