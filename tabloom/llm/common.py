@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -24,6 +25,7 @@ from tabloom.session import materialize, scratch_path  # noqa: F401
 NULL_ID = (1 << 63) - 1
 WORD_GAP = b" \t\n\x0b\x0c\r"  # what bytes.split() splits at
 _CACHED_WORDS = 400_000
+_CLEANING = 0.25  # seconds
 
 def id_key(name: str) -> Column:
     """The id as a long that is never null."""
@@ -52,23 +54,25 @@ def on_workers(spark: SparkSession) -> SparkSession:
 def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of jobs whose results are already stored.
 
-    Spark removes them once the driver has collected the plans that made them.
+    Spark removes them once the driver has collected the plans that made them,
+    in a thread of its own, which gets a moment here.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(_CLEANING)
 
 
 class Scratch:
     """Stored steps of one job, which can be dropped once nothing reads them."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, compression: str = "snappy"):
+        self.spark, self.compression = spark, compression
         self._paths: dict[str, str] = {}
 
     def store(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` to the shared folder and return a scan of it (an action)."""
         path = self._paths[label] = scratch_path(self.spark, label)
-        df.write.parquet(path)
+        df.write.option("compression", self.compression).parquet(path)
         release(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,9 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,18 @@ from tabloom.llm.common import (
     gram_hashes,
     id_key,
     id_value,
+    release,
     sliding_min,
+    sorted_groups,
 )
+from tabloom.operators.skew import lookup_join
 
 GRAM = 5  # words of an anchor
 SHARD = 4000  # stretches, and patterns, of one automaton task
 _BROADCAST_BUCKETS = 100_000
 _SENT = 200_000  # digests a task remembers
+_BLOCK_BYTES = 8 << 20  # text of one block of documents
+_PART_ANCHORS = 2_000_000  # anchors of all blocks that meet in one task
 
 
 def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -46,29 +53,196 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     return least[starts].view(np.int64), starts, ends
 
 
-def _keyed(docs: DataFrame, id_column: str, text_column: str, *more: Column):
+def _rows(docs: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
+    """Id, text and the text's hash: the two name a row, also where ids repeat."""
+    text = F.col(text_column)
     return docs.select(
-        id_key(id_column).alias("key"), F.col(text_column).alias("text"), *more
+        id_key(id_column).alias("key"),
+        F.xxhash64(text).alias("text_hash"),
+        text.alias("text"),
+        *more,
     )
 
 
-def _document_anchors(rows: DataFrame, window: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            keys = batch.column("key").to_pylist()
-            out, owner = [], []
-            for key, text in zip(keys, binary(batch.column("text")), strict=True):
-                found = np.unique(anchors(hashes.of(text.split()), window)[0])
-                out.append(found)
-                owner.append(np.full(len(found), key, np.int64))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out)), pa.array(np.concatenate(owner))],
-                    ["anchor", "key"],
-                )
+_BLOCK = (
+    "block long, n long, keys binary, text_hashes binary, counts binary, runs binary,"
+    " lengths binary, anchors binary, several binary"
+)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of some documents in packed form.
+
+    ``runs`` has the number of each run's anchor in ``anchors`` (ascending, each
+    once), ``lengths`` its windows; ``counts`` the runs of each document.
+    ``several`` marks anchors that more than one of the documents has.
+    """
+    names = [c.split()[0] for c in _BLOCK.split(",")]
+    hashes = WordHashes()
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in _slices(batch):
+            found, lengths = [], []
+            for text in binary(part.column("text")):
+                own, first, last = anchors(hashes.of(text.split()), window)
+                found.append(own)
+                lengths.append((last - first + 1).astype(np.int32))
+            counts = np.array([len(x) for x in found], np.int32)
+            every = np.concatenate(found).view(np.uint64)
+            different, runs = np.unique(every, return_inverse=True)
+            owners = np.repeat(np.arange(len(found)), counts)
+            order = np.lexsort((owners, runs))
+            # An anchor has several documents if two neighbours differ in theirs.
+            other = (np.diff(runs[order]) == 0) & (np.diff(owners[order]) != 0)
+            several = np.zeros(len(different), np.uint8)
+            several[runs[order][1:][other]] = 1
+            cells = [
+                part.column("key").to_numpy(),
+                part.column("text_hash").to_numpy(),
+                counts,
+                runs.astype(np.int32),
+                np.concatenate(lengths),
+                different,
+                several,
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block], pa.int64()),
+                    pa.array([len(different)], pa.int64()),
+                    *(pa.array([c.tobytes()], pa.binary()) for c in cells),
+                ],
+                names,
+            )
+            block += 1
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with a bounded amount of text, or one long text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    ends, begin = np.cumsum(sizes), 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + _BLOCK_BYTES)))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+_SLICE = "part int, block long, anchors binary, several binary"
+
+
+def _by_part(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Each block's anchors, cut at the top bits."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = np.frombuffer(row["anchors"], np.uint64)
+            several = np.frombuffer(row["several"], np.uint8)
+            parts = (found >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int32)
+            starts = np.flatnonzero(np.diff(parts, prepend=-1))
+            spans = list(zip(starts, np.append(starts[1:], len(parts)), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(parts[starts]),
+                    pa.array([row["block"]] * len(spans), pa.int64()),
+                    pa.array([found[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([several[a:b].tobytes() for a, b in spans], pa.binary()),
+                ],
+                ["part", "block", "anchors", "several"],
+            )
+
+
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tells each block which of its anchors another document has."""
+    for group in sorted_groups(batches, ["part"]):
+        parts = [
+            np.frombuffer(x, np.uint64) for x in group.column("anchors").to_pylist()
+        ]
+        several = np.frombuffer(b"".join(group.column("several").to_pylist()), np.uint8)
+        every = np.concatenate(parts)
+        order = np.argsort(every, kind="stable")
+        same = every[order][1:] == every[order][:-1]
+        again = several.astype(bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        cuts = np.cumsum([len(x) for x in parts])[:-1]
+        told = [np.packbits(x).tobytes() for x in np.split(again, cuts)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                group.column("part").combine_chunks(),
+                group.column("block").combine_chunks(),
+                pa.array([len(x) for x in parts], pa.int64()),
+                pa.array(told, pa.binary()),
+            ],
+            ["part", "block", "n", "told"],
+        )
+
 
-    return rows.mapInArrow(run, "anchor long, key long")
+_WANTED = "key long, text_hash long, anchors binary, begins binary, ends binary"
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its runs of windows with a recurring anchor."""
+    for group in sorted_groups(batches, ["block"]):
+        block, *told = group.to_pylist()
+        again = np.concatenate(
+            [
+                np.unpackbits(np.frombuffer(r["told"], np.uint8), count=r["n"])
+                for r in told
+            ]
+            or [np.empty(0, np.uint8)]
+        ).astype(bool)
+        found = np.frombuffer(block["anchors"], np.int64)
+        runs = np.frombuffer(block["runs"], np.int32)
+        lengths = np.frombuffer(block["lengths"], np.int32)
+        counts = np.frombuffer(block["counts"], np.int32)
+        keys, texts = (
+            np.frombuffer(block[c], np.int64) for c in ("keys", "text_hashes")
+        )
+        ends = np.cumsum(lengths, dtype=np.int64)
+        starts = np.cumsum(counts) - counts
+        out = []
+        for i, (a, n) in enumerate(zip(starts.tolist(), counts.tolist(), strict=True)):
+            own = a + np.flatnonzero(again[runs[a : a + n]])
+            if len(own):
+                base = ends[a - 1] if a else 0
+                out.append(
+                    (
+                        int(keys[i]), int(texts[i]), found[runs[own]].tobytes(),
+                        (ends[own] - lengths[own] - base).tobytes(),
+                        (ends[own] - base).tobytes(),
+                    )
+                )
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 3
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            ["key", "text_hash", "anchors", "begins", "ends"],
+        )
+
+
+def recurring_runs(rows: DataFrame, window: int, scratch: Scratch) -> DataFrame:
+    """Stored table: every row's runs of windows whose anchor another row has too."""
+    blocks = scratch.store(
+        rows.mapInArrow(lambda b: _blocks(b, window), _BLOCK), "anchor-blocks"
+    )
+    every = blocks.agg(F.sum("n")).first()[0] or 0
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    bits = (max(cores, -(-every // _PART_ANCHORS)) - 1).bit_length()
+    told = (
+        blocks.select("block", "anchors", "several")
+        .mapInArrow(lambda b: _by_part(b, bits), _SLICE)
+        .repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(_recurring, "part int, block long, n long, told binary")
+    )
+    both = blocks.drop("n", "several").unionByName(told, allowMissingColumns=True)
+    wanted = (
+        both.repartition("block")
+        .sortWithinPartitions("block", "part")  # the block itself comes first
+        .mapInArrow(_wanted, _WANTED)
+    )
+    found = scratch.store(wanted.dropDuplicates(["key", "text_hash"]), "wanted-runs")
+    scratch.drop("anchor-blocks")
+    return found
 
 
 def _stretches(rows: DataFrame, window: int) -> DataFrame:
@@ -78,26 +252,22 @@ def _stretches(rows: DataFrame, window: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         sent: set[bytes] = set()
         for batch in batches:
+            keys, hashes = (batch.column(c).to_pylist() for c in ("key", "text_hash"))
+            found, begins, ends = (
+                [np.frombuffer(x, np.int64).tolist() for x in batch.column(c).to_pylist()]
+                for c in ("anchors", "begins", "ends")
+            )
             out = []
-            for key, text_hash, text, wanted in zip(
-                batch.column("key").to_pylist(),
-                batch.column("text_hash").to_pylist(),
-                binary(batch.column("text")),
-                batch.column("anchors").to_pylist(),
-                strict=True,
-            ):
+            for i, text in enumerate(binary(batch.column("text"))):
                 words = text.split()
-                found, first, last = anchors(hashes.of(words), window)
-                for i in np.flatnonzero(np.isin(found, np.array(wanted, np.int64))):
-                    begin = int(first[i])
-                    run = b" ".join(words[begin : int(last[i]) + window])
+                for anchor, begin, end in zip(found[i], begins[i], ends[i], strict=True):
+                    run = b" ".join(words[begin : end - 1 + window])
                     name = xxhash.xxh3_128_digest(run)
                     shown = None if name in sent else run
                     sent.add(name)
-                    out.append((int(found[i]), key, text_hash, begin, name, shown))
+                    out.append((anchor, keys[i], hashes[i], begin, name, shown))
             if len(sent) > _SENT:
                 sent.clear()
             columns = list(zip(*out, strict=True)) or [[]] * 6
@@ -272,29 +442,14 @@ def removed_spans(
     text_column: str = "text",
 ) -> DataFrame:
     """Stored table: ``key``, ``text_hash`` and ``spans`` of words to remove."""
-    scratch = Scratch(docs.sparkSession)
-    rows = _keyed(docs, id_column, text_column)
-    occurrences = _document_anchors(rows, window)
-    recurring = scratch.store(
-        occurrences.groupBy("anchor")
-        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .where("low < high")
-        .select("anchor"),
-        "recurring-anchors",
-    )
-    by_document = scratch.store(
-        occurrences.join(recurring, "anchor", "left_semi")
-        .groupBy("key")
-        .agg(F.collect_set("anchor").alias("anchors")),
-        "document-anchors",
-    )
-    scratch.drop("recurring-anchors")
-    text_hash = F.xxhash64(text_column).alias("text_hash")
-    keyed = _keyed(docs, id_column, text_column, text_hash)
-    stretches = scratch.store(
-        _stretches(keyed.join(by_document, "key"), window), "stretches"
-    )
-    scratch.drop("document-anchors")
+    scratch = Scratch(docs.sparkSession, "zstd")
+    rows = _rows(docs, id_column, text_column)
+    wanted = recurring_runs(rows, window, scratch)
+    found = lookup_join(rows, wanted, ["key", "text_hash"], "inner")
+    stretches = scratch.store(_stretches(found, window), "stretches")
+    del found, wanted
+    scratch.drop("wanted-runs")
+    release(docs.sparkSession)
     merged = scratch.store(_different(stretches), "merged")
     places = scratch.store(
         stretches.select("digest", "key", "text_hash", "begin"), "places"
@@ -358,7 +513,7 @@ def remove_repeats(
         id_key(id_column).alias("key"),
         F.xxhash64(text_column).alias("text_hash"),
     )
-    joined = keyed.join(spans, ["key", "text_hash"], "left")
+    joined = lookup_join(keyed, spans, ["key", "text_hash"])
 
     @F.pandas_udf("n_words long, n_removed long, kept_text string")
     def cut(texts, spans):
