@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import Scratch
+from tabloom.operators.skew import lookup_join
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,7 +16,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     repetitions and loops do not matter. Returns ``node`` and ``component``
     (smallest node reachable) for every node with an edge to another one.
     A round is joins and minima over the edge list, never a list of
-    neighbours, so that a node may have any number of links; each round is
+    neighbours, so that a node may have any number of links, and one with many
+    is split among tasks; each round is
     stored, and the number of rounds grows with the logarithm of the size.
     """
     scratch = Scratch(edges.sparkSession)
@@ -50,8 +52,7 @@ def _large_star(stars: DataFrame) -> DataFrame:
     both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     return (
-        both.where("v > u")
-        .join(least, "u")
+        lookup_join(both.where("v > u"), least, ["u"], "inner")
         .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         .distinct()
     )
@@ -61,7 +62,7 @@ def _small_star(stars: DataFrame) -> DataFrame:
     """Smaller neighbours and the node itself move to the smallest of them."""
     least = stars.groupBy("u").agg(F.min("v").alias("m"))
     moved = (
-        stars.join(least, "u")
+        lookup_join(stars, least, ["u"], "inner")
         .where("v <> m")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
     )

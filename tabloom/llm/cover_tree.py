@@ -19,6 +19,7 @@ from tabloom.llm.common import (
     sorted_groups,
 )
 from tabloom.llm.components import connected_components
+from tabloom.operators.skew import lookup_join
 
 BLOCK = 4096  # vectors of one tree
 _LEAF = 48
@@ -209,7 +210,7 @@ def near_duplicates(
         .withColumn("component", F.coalesce("component", "class"))
     )
     heads = numbered.groupBy("component").agg(F.min("rep").alias("head"))
-    named = numbered.join(heads, "component").select(
+    named = lookup_join(numbered, heads, ["component"], "inner").select(
         *same,
         (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         "head",

@@ -21,6 +21,7 @@ from tabloom.llm.common import (
     sorted_groups,
 )
 from tabloom.llm.components import connected_components
+from tabloom.operators.skew import lookup_join
 
 CHUNK = 4096
 _SEED = 42
@@ -197,7 +198,8 @@ def _class_components(found: DataFrame, distance: int) -> DataFrame:
         connected_components(edges).withColumnRenamed("node", "fp"), "fp", "left"
     ).withColumn("component", F.coalesce("component", "fp"))
     heads = joined.groupBy("component").agg(F.min("rep").alias("stays"))
-    return joined.join(heads, "component").select("fp", "stays")
+    found = lookup_join(joined, heads, ["component"], "inner")
+    return found.select("fp", "stays")
 
 
 def deduplicated(
