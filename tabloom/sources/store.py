@@ -7,9 +7,12 @@ rename that fails if the place is taken. Readers go by the newest manifest, so
 a change that dies before the rename has not happened, and is just repeated.
 
 ``path/data/<commit>/bucket=<name>``  rows
-``path/keys/<commit>/bucket=<name>``  a filter over their keys
+``path/keys/<commit>/bucket=<name>``  a filter over their keys, for inserts
 ``path/_manifest/<number>.json``      buckets, their row counts and commits
 
+Only an insert asks the filters, so only inserts write them: what an upsert has
+written is read by the next insert into that bucket.
+
 A bucket that grows past ``rows_per_bucket`` is split by one more bit of the
 hash when it is next rewritten; the number of buckets follows the table.
 """
@@ -36,6 +39,7 @@ BUCKET = "bucket"
 ROWS_PER_BUCKET = 4_000_000
 _HASH = "__hash"
 _MOST_COMMITS = 8  # of one bucket, before an insert puts them together
+_UPSERTED = "-upsert"  # at the end of a commit's name: it has no key filter
 _BITS_PER_KEY, _PROBES = 16, 4
 _BLOCK_BITS = 32_768  # of one bitmap of the bitmap functions
 
@@ -196,9 +200,11 @@ class _Table:
             rows = self.spark.read.schema(self.schema).parquet(*paths)
         return rows.select(*(columns or self.schema.names))
 
-    def write(self, rows: DataFrame, manifest: Manifest) -> tuple[str, dict[str, int]]:
+    def write(
+        self, rows: DataFrame, manifest: Manifest, filters: bool
+    ) -> tuple[str, dict[str, int]]:
         """Store ``rows`` by bucket; the commit's name and its rows by bucket."""
-        commit = uuid.uuid4().hex
+        commit = uuid.uuid4().hex + ("" if filters else _UPSERTED)
         folder = f"{self.files.root}/data/{commit}"
         # One task per bucket would put a large bucket through one task; the batch
         # is spread by bucket and a row hash instead, and AQE sizes the tasks.
@@ -214,7 +220,7 @@ class _Table:
             StructType([*self.schema.fields]).add(BUCKET, "string")
         ).parquet(folder)
         counts = {r[BUCKET]: r["count"] for r in written.groupBy(BUCKET).count().collect()}
-        if counts:
+        if counts and filters:
             self._write_filter(written, commit, counts)
         return commit, counts
 
@@ -254,11 +260,16 @@ class _Table:
 
     def may_hold(self, batch: DataFrame, buckets: list[Bucket]) -> DataFrame:
         """Keys of ``batch`` (with hash and bucket) that the filters do not rule out."""
+        bare = [b.name for b in buckets if any(c.endswith(_UPSERTED) for c in b.commits)]
+        unknown = batch.where(F.col(BUCKET).isin(bare)).select(*self.key, BUCKET)
         sizes = [
-            (b.name, commit, _blocks(n)) for b in buckets for commit, n in b.commits.items()
+            (b.name, commit, _blocks(n))
+            for b in buckets
+            if b.name not in bare
+            for commit, n in b.commits.items()
         ]
         if not sizes:
-            return batch.select(*self.key, BUCKET).limit(0)
+            return unknown
         blocks = self.spark.createDataFrame(
             sizes, f"{BUCKET} string, commit string, blocks long"
         )
@@ -278,7 +289,7 @@ class _Table:
         held = asked.join(filters, ["commit", BUCKET, "block"]).where(
             F.forall("probes", lambda p: _bit("bitmap", p))
         )
-        return held.select(*self.key, BUCKET).distinct()
+        return held.select(*self.key, BUCKET).distinct().unionByName(unknown)
 
     def commit(self, before: Manifest, buckets: list[Bucket]) -> None:
         self.files.publish(Manifest(before.version + 1, buckets))
@@ -331,7 +342,7 @@ def upsert_into(
     merged = upsert(
         table.read(touched), batch.drop(_HASH), key, update_cols, order_by, keep=keep
     )
-    commit, counts = table.write(merged, Manifest(0, untouched + pieces))
+    commit, counts = table.write(merged, Manifest(0, untouched + pieces), filters=False)
     written = [
         Bucket(p.bits, p.value, {commit: counts[p.name]} if p.name in counts else {})
         for p in pieces
@@ -382,7 +393,7 @@ def insert_new(
     rows = conform(fresh, spark.createDataFrame([], schema))
     if rewritten:
         rows = rows.unionByName(table.read(rewritten))
-    commit, counts = table.write(rows, Manifest(0, rest + added + pieces))
+    commit, counts = table.write(rows, Manifest(0, rest + added + pieces), filters=True)
     written = [
         Bucket(b.bits, b.value, {**b.commits, **_part(commit, counts, b.name)})
         for b in added + pieces

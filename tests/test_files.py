@@ -279,6 +279,11 @@ def test_buckets_split_as_the_table_grows(spark, tmp_path):
     store.upsert_into(spark, path, schema, staged, ["k"], ["v"], ["v"], rows_per_bucket=50)
     got = dict(rows(store.read_table(spark, path, schema)))
     assert got == {k: "u" if k % 5 == 0 else v for k, v in expected}
+    # What an upsert has written is read whole by the next insert.
+    staged = spark.range(300, 420).selectExpr("id AS k", "'n' AS v")
+    store.insert_new(spark, path, schema, staged, ["k"], ["v"], rows_per_bucket=50)
+    now = dict(rows(store.read_table(spark, path, schema)))
+    assert now == got | {k: "n" for k in range(390, 420)}
 
 
 def test_an_insert_reads_only_buckets_that_may_hold_its_keys(spark, tmp_path):
