@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import (
     Scratch,
-    forest_edges,
     gram_hashes,
     id_key,
     id_value,
@@ -21,11 +21,14 @@ from tabloom.llm.common import (
     sorted_groups,
 )
 from tabloom.llm.components import connected_components
+from tabloom.operators.skew import lookup_join
 
 BANDS, ROWS = 16, 4  # a pair at 0.8 shares no band once in 4,500 times
 SHINGLE = 8  # characters
 CHUNK = 1024
-_FEW = 48  # lines whose sets are compared pair by pair
+_FEW, _SOME = 4, 256  # lines compared pair by pair, or all with all at once
+_COLUMNS = 1 << 13  # shingles of one step of the latter
+_NEARLY = 0.999  # hashes may meet: a pair is dropped only well below the threshold
 _FACTORS = np.random.default_rng(5).integers(
     0, 1 << 32, BANDS * ROWS, np.uint32
 ) | np.uint32(1)
@@ -81,51 +84,65 @@ def _band_keys(lines: list[str], shingle: int) -> np.ndarray:
 def _line_rows(rows: DataFrame, shingle: int, bands: bool) -> DataFrame:
     """A row per line that is not blank: place, digest and, if asked, band keys.
 
-    A line shorter than a shingle has no band keys: as its own only shingle it
-    is near no other line, and its digest finds its copies.
+    ``row`` is the text's hash: together with the id it names a row, also
+    where ids are null or repeat. With ``bands`` a line that stands in several
+    texts of a slice is one row with the first place and its ``copies``. A line
+    shorter than a shingle has no band keys: as its own only shingle it is near
+    no other line, and its digest finds its copies.
     """
-    schema = "key long, line long, digest binary"
+    schema = "key long, row long, line long, digest binary"
+    if bands:
+        schema += ", copies long, bands array<long>"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                places, lines = [], []
-                for key, text in zip(
-                    part.column("key").to_pylist(),
-                    part.column("text").to_pylist(),
-                    strict=True,
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                keys, own = (part.column(c).to_pylist() for c in ("key", "row"))
+                places, lines, digests = [], [], []
+                for key, row, text in zip(
+                    keys, own, part.column("text").to_pylist(), strict=True
                 ):
                     for i, raw in enumerate((text or "").split("\n")):
                         if line := normal(raw):
-                            places.append((key, i))
+                            places.append((key, row, i))
                             lines.append(line)
-                columns = [
-                    pa.array([k for k, _ in places], pa.int64()),
-                    pa.array([i for _, i in places], pa.int64()),
-                    pa.array([digest(x) for x in lines], pa.binary()),
-                ]
-                names = ["key", "line", "digest"]
+                            digests.append(digest(line))
+                more = []
                 if bands:
+                    first: dict[bytes, int] = {}
+                    copies = Counter(digests)
+                    for i, name in enumerate(digests):
+                        j = first.setdefault(name, i)
+                        if places[i] < places[j]:
+                            first[name] = i
+                    digests = list(first)
+                    places = [places[i] for i in first.values()]
+                    lines = [lines[i] for i in first.values()]
                     whole = np.array([len(x) >= shingle for x in lines], bool)
-                    long = [x for x in lines if len(x) >= shingle]
-                    keys = band_keys(long, shingle).ravel()
+                    found = band_keys([x for x in lines if len(x) >= shingle], shingle)
                     offsets = np.append(0, np.cumsum(whole) * BANDS)
-                    columns.append(
+                    more = [
+                        pa.array([copies[x] for x in digests], pa.int64()),
                         pa.ListArray.from_arrays(
-                            pa.array(offsets, pa.int32()), pa.array(keys)
-                        )
-                    )
-                    names.append("bands")
+                            pa.array(offsets, pa.int32()), pa.array(found.ravel())
+                        ),
+                    ]
+                columns = [
+                    *(pa.array([p[i] for p in places], pa.int64()) for i in range(3)),
+                    pa.array(digests, pa.binary()),
+                    *more,
+                ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, schema + (", bands array<long>" if bands else ""))
+    return rows.mapInArrow(run, schema)
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``line_id`` and ``words`` (the line as it is compared) of wanted lines."""
-    by_document = wanted.groupBy("key").agg(
-        F.collect_list(F.struct("line", "line_id", "digest")).alias("lines")
+    by_document = wanted.groupBy("key", "row").agg(
+        F.collect_list(F.struct("line", "line_id")).alias("lines")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,146 +153,247 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 batch.column("lines").to_pylist(),
                 strict=True,
             ):
-                own = (text or "").split("\n")
-                for x in lines:
-                    if x["line"] < len(own):
-                        line = normal(own[x["line"]])
-                        if digest(line) == x["digest"]:  # of this row, if ids repeat
-                            ids.append(x["line_id"])
-                            texts.append(line)
+                own = text.split("\n")
+                ids += [x["line_id"] for x in lines]
+                texts += [normal(own[x["line"]]) for x in lines]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(texts, pa.string())],
                 ["line_id", "words"],
             )
 
-    return docs.join(by_document, "key").mapInArrow(run, "line_id long, words string")
-
-
-def similar_pairs(
-    lines: list[str], shingle: int, threshold: float, apart: np.ndarray | None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs whose shingle sets have Jaccard >= ``threshold``.
-
-    Shingles are compared as texts. A line meets only lines that share a
-    shingle with it; intersections are counted over the postings.
+    # Rows that repeat an id and text have one entry there, and may be many.
+    found = lookup_join(docs, by_document, ["key", "row"], "inner")
+    return found.mapInArrow(run, "line_id long, words string")
+
+
+class Groups:
+    """Which positions are connected so far."""
+
+    def __init__(self, size: int):
+        self.above = list(range(size))
+        self.count = size
+
+    def find(self, i: int) -> int:
+        while self.above[i] != i:
+            self.above[i] = self.above[self.above[i]]
+            i = self.above[i]
+        return i
+
+    def link(self, i: int, j: int) -> bool:
+        """True if that connects two groups."""
+        i, j = self.find(i), self.find(j)
+        if i == j:
+            return False
+        self.above[max(i, j)] = min(i, j)
+        self.count -= 1
+        return True
+
+
+def similar_links(
+    lines: list[str],
+    shingle: int,
+    threshold: float,
+    may_meet: Callable[[int, np.ndarray], np.ndarray],
+) -> list[tuple[int, int]]:
+    """Links that connect what all pairs with Jaccard >= ``threshold`` connect.
+
+    Shingles are counted by 64-bit hashes; a pair that passes is compared as
+    texts. ``may_meet`` says which of some positions a line is to be compared
+    with; a pair that is connected already is not.
     """
-    sets = [{x[i : i + shingle] for i in range(len(x) - shingle + 1)} for x in lines]
-    sizes = np.array([len(s) for s in sets])
-    if len(sets) <= _FEW:
-        found = [
-            (j, i)
-            for i, own in enumerate(sets)
-            for j, other in enumerate(sets[:i])
-            if (apart is None or apart[i] != apart[j])
-            and min(sizes[i], sizes[j]) >= threshold * max(sizes[i], sizes[j])
-            and _jaccard(own, other) >= threshold
-        ]
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pairs[:, 0], pairs[:, 1]
-    numbers: dict[str, int] = {}
-    codes = np.fromiter(
-        (numbers.setdefault(x, len(numbers)) for own in sets for x in own), np.int64
-    )
-    owners = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(codes, kind="stable")
-    postings = owners[order]
-    begins = np.searchsorted(codes[order], np.arange(len(numbers) + 1))
-    ends = np.cumsum(sizes)
-    first, second = [], []
-    for i, (end, size) in enumerate(zip(ends, sizes, strict=True)):
-        own = codes[end - size : end]
-        met = [postings[a:b] for a, b in zip(begins[own], begins[own + 1], strict=True)]
-        shared = np.bincount(np.concatenate(met), minlength=len(sets))[:i]
-        close = shared >= threshold * (size + sizes[:i] - shared)
-        if apart is not None:
-            close &= apart[:i] != apart[i]
+    groups, links = Groups(len(lines)), []
+    everything = np.arange(len(lines))
+    sets: dict[int, set[str]] = {}
+
+    def shingles(i: int) -> set[str]:
+        if i not in sets:
+            x = lines[i]
+            sets[i] = {x[k : k + shingle] for k in range(len(x) - shingle + 1)}
+        return sets[i]
+
+    def link(i: int, j: int) -> None:
+        a, b = shingles(i), shingles(j)
+        if min(len(a), len(b)) >= threshold * max(len(a), len(b)):
+            shared = len(a & b)
+            if shared >= threshold * (len(a) + len(b) - shared) and groups.link(i, j):
+                links.append((i, j))
+
+    if len(lines) <= _FEW:
+        for i in range(1, len(lines)):
+            for j in np.flatnonzero(may_meet(i, everything[:i])).tolist():
+                if groups.find(i) != groups.find(j):
+                    link(i, j)
+        return links
+    codes, owners = _codes(lines, shingle)
+    if len(lines) <= _SOME:
+        shared, sizes = _shared(owners, codes, len(lines))
+        close = shared >= _NEARLY * threshold * (sizes[:, None] + sizes - shared)
+        for i, j in zip(*np.nonzero(np.triu(close, 1)), strict=True):
+            if groups.find(i) != groups.find(j) and may_meet(i, np.array([j]))[0]:
+                link(int(i), int(j))
+        return links
+    # Each line has a shingle once from here on.
+    pairs = np.unique(owners * (int(codes.max()) + 1) + codes)
+    owners, codes = np.divmod(pairs, int(codes.max()) + 1)
+    ends = np.cumsum(np.bincount(owners, minlength=len(lines)))
+    sizes = np.diff(ends, prepend=0)
+    postings = owners[np.argsort(codes, kind="stable")]
+    begins = np.concatenate([[0], np.cumsum(np.bincount(codes))])
+
+    def similar(i: int) -> np.ndarray:
+        own = codes[ends[i] - sizes[i] : ends[i]]
+        met = np.concatenate([postings[begins[g] : begins[g + 1]] for g in own])
+        shared = np.bincount(met, minlength=len(lines))
+        close = shared >= _NEARLY * threshold * (sizes[i] + sizes - shared)
+        close[i] = False
         found = np.flatnonzero(close)
-        first.append(found)
-        second.append(np.full(len(found), i))
-    return np.concatenate(first), np.concatenate(second)
+        return found[may_meet(i, found)]
+
+    # First the lines that nothing has reached yet, each with all its partners;
+    # then, while there are several groups, the others.
+    asked = np.zeros(len(lines), bool)
+    reached = np.zeros(len(lines), bool)
+    for only_unreached in (True, False):
+        for i in range(len(lines)):
+            if groups.count == 1:
+                break
+            if asked[i] or (only_unreached and reached[i]):
+                continue
+            asked[i] = True
+            for j in similar(i).tolist():
+                reached[j] = True
+                if groups.find(i) != groups.find(j):
+                    link(i, j)
+    return links
 
 
-def _jaccard(a: set[str], b: set[str]) -> float:
-    shared = len(a & b)
-    return shared / (len(a) + len(b) - shared)
+def _codes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every shingle of every line, and its line."""
+    lengths = np.array([len(x) for x in lines])
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
+    grams = gram_hashes(points.astype(np.uint64), shingle)
+    counts = lengths - shingle + 1
+    begins = np.cumsum(lengths) - lengths
+    place = np.arange(counts.sum()) + np.repeat(
+        begins - (np.cumsum(counts) - counts), counts
+    )
+    _, codes = np.unique(grams[place], return_inverse=True)
+    return codes, np.repeat(np.arange(len(lines)), counts)
+
+
+def _shared(owners: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that every two lines share and that each has, by 0-1 matrices."""
+    often = np.bincount(codes)
+    once = often[codes] == 1  # in one line only
+    sizes = np.bincount(owners[once], minlength=size).astype(np.float32)
+    owners, codes = owners[~once], codes[~once]
+    place = np.cumsum(often > 1) - 1
+    columns = place[codes]
+    out = np.zeros((size, size), np.float32)  # counts below 2 ** 24 are exact
+    for begin in range(0, int(place[-1]) + 1 if len(place) else 0, _COLUMNS):
+        inside = (columns >= begin) & (columns < begin + _COLUMNS)
+        cells = np.zeros((size, _COLUMNS), np.float32)
+        cells[owners[inside], columns[inside] - begin] = 1
+        out += cells @ cells.T
+        sizes += cells.sum(axis=1)
+    return out, sizes
 
 
 def _links(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float):
+    """Per band and block a forest of links.
+
+    Two lines that share several bands are compared in the first of them only.
+    """
     for group in sorted_groups(batches, ["band", "lo", "hi"], least=2):
         two = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
-        apart = group.column("part").to_numpy() if two else None
+        parts = group.column("part").to_numpy()
+        size = group.num_rows
+        bands = group.column("bands").combine_chunks().flatten().to_numpy()
+        bands = bands.reshape(size, BANDS)
+        earlier = bands[:, : group.column("at")[0].as_py()]
+
+        def may_meet(i: int, others: np.ndarray) -> np.ndarray:
+            new = ~(earlier[others] == earlier[i]).any(axis=1)
+            return new & (parts[others] != parts[i]) if two else new
+
         lines = group.column("words").to_pylist()
-        pairs = similar_pairs(lines, shingle, threshold, apart)
-        yield forest_edges(len(lines), *pairs, group.column("line_id").to_numpy())
+        links = similar_links(lines, shingle, threshold, may_meet)
+        names = group.column("line_id").to_numpy()
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[ends[:, 0]]), pa.array(names[ends[:, 1]])], ["a", "b"]
+        )
 
 
 def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Stored table: ``digest`` of each repeated line, ``key`` and ``line`` that stay."""
+    """Stored table: ``digest`` of each repeated line and the place that stays."""
     scratch = Scratch(rows.sparkSession)
     lines = scratch.store(
         _line_rows(rows, shingle, bands=True)
         .groupBy("digest")
         .agg(
-            F.min(F.struct("key", "line")).alias("place"),
+            F.min(F.struct("key", "row", "line")).alias("place"),
             F.any_value("bands").alias("bands"),
-            F.count("*").alias("copies"),
+            F.sum("copies").alias("copies"),
         )
         .withColumn("line_id", F.monotonically_increasing_id()),
         "lines",
     )
-    banded = lines.select(F.explode("bands").alias("band"), "line_id")
+    banded = lines.select(F.posexplode("bands").alias("at", "band"), "line_id")
     mixed = F.xxhash64("line_id")
-    # Bands with the same members say the same: keep one of them.
+    # Bands with the same members say the same: the first of them is kept, as a
+    # pair is compared in the first band that it shares.
     meeting = (
         banded.groupBy("band")
         .agg(
             F.count("*").alias("n"),
             F.bit_xor(mixed).alias("x"),
             F.sum(F.shiftright(mixed, 24)).alias("s"),
+            F.min("at").alias("at"),
         )
         .where("n > 1")
         .groupBy("n", "x", "s")
-        .agg(F.min("band").alias("band"))
+        .agg(F.min_by("band", "at").alias("band"))
         .select("band")
     )
     meeting = scratch.store(meeting, "bands")
     members = scratch.store(
         banded.join(meeting, "band", "left_semi"), "band-members"
     )
+    scratch.drop("bands")
+    some = members.select("line_id").distinct()
+    wanted = scratch.store(
+        lines.join(some, "line_id", "left_semi").select("line_id", "place.*", "bands"),
+        "wanted",
+    )
     places = scratch.store(lines.drop("bands"), "line-places")
-    scratch.drop("bands", "lines")
-    lines = places
-    wanted = lines.join(members.select("line_id").distinct(), "line_id", "left_semi")
+    scratch.drop("lines")
+    texts = _texts_of(rows, wanted.drop("bands")).dropDuplicates(["line_id"])
     texts = scratch.store(
-        _texts_of(
-            rows,
-            wanted.select("place.key", "place.line", "line_id", "digest"),
-        ),
-        "line-texts",
+        texts.join(wanted.select("line_id", "bands"), "line_id"), "line-texts"
     )
-    # A repeated row gives its lines' texts twice.
-    met = members.join(texts.dropDuplicates(["line_id"]), "line_id")
+    scratch.drop("wanted")
+    met = members.join(texts, "line_id")
     edges = in_chunk_pairs(met, "band", "line_id", CHUNK).mapInArrow(
         lambda batches: _links(batches, shingle, threshold), "a long, b long"
     )
     components = connected_components(edges)
     scratch.drop("band-members", "line-texts")
-    grouped = lines.select("line_id", "digest", "place", "copies").join(
+    grouped = places.join(
         components.withColumnRenamed("node", "line_id"), "line_id", "left"
-    )
+    ).where("copies > 1 or component is not null")
     heads = (
         grouped.where("component is not null")
         .groupBy("component")
         .agg(F.min("place").alias("head"))
     )
-    kept = scratch.store(
-        grouped.where("copies > 1 or component is not null")
-        .join(heads, "component", "left")
-        .select("digest", F.coalesce("head", "place").alias("stays")),
-        "kept-lines",
-    )
+    alone = grouped.where("component is null").select("digest", "place")
+    together = lookup_join(
+        grouped.where("component is not null"), heads, ["component"], "inner"
+    ).select("digest", F.col("head").alias("place"))
+    kept = scratch.store(alone.unionByName(together), "kept-lines")
     scratch.drop("line-places")
-    return kept.select("digest", "stays.key", "stays.line")
+    return kept.select("digest", "place.*")
 
 
 def removed_lines(
@@ -285,17 +403,23 @@ def removed_lines(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``key`` and ``lines`` (line number and digest) of lines to remove."""
-    rows = docs.select(id_key(id_column).alias("key"), F.col(text_column).alias("text"))
+    """``key``, ``row`` (see ``_line_rows``) and ``lines``, the numbers of lines to remove."""
+    rows = _rows(docs, id_column, text_column)
     stays = line_components(rows, shingle, threshold).withColumnsRenamed(
-        {"key": "stays_key", "line": "stays_line"}
+        {"key": "stays_key", "row": "stays_row", "line": "stays_line"}
     )
+    found = lookup_join(_line_rows(rows, shingle, bands=False), stays, ["digest"], "inner")
     return (
-        _line_rows(rows, shingle, bands=False)
-        .join(stays, "digest")
-        .where("key <> stays_key or line <> stays_line")
-        .groupBy("key")
-        .agg(F.collect_set(F.struct("line", "digest")).alias("lines"))
+        found.where("key <> stays_key or row <> stays_row or line <> stays_line")
+        .groupBy("key", "row")
+        .agg(F.collect_set("line").alias("lines"))
+    )
+
+
+def _rows(docs: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
+    text = F.col(text_column)
+    return docs.select(
+        id_key(id_column).alias("key"), F.xxhash64(text).alias("row"), text.alias("text"), *more
     )
 
 
@@ -321,15 +445,13 @@ def dedup_lines(
     Returns all columns of ``docs`` in the struct ``document``, ``id``,
     ``n_lines`` (lines that are not blank), ``n_removed`` and ``kept_text`` (the
     other lines as they were). A null text has no lines and stays null. Null
-    ids are larger than all others. Rows that repeat an id and text are
-    treated alike: both keep the line that stays. An empty table gives an
-    empty table.
+    ids are larger than all others, and rows of one id come by a hash of their
+    text. Rows that repeat an id and text are treated alike: both keep the line
+    that stays. An empty table gives an empty table.
     """
     removed = removed_lines(docs, shingle, threshold, id_column, text_column)
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
-        id_key(id_column).alias("key"),
-    )
+    document = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    keyed = _rows(docs, id_column, text_column, document).drop("text")
 
     @F.pandas_udf("n_lines long, n_removed long, kept_text string")
     def cut(texts, removed):
@@ -342,19 +464,17 @@ def dedup_lines(
                 continue
             lines = text.split("\n")
             full = sum(1 for x in lines if x.strip())
-            gone = {
-                x["line"]
-                for x in ([] if some is None else some)
-                if x["line"] < len(lines)
-                and digest(normal(lines[x["line"]])) == bytes(x["digest"])
-            }
+            if some is None:
+                out.append((full, 0, text))
+                continue
+            gone = set(some)
             kept = "\n".join(x for i, x in enumerate(lines) if i not in gone)
             out.append((full, len(gone), kept))
         return pd.DataFrame(out, columns=["n_lines", "n_removed", "kept_text"])
 
     text = F.col(f"document.`{text_column}`")
     return (
-        keyed.join(removed, "key", "left")
+        lookup_join(keyed, removed, ["key", "row"])
         .select("document", "key", cut(text, "lines").alias("cut"))
         .select("document", id_value("key").alias("id"), "cut.*")
     )

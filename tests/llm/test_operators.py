@@ -269,7 +269,7 @@ def test_line_dedup_with_null_and_repeated_ids(spark):
     assert lines == ["null 0", "null 0", "null 1", "null 2", "seven 0", "seven 1"]
 
 
-@pytest.mark.parametrize("size", [12, 60])
+@pytest.mark.parametrize("size", [4, 60, 300])
 def test_links_connect_what_all_similar_pairs_connect(size):
     random = np.random.default_rng(size)
     base = ["".join(random.choice([*"abcdefgh "], 60)) for _ in range(4)]
@@ -512,6 +512,44 @@ def test_tries_hold_every_text():
     }
 
 
+def test_packing_scores_neighbours_by_bm25():
+    random = np.random.default_rng(8)
+    docs = [random.integers(0, 30, random.integers(1, 40)).astype("<u4") for _ in range(50)]
+    holders = np.array([sum(t in d for d in docs) for t in range(30)], float)
+    mean = sum(map(len, docs)) / 50
+    index = packing.InvertedIndex(docs, packing.Statistics(holders, 50, mean))
+    for i in (0, 7, 49):
+        expected = []
+        for d in docs:
+            score = 0.0
+            for t in set(docs[i].tolist()):
+                n = (d == t).sum()
+                idf = max(0.0, np.log((50 - holders[t] + 0.5) / (holders[t] + 0.5)))
+                score += idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(d) / mean)) if n else 0
+            expected.append(score)
+        assert index.scores(i) == pytest.approx(expected)
+        left = np.ones(50, np.int64)
+        left[3] = 0
+        order = list(packing._candidates(index, i, left))
+        assert order[0] == i and 3 not in order[1:] and len(order) == 50 - (i != 3)
+        ranked = [expected[j] for j in order[1:]]
+        assert ranked == sorted(ranked, reverse=True)
+
+
+def test_packing_fills_a_window_with_the_nearest(spark, encode):
+    # Pairs of short texts about one thing each, far apart by id.
+    docs = [(i + 100 * k, f"{w} " * 30 + f"note {k}") for i, w in enumerate(
+        ["zebra", "quartz", "violin", "harbor", "pepper", "glacier"]) for k in (0, 1)
+    ]
+    size = max(len(encode(t)) + 1 for _, t in docs)
+    pieces = packing.pack(frame(spark, docs), JSON, 0, window=2 * size).collect()
+    firsts = defaultdict(list)
+    for p in sorted(pieces, key=lambda p: p.offset):
+        firsts[p.sequence_id].append(p.doc_id % 100)
+    seeds = [x for x in firsts.values() if len(x) > 1]
+    assert seeds and sum(x[0] == x[1] for x in seeds) >= len(seeds) - 2
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
