@@ -137,7 +137,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _entries(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Each block's dictionary, cut by partition of the vocabulary."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):  # a batch may hold many blocks
+            row = batch.slice(i, 1).to_pylist()[0]
             words = row["words"].split(b"\n")
             counts = np.frombuffer(row["counts"], np.int64)
             parts = np.frombuffer(row["tops"], np.uint16) >> (_MOST_BITS - bits)

@@ -133,7 +133,8 @@ _SLICE = "part int, block long, anchors binary, several binary"
 def _by_part(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Each block's anchors, cut at the top bits."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):  # a batch may hold many blocks
+            row = batch.slice(i, 1).to_pylist()[0]
             found = np.frombuffer(row["anchors"], np.uint64)
             several = np.frombuffer(row["several"], np.uint8)
             parts = (found >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int32)
