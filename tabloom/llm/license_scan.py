@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import ahocorasick
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.common import binary, id_key, id_value
 
-# Phrases that count as base places, with their labels.
+# Phrases that count as base places unless others are given, with their labels.
 BASE = {
     "the mit license": "mit",
     "apache license version 2": "apache-2",
@@ -197,11 +197,12 @@ def evaluate(postfixed: list[str]) -> tuple[float, set[str]]:
     return stack[0] if stack else (1.0, set())
 
 
-def automaton() -> ahocorasick.Automaton:
+def automaton(base: Mapping[str, str] = BASE) -> ahocorasick.Automaton:
+    """All phrases; those of ``BASE`` that ``base`` leaves out are notices."""
     found = ahocorasick.Automaton()
-    kinds = {p: ("base", x) for p, x in BASE.items()}
-    kinds |= {p: ("notice", x) for p, x in NOTICES.items()}
+    kinds = {p: ("notice", x) for p, x in (BASE | NOTICES).items()}
     kinds[TAG] = ("tag", "")
+    kinds |= {p: ("base", x) for p, x in base.items()}
     for phrase, (kind, label) in kinds.items():
         found.add_word(f" {phrase} ", (kind, label, len(phrase) + 1))
     found.make_automaton()
@@ -256,25 +257,30 @@ _PLACES = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
 
 
 def scan(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    base: Mapping[str, str] = BASE,
 ) -> DataFrame:
     """Licence labels of every whole text.
 
     Words are runs of ASCII letters and digits and of all characters beyond
     ASCII, A-Z in lower case. Returns ``id_column``, ``n_words``, ``n_base``
-    (places of ``BASE`` phrases), ``first_word`` and ``last_word`` (smallest and
-    largest of those places, null without any), ``base_labels`` and ``labels``
+    (places of the phrases of ``base``), ``first_word`` and ``last_word`` (smallest
+    and largest of those places, null without any), ``base_labels`` and ``labels``
     (distinct, sorted, joined by commas; ``labels`` has those of notices and of
     evaluated expressions too), ``score`` (how freely the text may be used by
     its least free statement, 0 to 1; 0 without a statement) and ``places`` of
-    all phrases. An expression that cannot be read adds nothing.
+    all phrases. An expression that cannot be read adds nothing. ``base`` maps
+    phrases, in such words with one space between them, to labels; phrases of
+    ``BASE`` that it leaves out give labels as notices do.
 
     A null or empty text has no words and empty labels; ids may be null or
     repeat; an empty table gives an empty table; other columns are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = automaton()
+        phrases = automaton(base)
         for batch in batches:
             out = [scan_text(t, phrases) for t in binary(batch.column("text"))]
             joined = [(",".join(sorted(r[2])), ",".join(sorted(r[3]))) for r in out]

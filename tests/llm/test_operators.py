@@ -26,6 +26,7 @@ from tabloom.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    queries,
     simhash,
     substring_dedup,
     token_files,
@@ -191,6 +192,26 @@ def test_license_scan_against_its_definition(spark):
     same(got(license_scan.scan(frame(spark, docs)), *names), expected)
 
 
+def test_license_query_keeps_to_its_contract(spark, tmp_path):
+    """The base phrase is longer than the operator's own; that one stays a label."""
+    docs = [
+        (1, "Free Under the MIT License."),
+        (2, "the MIT license"),
+        (3, "under, the MIT license; under the mit license CC-BY-NC"),
+        (4, "Apache License, Version 2.0 under the mit licensed"),
+        (5, None),
+    ]
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op5_license_scan(spark, str(tmp_path)).drop("score")
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 5, 1, 1, 1, "mit", "mit"),
+        (2, 3, 0, None, None, "", "mit"),
+        (3, 11, 3, 0, 8, "cc-by-nc,mit", "cc-by-nc,mit"),
+        (4, 9, 1, 0, 0, "apache-2", "apache-2"),
+        (5, 0, 0, None, None, "", ""),
+    ]
+
+
 def test_simhash(spark):
     done = simhash.near_duplicates(frame(spark))
     same(got(done, "doc_id", "fingerprint", "component_id"), brute.simhash(DOCS))
