@@ -46,6 +46,44 @@ def test_train_and_score(spark, tmp_path):
     assert ml.accuracy(scored, "label").first().accuracy > 0.9
 
 
+def test_forest_parts_are_bounded():
+    for rows in (0, 1, 1_000, 400_000, 4_000_000, 30_000_000):
+        parts = ml.forest_parts(rows, 300)
+        assert sum(parts) == 300 and min(parts) >= 5
+        kept = rows * (200 + 12 * max(parts)) * ml.fits_at_once(rows, 300)
+        assert kept <= max(ml.FIT_BYTES, rows * (200 + 12 * 5))
+    assert ml.forest_parts(100_000, 300) == [300]
+    assert len(ml.forest_parts(4_000_000, 300)) == 15
+
+
+def test_a_forest_in_parts_votes_as_one(spark, monkeypatch):
+    prepared = ml.assemble(
+        spark.range(300).selectExpr(
+            "double(id % 17) AS a", "double(id % 23) AS b", "int((id % 17 + id % 23) > 18) AS label"
+        ),
+        ["a", "b"],
+    )
+    forest = ml.random_forest(11, 4, 8)
+    assert forest.fit(prepared).getNumTrees == 11  # one part: Spark's own model
+    monkeypatch.setattr(ml, "FIT_BYTES", 1)
+    model = forest.fit(prepared)
+    assert [p.getNumTrees for p in model.parts] == [4, 4, 3]
+    scored = model.transform(prepared)
+    got = scored.select(vector_to_array("probability")[1].alias("p"), "prediction").collect()
+    by_part = [
+        [r.p for r in p.transform(prepared).select(vector_to_array("probability")[1].alias("p")).collect()]
+        for p in model.parts
+    ]
+    share = np.average(by_part, axis=0, weights=[4, 4, 3])
+    assert np.allclose([r.p for r in got], share)
+    assert [r.prediction for r in got] == [float(p > 0.5) for p in share]
+    # The node tables of the parts are one forest too.
+    nodes = forest_search.NodeTable.of(model, spark)
+    x = np.array(prepared.select(vector_to_array("features").alias("x")).toPandas().x.tolist())
+    assert np.allclose(forest_search.scores(x, nodes, [11], [4])[:, 0, 0], share)
+    assert {"rawPrediction", "probability", "prediction"} == set(scored.columns) - set(prepared.columns)
+
+
 def test_index_label_ties_break_by_name(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "x string")
     got = {r.x: r.x_index for r in ml.index_label(df, "x").collect()}
