@@ -24,10 +24,13 @@ def sentinel_to_null(df: DataFrame, sentinel: str = MISSING) -> DataFrame:
     )
 
 
-def clean_bridge(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
+def clean_bridge(
+    df: DataFrame, renames: Mapping[str, str], distinct: bool = True
+) -> DataFrame:
     """A two-column relation: sentinels out, incomplete rows out, distinct."""
     named = df.select(*[F.col(old).alias(new) for old, new in renames.items()])
-    return sentinel_to_null(named).dropna("any").distinct()
+    whole = sentinel_to_null(named).dropna("any")
+    return whole.distinct() if distinct else whole
 
 
 def medians(

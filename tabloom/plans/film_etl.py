@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tabloom import schemas
 from tabloom.functions.values import file_route
 from tabloom.operators.cleaning import clean_bridge, clean_movies, tag_subsets
-from tabloom.operators.constraints import fk_accepted, fk_orphans
+from tabloom.operators.skew import lookup_join
 from tabloom.session import materialize, read_if_exists
 from tabloom.sources import files, ledger, store
 
@@ -140,24 +140,29 @@ def run(
         before = waiting(spark, root, name)
         if name in paths:
             raw = files.read_json(spark, paths[name], ["movie", raw_person], json_layout)
-            new = clean_bridge(raw, {raw_person: person, "movie": "movie_id"})
+            renames = {raw_person: person, "movie": "movie_id"}
+            new = clean_bridge(raw, renames, distinct=False)
             pairs = new.unionByName(before).distinct()
         elif parts and not before.isEmpty():
             pairs = before
         else:
             continue
-        movies = table(spark, root, "movies")
+        # One join tells the accepted pairs from those that wait, and both are
+        # read from what it stores.
+        movies = table(spark, root, "movies").select("movie_id", F.lit(True).alias("known"))
+        told = materialize(lookup_join(pairs, movies, ["movie_id"]), "pairs")
         store.insert_new(
             spark,
             f"{root}/{name}",
             schema,
-            fk_accepted(pairs, movies, "movie_id"),
+            told.where("known").drop("known"),
             [person, "movie_id"],
             [person],
             rows_per_bucket=rows_per_bucket,
+            unique=True,
         )
         store.write_version(
-            spark, f"{root}/waiting_{name}", fk_orphans(pairs, movies, "movie_id")
+            spark, f"{root}/waiting_{name}", told.where("known IS NULL").drop("known")
         )
         result.orphans[name] = waiting(spark, root, name)
     if paths:

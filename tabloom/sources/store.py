@@ -227,33 +227,41 @@ class _Table:
     # Key filters: per commit and bucket a Bloom filter, cut into bitmaps, so
     # that a key's probes all fall into one row.
 
-    def _probes(self, keys: DataFrame, blocks: DataFrame) -> DataFrame:
+    def _blocks_of(self, keys: DataFrame, blocks: DataFrame) -> DataFrame:
         """``blocks`` has the number of bitmaps by bucket (and commit)."""
+        return keys.join(F.broadcast(blocks), BUCKET).withColumn(
+            "block", F.pmod(F.xxhash64(F.lit(0), _HASH), "blocks")
+        )
+
+    def _probes(self) -> Column:
         second, third = (
             F.pmod(F.xxhash64(F.lit(i), _HASH), F.lit(_BLOCK_BITS)) for i in (1, 2)
         )
-        return (
-            keys.join(F.broadcast(blocks), BUCKET)
-            .withColumn("block", F.pmod(F.xxhash64(F.lit(0), _HASH), "blocks"))
-            .withColumn(
-                "probes",
-                F.array(
-                    *[
-                        F.pmod(second + i * third.bitwiseOR(F.lit(1)), F.lit(_BLOCK_BITS))
-                        for i in range(_PROBES)
-                    ]
-                ),
-            )
+        return F.array(
+            *[
+                F.pmod(second + i * third.bitwiseOR(F.lit(1)), F.lit(_BLOCK_BITS))
+                for i in range(_PROBES)
+            ]
         )
 
     def _write_filter(self, rows: DataFrame, commit: str, counts: dict[str, int]) -> None:
         sizes = [(name, _blocks(n)) for name, n in counts.items()]
         blocks = self.spark.createDataFrame(sizes, f"{BUCKET} string, blocks long")
+        keys = self.hashed(rows.select(*self.key, BUCKET)).select(BUCKET, _HASH)
+        place = [BUCKET, "block"]
+        # Hashes are brought together first: partial bitmaps of every task would be
+        # as many as tasks times blocks. Each probe has a bitmap of its own, so that
+        # a hash is sorted once and not once a probe.
+        bitmaps = [F.bitmap_construct_agg(self._probes()[i]) for i in range(_PROBES)]
         (
-            self._probes(self.hashed(rows.select(*self.key, BUCKET)), blocks)
-            .select(BUCKET, "block", F.explode("probes").alias("probe"))
-            .groupBy(BUCKET, "block")
-            .agg(F.bitmap_construct_agg("probe").alias("bitmap"))
+            self._blocks_of(keys, blocks)
+            .select(*place, _HASH)
+            .repartition(*place)
+            .groupBy(*place)
+            .agg(F.array(*bitmaps).alias("bitmaps"))
+            .select(*place, F.explode("bitmaps").alias("bitmap"))
+            .groupBy(*place)
+            .agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
             .write.partitionBy(BUCKET)
             .parquet(f"{self.files.root}/keys/{commit}")
         )
@@ -285,7 +293,9 @@ class _Table:
                 F.substring_index(F.element_at(at, -2), "=", -1).alias(BUCKET),
             )
         )
-        asked = self._probes(batch.select(*self.key, _HASH, BUCKET), blocks)
+        asked = self._blocks_of(batch.select(*self.key, _HASH, BUCKET), blocks).withColumn(
+            "probes", self._probes()
+        )
         held = asked.join(filters, ["commit", BUCKET, "block"]).where(
             F.forall("probes", lambda p: _bit("bitmap", p))
         )
@@ -359,25 +369,32 @@ def insert_new(
     order_by: Sequence[str],
     *,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    unique: bool = False,
 ) -> None:
     """Add the staged rows whose key is new, the first of a key by ``order_by``.
 
     Stored rows are read only where the key filters say that a staged key may be
     among them, and rewritten only where a bucket is split or has been added to
-    many times.
+    many times. ``unique``: ``staged`` is a stored frame with one row a key, which
+    needs no copy of its own.
     """
     key = list(key)
     table = _Table(_Files(spark, path), schema, key, rows_per_bucket)
     before = table.files.latest()
-    one = materialize(keep_one(table.hashed(staged), key, order_by), "batch")
+    one = table.hashed(staged)
+    if not unique:
+        one = materialize(keep_one(one, key, order_by), "batch")
     now = before or table.start(one.count())
     batch = one.withColumn(BUCKET, now.name_of())
     named = {b.name: b for b in now.buckets}
     touched = [named[r[0]] for r in batch.select(BUCKET).distinct().collect()]
     if not touched:
         return
-    known = known_keys(table, batch, touched)
-    fresh = materialize(batch.join(known, key, "left_anti"), "fresh")
+    if any(b.commits for b in touched):
+        known = known_keys(table, batch, touched)
+        fresh = materialize(batch.join(known, key, "left_anti"), "fresh")
+    else:
+        fresh = batch  # nothing is stored where these rows go
     counted = Counter({r[0]: r[1] for r in fresh.groupBy(BUCKET).count().collect()})
     if not counted:
         return

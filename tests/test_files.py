@@ -8,6 +8,7 @@ from tabloom import schemas
 from tabloom.functions.values import PANDAS_NULLS
 from tabloom.operators import ordered
 from tabloom.plans import film_etl
+from tabloom.session import materialize
 from tabloom.sources import files, store
 
 HEADER = ",tconst,primaryTitle,originalTitle,startYear,endYear,runtimeMinutes,numVotes,label"
@@ -286,6 +287,44 @@ def test_buckets_split_as_the_table_grows(spark, tmp_path):
     assert now == got | {k: "n" for k in range(390, 420)}
 
 
+def test_a_first_load_stores_its_pairs_once(spark, tmp_path, monkeypatch):
+    """One join tells accepted pairs from waiting ones; an empty store needs no copies."""
+    title = "0,tt1,A,\\N,2000,\\N,90,5,True"
+    write(tmp_path / "in/train-1.csv", f"{HEADER}\n{title}\n")
+    pairs = [("tt1", "nm1"), ("tt1", "nm1"), ("tt9", "nm2"), ("tt9", "nm2"), ("tt1", "\\N")]
+    lines = [json.dumps({"movie": m, "director": d}) for m, d in pairs]
+    write(tmp_path / "in/directing.json", "\n".join(lines))
+    kept = []
+
+    def recorded(df, label):
+        kept.append(label)
+        return materialize(df, label)
+
+    monkeypatch.setattr(store, "materialize", recorded)
+    monkeypatch.setattr(film_etl, "materialize", recorded)
+    root = str(tmp_path / "store")
+    film_etl.run(spark, str(tmp_path / "in"), root, json_layout="lines")
+    assert kept == ["listing", "staged", "batch", "pairs"]
+    stored = film_etl.table(spark, root, "directing").select("director_id", "movie_id")
+    assert rows(stored) == [("nm1", "tt1")]
+    assert rows(film_etl.waiting(spark, root, "directing")) == [("nm2", "tt9")]
+
+
+def test_key_filters_hold_every_key_in_one_row_a_block(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "k bigint, v string").schema
+    stored = spark.range(0, 6000, 1, 8).selectExpr("id AS k", "'a' AS v")
+    store.insert_new(spark, path, schema, stored, ["k"], ["v"])
+    found = spark.read.parquet(f"{path}/keys/*")
+    assert found.count() == found.select("block").distinct().count() == store._blocks(6000)
+    table = store._Table(store._Files(spark, path), schema, ["k"], store.ROWS_PER_BUCKET)
+    manifest = table.files.latest()
+    asked = table.hashed(spark.range(12_000).selectExpr("id AS k"))
+    held = table.may_hold(asked.withColumn(store.BUCKET, manifest.name_of()), manifest.buckets)
+    keys = {k for (k,) in rows(held, "k")}
+    assert keys.issuperset(range(6000)) and len(keys) < 6100
+
+
 def test_an_insert_reads_only_buckets_that_may_hold_its_keys(spark, tmp_path):
     path = str(tmp_path / "table")
     schema = spark.createDataFrame([], "k bigint, v string").schema
