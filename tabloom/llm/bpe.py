@@ -8,15 +8,22 @@ cuts be encoded one by one; the ids of the pieces, one after the other, are the
 ids of the text. Pieces repeat, so a batch is cut and its pieces are numbered
 in Arrow, each distinct piece is encoded once, and its ids are put wherever it
 stands with numpy.
+
+Most distinct pieces are a word and some marks that other words have as well. Of
+a tokenizer with GPT-2's pattern, pieces of Latin letters, digits and ASCII marks
+are cut into the pattern's matches, and the library's BPE model is asked for each
+distinct match, without its pre-tokenizer. Other pieces go through the library whole.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +32,7 @@ from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
 _CACHED_BYTES = 64 << 20  # of pieces that a worker keeps
 _OVERHEAD = 150  # bytes of a kept piece beside its own and its ids
-_LONGEST = 64  # characters of a piece that is kept for later steps
+_LONGEST = 64  # characters (bytes of a plain one) of a piece kept for later steps
 _STEP_BYTES = 4 << 20  # of text that is cut at once
 _JOINED = 1 << 16  # characters of new pieces that are encoded as one text
 _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its next tasks
@@ -33,6 +40,13 @@ _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its nex
 _WHITE = "\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
 _UNCUT_SPACE = f" [{_WHITE}]"
 _CUT = re.compile(r"(?= \S)")
+# Characters of which all engines say the same: letters, digits, marks.
+_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "!-/:-@\\[-`{-~"
+_PLAIN = f"^[{_LETTERS}0-9{_MARKS}]+(\n[{_LETTERS}0-9{_MARKS}]+)*\n?$"
+# GPT-2's pattern over pieces of them, one after the other.
+_MATCH = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n"
+)
 
 
 def pieces(text: str) -> list[str]:
@@ -62,13 +76,27 @@ class PieceEncoder:
         vocabulary = tokenizer.get_vocab()
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self._spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        self._by_match = _has_gpt2_pattern(tokenizer)
+        self._model = tokenizer.model
+        # A line end stays, to part the matches.
+        self._shown = dict(enumerate(byte_characters())) | {10: "\n"}
         self._forget()
 
     def _forget(self) -> None:
         self._numbers: dict[str, int] = {}  # of kept pieces
         self._ids = np.empty(0, np.uint32)  # of all pieces learnt, in a row
         self._sizes = np.empty(0, np.int64)
+        self._matches: dict[str, int] = {}  # numbers of matches of the pattern
+        self._match_ids = np.empty(0, np.uint32)
+        self._match_sizes = np.empty(0, np.int64)
+        self._match_spaced = np.empty(0, bool)  # whether they begin with a space
         self._held = 0
+        if self._by_match:
+            ids = self.tokenizer.encode("\n", add_special_tokens=False).ids
+            self._matches["\n"] = 0
+            self._match_ids = np.array(ids, np.uint32)
+            self._match_sizes = np.array([len(ids)])
+            self._match_spaced = np.array([False])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian bytes."""
@@ -105,9 +133,23 @@ class PieceEncoder:
         first = bounds[:-1]  # these have no space in front
         heads, at = np.unique(codes[first], return_inverse=True)
         codes[first] = len(names) + at
-        keys = pc.binary_join_element_wise(pa.scalar(" "), names, "").to_pylist()
+        plain = np.zeros(len(names), bool)
+        if self._by_match:
+            found = pc.match_substring_regex(names, _PLAIN)
+            plain = found.to_numpy(zero_copy_only=False)
+            plain = plain & (pc.binary_length(names).to_numpy() <= _LONGEST)
+        others = names.filter(pa.array(~plain))
+        keys = pc.binary_join_element_wise(pa.scalar(" "), others, "").to_pylist()
         keys += names.take(pa.array(heads)).to_pylist()
-        del cut, counted
+        # The plain pieces come first, then the keys in their order.
+        order = np.empty(len(names) + len(heads), np.int64)
+        order[: len(names)] = np.where(
+            plain, np.cumsum(plain) - 1, plain.sum() + np.cumsum(~plain) - 1
+        )
+        order[len(names) :] = np.arange(len(names), len(order))
+        codes = order[codes]
+        matched = names.filter(pa.array(plain))
+        del cut, counted, names, others
         odd = pc.match_substring_regex(texts, _UNCUT_SPACE).to_numpy(zero_copy_only=False)
         whole = np.zeros(len(texts), bool)
         if self._added:
@@ -115,9 +157,14 @@ class PieceEncoder:
             whole = found.to_numpy(zero_copy_only=False)
         ends = bounds[1:]
         if (odd | whole).any():
-            codes, ends = self._recut(texts, codes, bounds, odd & ~whole, whole, keys)
-        numbers = self._numbered(keys)
-        ids, sizes = self._ids, self._sizes
+            codes, ends = self._recut(
+                texts, codes, bounds, odd & ~whole, whole, keys, len(matched)
+            )
+        if self._held > self.cached:
+            self._forget()
+        ids, sizes = self._matched(matched)
+        numbers = np.concatenate([np.arange(len(matched)), len(matched) + self._numbered(keys)])
+        ids, sizes = np.concatenate([ids, self._ids]), np.concatenate([sizes, self._sizes])
         if whole.any():  # the ids of such a text are one piece more
             more = [
                 np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4")
@@ -135,28 +182,64 @@ class PieceEncoder:
         place += np.arange(total[-1], dtype=kind)
         return ids[place], total[ends]
 
-    def _recut(self, texts, codes, bounds, odd, whole, keys):
+    def _recut(self, texts, codes, bounds, odd, whole, keys, before):
         """Codes of the pieces where some texts are cut otherwise than at each space.
 
-        New pieces are added to ``keys``; a text that is left whole gets one code
-        behind all keys.
+        New pieces are added to ``keys``, whose codes begin at ``before``; a text
+        that is left whole gets one code behind all keys.
         """
         numbers: dict[str, int] = {}
         parts = np.split(codes, bounds[1:-1])
         for i in np.flatnonzero(odd):
             cut = pieces(texts[int(i)].as_py())
             parts[i] = np.array(
-                [numbers.setdefault(x, len(keys) + len(numbers)) for x in cut], np.int64
+                [numbers.setdefault(x, before + len(keys) + len(numbers)) for x in cut],
+                np.int64,
             )
         keys += numbers
         for n, i in enumerate(np.flatnonzero(whole)):
-            parts[i] = np.array([len(keys) + n])
+            parts[i] = np.array([before + len(keys) + n])
         return np.concatenate(parts), np.cumsum([len(x) for x in parts])
 
+    def _matched(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain pieces in a row and how many each has.
+
+        ``words`` are the pieces without the space that each begins with.
+        """
+        if not len(words):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")
+        matches = _MATCH.findall(" " + joined[0].as_py())
+        found = map(self._matches.get, matches, repeat(-1))
+        numbers = np.fromiter(found, np.int64, len(matches))
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if missing:
+            base = len(self._match_sizes)
+            new = list(dict.fromkeys(matches[i] for i in missing))
+            self._matches.update(zip(new, range(base, base + len(new))))
+            numbers[missing] = [self._matches[matches[i]] for i in missing]
+            joined = "\n".join(new)
+            shown = joined.encode().decode("latin-1").translate(self._shown).split("\n")
+            tokens = list(map(self._model.tokenize, shown))
+            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            found = map(attrgetter("id"), chain.from_iterable(tokens))
+            ids = np.fromiter(found, np.uint32, sizes.sum())
+            spaced = np.fromiter((x[0] == " " for x in new), bool, len(new))
+            self._match_ids = np.concatenate([self._match_ids, ids])
+            self._match_sizes = np.concatenate([self._match_sizes, sizes])
+            self._match_spaced = np.concatenate([self._match_spaced, spaced])
+            self._held += len(joined) + _OVERHEAD * len(new) + 4 * len(ids)
+        sizes = self._match_sizes
+        starts = (np.cumsum(sizes) - sizes)[numbers]
+        sizes = sizes[numbers]
+        total = np.cumsum(sizes)
+        place = np.repeat(starts - total + sizes, sizes) + np.arange(total[-1])
+        # Only the first match of a piece begins with a space.
+        first = np.flatnonzero(self._match_spaced[numbers])
+        return self._match_ids[place], np.add.reduceat(sizes, first)
+
     def _numbered(self, keys: list[str]) -> np.ndarray:
         """The number of each distinct piece among those learnt."""
-        if self._held > self.cached:
-            self._forget()
         found = map(self._numbers.get, keys, repeat(-1))
         numbers = np.fromiter(found, np.int64, len(keys))
         missing = np.flatnonzero(numbers < 0)
@@ -204,6 +287,18 @@ class PieceEncoder:
         return order, np.concatenate(ids), np.concatenate(sizes)
 
 
+def _has_gpt2_pattern(tokenizer: Tokenizer) -> bool:
+    """Whether all that comes before the model is a split by GPT-2's pattern."""
+    if tokenizer.normalizer is not None or tokenizer.pre_tokenizer is None:
+        return False
+    state = json.loads(tokenizer.pre_tokenizer.__getstate__())
+    return (
+        state.get("type") == "ByteLevel"
+        and state.get("use_regex", True)
+        and not state.get("add_prefix_space")
+    )
+
+
 def _chunks(texts: Iterator[str]) -> Iterator[list[str]]:
     """Lists of texts of bounded length together, or one long text."""
     batch, size = [], 0

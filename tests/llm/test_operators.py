@@ -389,6 +389,19 @@ def test_pieces_make_up_the_whole_text_s_ids():
             assert np.frombuffer(ids, "<u4").tolist() == expected, text
 
 
+def test_matches_are_learnt_once_whatever_stands_beside_them():
+    encoder = bpe.PieceEncoder(Tokenizer.from_file(JSON))
+    texts = ["word Wörter word, word.\nWörter word$$$ don't 12word's\n word", "word word12,\nword. it's"]
+    plain = Tokenizer.from_file(JSON)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text).ids
+    assert sorted(encoder._matches) == sorted(
+        ["\n", "$$$", "'s", "'t", ",", ".", " 12", "12", " Wörter", "Wörter",
+         " don", " it", " word", "word"]
+    )
+    assert set(encoder._numbers) == {"word"}  # without a space in front
+
+
 def test_texts_without_spaces_are_not_kept():
     encoder = bpe.PieceEncoder(Tokenizer.from_file(JSON))
     for i in range(3):
