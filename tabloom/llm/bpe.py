@@ -34,6 +34,7 @@ _CACHED_BYTES = 64 << 20  # of pieces that a worker keeps
 _OVERHEAD = 150  # bytes of a kept piece beside its own and its ids
 _LONGEST = 64  # characters (bytes of a plain one) of a piece kept for later steps
 _STEP_BYTES = 4 << 20  # of text that is cut at once
+_MATCHES = 1 << 13  # new matches whose tokens are held as objects at once
 _JOINED = 1 << 16  # characters of new pieces that are encoded as one text
 _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its next tasks
 # White space by its code points: the engines' classes differ.
@@ -218,17 +219,15 @@ class PieceEncoder:
             new = list(dict.fromkeys(matches[i] for i in missing))
             self._matches.update(zip(new, range(base, base + len(new))))
             numbers[missing] = [self._matches[matches[i]] for i in missing]
-            joined = "\n".join(new)
-            shown = joined.encode().decode("latin-1").translate(self._shown).split("\n")
-            tokens = list(map(self._model.tokenize, shown))
-            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            found = map(attrgetter("id"), chain.from_iterable(tokens))
-            ids = np.fromiter(found, np.uint32, sizes.sum())
+            learnt = [
+                self._learn_matches(new[i : i + _MATCHES]) for i in range(0, len(new), _MATCHES)
+            ]
+            ids, sizes = (np.concatenate(x) for x in zip(*learnt))
             spaced = np.fromiter((x[0] == " " for x in new), bool, len(new))
             self._match_ids = np.concatenate([self._match_ids, ids])
             self._match_sizes = np.concatenate([self._match_sizes, sizes])
             self._match_spaced = np.concatenate([self._match_spaced, spaced])
-            self._held += len(joined) + _OVERHEAD * len(new) + 4 * len(ids)
+            self._held += sum(map(len, new)) + _OVERHEAD * len(new) + 4 * len(ids)
         sizes = self._match_sizes
         starts = (np.cumsum(sizes) - sizes)[numbers]
         sizes = sizes[numbers]
@@ -238,6 +237,14 @@ class PieceEncoder:
         first = np.flatnonzero(self._match_spaced[numbers])
         return self._match_ids[place], np.add.reduceat(sizes, first)
 
+    def _learn_matches(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of matches in a row and how many each has, by the library's model."""
+        shown = "\n".join(new).encode().decode("latin-1").translate(self._shown)
+        tokens = list(map(self._model.tokenize, shown.split("\n")))
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        found = map(attrgetter("id"), chain.from_iterable(tokens))
+        return np.fromiter(found, np.uint32, sizes.sum()), sizes
+
     def _numbered(self, keys: list[str]) -> np.ndarray:
         """The number of each distinct piece among those learnt."""
         found = map(self._numbers.get, keys, repeat(-1))
