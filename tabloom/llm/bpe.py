@@ -22,7 +22,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import repeat
 from operator import attrgetter
 
 import numpy as np
@@ -34,7 +34,8 @@ _CACHED_BYTES = 64 << 20  # of pieces that a worker keeps
 _OVERHEAD = 150  # bytes of a kept piece beside its own and its ids
 _LONGEST = 64  # characters (bytes of a plain one) of a piece kept for later steps
 _STEP_BYTES = 4 << 20  # of text that is cut at once
-_MATCHES = 1 << 13  # new matches whose tokens are held as objects at once
+_MATCHES = 1 << 13  # new matches whose ids are held as objects at once
+_TOKEN_ID = attrgetter("id")
 _JOINED = 1 << 16  # characters of new pieces that are encoded as one text
 _ENCODERS: dict[tuple, PieceEncoder] = {}  # kept by a Python worker for its next tasks
 # White space by its code points: the engines' classes differ.
@@ -240,10 +241,13 @@ class PieceEncoder:
     def _learn_matches(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of matches in a row and how many each has, by the library's model."""
         shown = "\n".join(new).encode().decode("latin-1").translate(self._shown)
-        tokens = list(map(self._model.tokenize, shown.split("\n")))
-        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        found = map(attrgetter("id"), chain.from_iterable(tokens))
-        return np.fromiter(found, np.uint32, sizes.sum()), sizes
+        ids: list[int] = []
+        sizes: list[int] = []
+        for tokens in map(self._model.tokenize, shown.split("\n")):
+            # Token objects are dropped match by match: many of them are slow to make.
+            sizes.append(len(tokens))
+            ids.extend(map(_TOKEN_ID, tokens))
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
 
     def _numbered(self, keys: list[str]) -> np.ndarray:
         """The number of each distinct piece among those learnt."""

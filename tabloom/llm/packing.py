@@ -17,6 +17,7 @@ from tabloom.llm.common import id_key, id_value, materialize
 SHARD = 1024  # documents per inverted index
 _SHARDS_PER_TASK = 16
 _K1, _B = 1.2, 0.75
+_REINDEX = 0.9  # share of an index's documents left when the others are dropped
 
 _PIECE = (
     "key long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -226,7 +227,7 @@ class InvertedIndex:
 
     def __init__(self, documents: list[np.ndarray], statistics: Statistics):
         parts = [np.unique(x, return_counts=True) for x in documents]
-        self.terms = [t[statistics.idf[t] > 0] for t, _ in parts]
+        terms = [t[statistics.idf[t] > 0] for t, _ in parts]
         sizes = [len(t) for t, _ in parts]
         owner = np.repeat(np.arange(len(documents)), sizes)
         term = np.concatenate([t for t, _ in parts]).astype(np.int64)
@@ -238,18 +239,26 @@ class InvertedIndex:
         order = np.argsort(term[used], kind="stable")
         self.owner, self.weight = owner[used][order], weight[used][order]
         ordered = term[used][order]
-        self.present, begins = np.unique(ordered, return_index=True)
+        present, begins = np.unique(ordered, return_index=True)
         self.begins = np.append(begins, len(ordered))
         self.size = len(documents)
+        ends = np.cumsum([len(t) for t in terms])
+        self.places = np.split(np.searchsorted(present, np.concatenate(terms)), ends[:-1])
+
+    def keep(self, documents: np.ndarray) -> None:
+        """Drop the postings of the documents that are false in ``documents``."""
+        some = documents[self.owner]
+        self.owner, self.weight = self.owner[some], self.weight[some]
+        self.begins = np.concatenate([[0], np.cumsum(some)])[self.begins]
 
     def scores(self, document: int) -> np.ndarray:
-        """BM25 of every document of the shard for the terms of one of them."""
-        at = np.searchsorted(self.present, self.terms[document])
+        """BM25 of every other kept document for the terms of one of them."""
+        at = self.places[document]
+        begins, ends = self.begins[at], self.begins[at + 1]
+        shared = ends - begins > 1  # the others are in this document only
         slices = [
             slice(a, b)
-            for a, b in zip(
-                self.begins[at].tolist(), self.begins[at + 1].tolist(), strict=True
-            )
+            for a, b in zip(begins[shared].tolist(), ends[shared].tolist(), strict=True)
         ]
         if not slices:
             return np.zeros(self.size)
@@ -280,8 +289,13 @@ def _pack_shard(shard: list[dict], statistics: Statistics, window: int, sequence
     taken = np.zeros(len(shard), np.int64)  # tokens already placed
     left = np.array([len(x) for x in documents])
     rows: list[tuple] = []
+    indexed = len(shard)
     for seed in range(len(shard)):
         while left[seed]:
+            unused = left > 0
+            if (count := int(unused.sum())) <= _REINDEX * indexed:
+                index.keep(unused)
+                indexed = count
             room = window
             for i in _candidates(index, seed, left):
                 size = int(min(room, left[i]))

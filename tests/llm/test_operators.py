@@ -570,6 +570,22 @@ def test_packing_scores_neighbours_by_bm25():
         assert ranked == sorted(ranked, reverse=True)
 
 
+def test_packing_scores_stay_when_used_documents_leave_the_index():
+    random = np.random.default_rng(3)
+    docs = [random.integers(0, 40, random.integers(1, 30)).astype("<u4") for _ in range(60)]
+    holders = np.array([sum(t in d for d in docs) for t in range(40)], float)
+    index = packing.InvertedIndex(docs, packing.Statistics(holders, 60, 15.0))
+    before = {i: index.scores(i) for i in range(1, 60, 2)}
+    size = len(index.owner)
+    used = np.arange(60) % 2 == 1
+    for some in (used, used & (np.arange(60) > 30)):
+        index.keep(some)
+        for i in np.flatnonzero(some).tolist():
+            others = some & (np.arange(60) != i)
+            assert np.array_equal(index.scores(i)[others], before[i][others])
+    assert len(index.owner) < size / 2
+
+
 def test_packing_fills_a_window_with_the_nearest(spark, encode):
     # Pairs of short texts about one thing each, far apart by id.
     docs = [(i + 100 * k, f"{w} " * 30 + f"note {k}") for i, w in enumerate(
