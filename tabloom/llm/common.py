@@ -159,6 +159,25 @@ def sorted_groups(
         yield rest
 
 
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str]
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole runs of equal keys, with each run's begin, in sorted batches."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        starts = _run_starts(table, keys)
+        if len(starts) > 1:
+            yield table.slice(0, starts[-1]), starts[:-1]
+        rest = table.slice(starts[-1])
+    if rest is not None:
+        yield rest, np.zeros(1, np.int64)
+
+
 def _run_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     change = np.zeros(table.num_rows, bool)
     change[0] = True

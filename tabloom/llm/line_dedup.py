@@ -19,6 +19,7 @@ from tabloom.llm.common import (
     in_chunk_pairs,
     mix,
     sorted_groups,
+    whole_groups,
 )
 from tabloom.llm.components import connected_components
 from tabloom.operators.skew import lookup_join
@@ -33,6 +34,10 @@ _FACTORS = np.random.default_rng(5).integers(
     0, 1 << 32, BANDS * ROWS, np.uint32
 ) | np.uint32(1)
 _PIECE = 1 << 18  # characters hashed at a time
+_KEY_BYTES = 5  # of a band's key; lines of other bands that meet are compared in vain
+_BUCKET = 1 << 19  # keys that are sorted at a time
+_BUCKETS_PER_TASK = 2
+_WORDS = {4: "<u4", 8: "<u8"}  # that hold a shingle of so many Latin-1 characters
 
 
 def normal(line: str) -> str:
@@ -45,7 +50,10 @@ def digest(line: str) -> bytes:
 
 
 def band_keys(lines: list[str], shingle: int) -> np.ndarray:
-    """A key per line and band: the hash of ``ROWS`` minima over its shingles."""
+    """A key per line and band: the hash of ``ROWS`` minima over its shingles.
+
+    Each is the lowest ``_KEY_BYTES`` of a hash; the band's number is put above them.
+    """
     out = np.empty((len(lines), BANDS), np.int64)
     begin = 0
     while begin < len(lines):
@@ -77,22 +85,40 @@ def _band_keys(lines: list[str], shingle: int) -> np.ndarray:
         key = np.full(len(lines), band + 1, np.uint64)
         for row in minima[band * ROWS : (band + 1) * ROWS]:
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
-        keys[:, band] = key
+        keys[:, band] = key & np.uint64((1 << 8 * _KEY_BYTES) - 1) | np.uint64(
+            band << 8 * _KEY_BYTES
+        )
     return keys.view(np.int64)
 
 
+def packed(keys: np.ndarray) -> list[bytes]:
+    """Each line's keys without the bands' numbers."""
+    parts = keys.astype("<i8").view(np.uint8).reshape(-1, BANDS, 8)[:, :, :_KEY_BYTES]
+    data, size = parts.tobytes(), BANDS * _KEY_BYTES
+    return [data[i : i + size] for i in range(0, len(data), size)]
+
+
+def unpacked(bands: list[bytes]) -> np.ndarray:
+    """The inverse of ``packed``."""
+    parts = np.zeros((len(bands), BANDS, 8), np.uint8)
+    data = np.frombuffer(b"".join(bands), np.uint8)
+    parts[:, :, :_KEY_BYTES] = data.reshape(-1, BANDS, _KEY_BYTES)
+    keys = parts.reshape(len(bands), -1).view("<i8").astype(np.int64, copy=False)
+    return keys | np.arange(BANDS, dtype=np.int64) << 8 * _KEY_BYTES
+
+
 def _line_rows(rows: DataFrame, shingle: int, bands: bool) -> DataFrame:
     """A row per line that is not blank: place, digest and, if asked, band keys.
 
     ``row`` is the text's hash: together with the id it names a row, also
     where ids are null or repeat. With ``bands`` a line that stands in several
     texts of a slice is one row with the first place and its ``copies``. A line
-    shorter than a shingle has no band keys: as its own only shingle it is near
-    no other line, and its digest finds its copies.
+    shorter than a shingle has null for its band keys: as its own only shingle it
+    is near no other line, and its digest finds its copies.
     """
     schema = "key long, row long, line long, digest binary"
     if bands:
-        schema += ", copies long, bands array<long>"
+        schema += ", copies long, bands binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,14 +146,12 @@ def _line_rows(rows: DataFrame, shingle: int, bands: bool) -> DataFrame:
                     digests = list(first)
                     places = [places[i] for i in first.values()]
                     lines = [lines[i] for i in first.values()]
-                    whole = np.array([len(x) >= shingle for x in lines], bool)
-                    found = band_keys([x for x in lines if len(x) >= shingle], shingle)
-                    offsets = np.append(0, np.cumsum(whole) * BANDS)
+                    whole = [x for x in lines if len(x) >= shingle]
+                    found = iter(packed(band_keys(whole, shingle)))
+                    bands_of = [next(found) if len(x) >= shingle else None for x in lines]
                     more = [
                         pa.array([copies[x] for x in digests], pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(offsets, pa.int32()), pa.array(found.ravel())
-                        ),
+                        pa.array(bands_of, pa.binary()),
                     ]
                 columns = [
                     *(pa.array([p[i] for p in places], pa.int64()) for i in range(3)),
@@ -204,6 +228,7 @@ def similar_links(
     groups, links = Groups(len(lines)), []
     everything = np.arange(len(lines))
     sets: dict[int, set[str]] = {}
+    numbers: dict[int, np.ndarray | None] = {}
 
     def shingles(i: int) -> set[str]:
         if i not in sets:
@@ -211,10 +236,17 @@ def similar_links(
             sets[i] = {x[k : k + shingle] for k in range(len(x) - shingle + 1)}
         return sets[i]
 
+    def numbered(i: int) -> np.ndarray | None:
+        if i not in numbers:
+            numbers[i] = _shingle_numbers(lines[i], shingle)
+        return numbers[i]
+
     def link(i: int, j: int) -> None:
-        a, b = shingles(i), shingles(j)
+        a, b = numbered(i), numbered(j)
+        if a is None or b is None:
+            a, b = shingles(i), shingles(j)
         if min(len(a), len(b)) >= threshold * max(len(a), len(b)):
-            shared = len(a & b)
+            shared = len(a & b) if isinstance(a, set) else _in_both(a, b)
             if shared >= threshold * (len(a) + len(b) - shared) and groups.link(i, j):
                 links.append((i, j))
 
@@ -267,6 +299,29 @@ def similar_links(
     return links
 
 
+def _shingle_numbers(line: str, shingle: int) -> np.ndarray | None:
+    """The distinct shingles of Latin-1 text as numbers, sorted; else None."""
+    if shingle not in _WORDS:
+        return None
+    try:
+        data = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    # A word at every character.
+    words = np.ndarray(len(data) - shingle + 1, _WORDS[shingle], data, strides=(1,))
+    words = np.sort(words)
+    new = np.ones(len(words), bool)
+    np.not_equal(words[1:], words[:-1], out=new[1:])
+    return words[new]
+
+
+def _in_both(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two arrays of distinct values share."""
+    both = np.concatenate([a, b])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def _codes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """A number for every shingle of every line, and its line."""
     lengths = np.array([len(x) for x in lines])
@@ -292,7 +347,7 @@ def _shared(owners: np.ndarray, codes: np.ndarray, size: int) -> tuple[np.ndarra
     out = np.zeros((size, size), np.float32)  # counts below 2 ** 24 are exact
     for begin in range(0, int(place[-1]) + 1 if len(place) else 0, _COLUMNS):
         inside = (columns >= begin) & (columns < begin + _COLUMNS)
-        cells = np.zeros((size, _COLUMNS), np.float32)
+        cells = np.zeros((size, min(_COLUMNS, int(place[-1]) + 1 - begin)), np.float32)
         cells[owners[inside], columns[inside] - begin] = 1
         out += cells @ cells.T
         sizes += cells.sum(axis=1)
@@ -304,27 +359,102 @@ def _links(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float):
 
     Two lines that share several bands are compared in the first of them only.
     """
-    for group in sorted_groups(batches, ["band", "lo", "hi"], least=2):
-        two = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
-        parts = group.column("part").to_numpy()
-        size = group.num_rows
-        bands = group.column("bands").combine_chunks().flatten().to_numpy()
-        bands = bands.reshape(size, BANDS)
-        earlier = bands[:, : group.column("at")[0].as_py()]
-
-        def may_meet(i: int, others: np.ndarray) -> np.ndarray:
-            new = ~(earlier[others] == earlier[i]).any(axis=1)
-            return new & (parts[others] != parts[i]) if two else new
-
-        lines = group.column("words").to_pylist()
-        links = similar_links(lines, shingle, threshold, may_meet)
-        names = group.column("line_id").to_numpy()
-        ends = np.array(links, np.int64).reshape(-1, 2)
+    for table, begins in whole_groups(batches, ["band", "lo", "hi"]):
+        los, his, parts, ats, names = (
+            table.column(c).to_numpy() for c in ("lo", "hi", "part", "at", "line_id")
+        )
+        bands = unpacked(table.column("bands").to_pylist())
+        lines = table.column("words").to_pylist()
+        ends = np.append(begins[1:], len(lines))
+        found: list[tuple[int, int]] = []
+        some = np.flatnonzero(ends - begins > 1)
+        for begin, end in zip(begins[some].tolist(), ends[some].tolist(), strict=True):
+            two = los[begin] != his[begin]
+            part, earlier = parts[begin:end], bands[begin:end, : ats[begin]]
+
+            def may_meet(i: int, others: np.ndarray) -> np.ndarray:
+                new = ~(earlier[others] == earlier[i]).any(axis=1)
+                return new & (part[others] != part[i]) if two else new
+
+            own = similar_links(lines[begin:end], shingle, threshold, may_meet)
+            found += [(begin + i, begin + j) for i, j in own]
+        links = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names[ends[:, 0]]), pa.array(names[ends[:, 1]])], ["a", "b"]
+            [pa.array(names[links[:, 0]]), pa.array(names[links[:, 1]])], ["a", "b"]
         )
 
 
+def _band_members(lines: DataFrame) -> DataFrame:
+    """``band``, ``at`` (its number) and ``line_id`` of lines that share a band's key.
+
+    Most keys are of one line only. So they are not exploded to rows: a slice's
+    keys go to buckets as arrays, where those that stand once are left out.
+    """
+    buckets = max(1, -(-lines.count() * BANDS // _BUCKET))
+    tasks = max(
+        -(-buckets // _BUCKETS_PER_TASK),
+        min(buckets, lines.sparkSession.sparkContext.defaultParallelism),
+    )
+    names = ["bucket", "first", "line_ids", "lows", "highs"]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("line_id").to_numpy()
+            keys = unpacked(batch.column("bands").to_pylist())
+            for slice_of in np.unique(ids >> 32).tolist():
+                own = np.flatnonzero(ids >> 32 == slice_of)
+                flat = keys[own].ravel()
+                places = np.repeat((ids[own] & 0xFFFFFFFF).astype("<u4"), BANDS)
+                bucket = flat % buckets
+                order = np.argsort(bucket, kind="stable")
+                flat, places = flat[order], places[order]
+                found, begins = np.unique(bucket[order], return_index=True)
+                ends = np.append(begins[1:], len(flat)).tolist()
+                spans = list(zip(begins.tolist(), ends, strict=True))
+                lows, highs = flat.astype("<u4"), (flat >> 32).astype("<u2")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(found, pa.int64()),
+                        pa.array([slice_of << 32] * len(found), pa.int64()),
+                        *(
+                            pa.array([x[a:b].tobytes() for a, b in spans], pa.binary())
+                            for x in (places, lows, highs)
+                        ),
+                    ],
+                    names,
+                )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["bucket"]):
+            places, lows, highs = (
+                np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
+                for name, kind in (("line_ids", "<u4"), ("lows", "<u4"), ("highs", "<u2"))
+            )
+            sizes = [len(x) // 4 for x in group.column("line_ids").to_pylist()]
+            ids = np.repeat(group.column("first").to_numpy(), sizes) + places
+            keys = highs.astype(np.int64) << 32 | lows
+            order = np.argsort(keys)
+            keys = keys[order]
+            equal = keys[1:] == keys[:-1]
+            shared = np.append(equal, False) | np.append(False, equal)
+            found = keys[shared]
+            yield pa.RecordBatch.from_arrays(
+                [found, (found >> 8 * _KEY_BYTES).astype(np.int32), ids[order[shared]]],
+                ["band", "at", "line_id"],
+            )
+
+    return (
+        lines.where("bands is not null")
+        .select("line_id", "bands")
+        .mapInArrow(
+            spread, "bucket long, first long, line_ids binary, lows binary, highs binary"
+        )
+        .repartition(tasks, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(meet, "band long, at int, line_id long")
+    )
+
+
 def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """Stored table: ``digest`` of each repeated line and the place that stays."""
     scratch = Scratch(rows.sparkSession)
@@ -339,60 +469,58 @@ def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFram
         .withColumn("line_id", F.monotonically_increasing_id()),
         "lines",
     )
-    banded = lines.select(F.posexplode("bands").alias("at", "band"), "line_id")
+    met = scratch.store(_band_members(lines), "meeting")
     mixed = F.xxhash64("line_id")
     # Bands with the same members say the same: the first of them is kept, as a
     # pair is compared in the first band that it shares.
     meeting = (
-        banded.groupBy("band")
+        met.groupBy("band")
         .agg(
             F.count("*").alias("n"),
             F.bit_xor(mixed).alias("x"),
             F.sum(F.shiftright(mixed, 24)).alias("s"),
             F.min("at").alias("at"),
         )
-        .where("n > 1")
         .groupBy("n", "x", "s")
         .agg(F.min_by("band", "at").alias("band"))
         .select("band")
     )
-    meeting = scratch.store(meeting, "bands")
-    members = scratch.store(
-        banded.join(meeting, "band", "left_semi"), "band-members"
-    )
-    scratch.drop("bands")
+    members = scratch.store(met.join(meeting, "band", "left_semi"), "band-members")
+    scratch.drop("meeting")
     some = members.select("line_id").distinct()
     wanted = scratch.store(
-        lines.join(some, "line_id", "left_semi").select("line_id", "place.*", "bands"),
-        "wanted",
+        lines.drop("copies").join(some, "line_id", "left_semi"), "wanted"
+    )
+    repeated = scratch.store(
+        lines.where("copies > 1").select("line_id", "digest", "place"), "repeated"
     )
-    places = scratch.store(lines.drop("bands"), "line-places")
     scratch.drop("lines")
-    texts = _texts_of(rows, wanted.drop("bands")).dropDuplicates(["line_id"])
+    texts = _texts_of(rows, wanted.select("line_id", "place.*"))
     texts = scratch.store(
-        texts.join(wanted.select("line_id", "bands"), "line_id"), "line-texts"
+        texts.dropDuplicates(["line_id"]).join(wanted.select("line_id", "bands"), "line_id"),
+        "line-texts",
     )
-    scratch.drop("wanted")
-    met = members.join(texts, "line_id")
-    edges = in_chunk_pairs(met, "band", "line_id", CHUNK).mapInArrow(
+    placed = members.join(texts, "line_id")
+    edges = in_chunk_pairs(placed, "band", "line_id", CHUNK).mapInArrow(
         lambda batches: _links(batches, shingle, threshold), "a long, b long"
     )
     components = connected_components(edges)
     scratch.drop("band-members", "line-texts")
-    grouped = places.join(
-        components.withColumnRenamed("node", "line_id"), "line_id", "left"
-    ).where("copies > 1 or component is not null")
-    heads = (
-        grouped.where("component is not null")
-        .groupBy("component")
-        .agg(F.min("place").alias("head"))
+    linked = scratch.store(
+        wanted.drop("bands").join(components.withColumnRenamed("node", "line_id"), "line_id"),
+        "linked",
+    )
+    scratch.drop("wanted")
+    heads = linked.groupBy("component").agg(F.min("place").alias("head"))
+    together = lookup_join(linked, heads, ["component"], "inner").select(
+        "digest", F.col("head").alias("place")
+    )
+    # A line that is linked to no other stays in the first place of its copies.
+    alone = repeated.join(linked.select("line_id"), "line_id", "left_anti")
+    kept = scratch.store(
+        alone.select("digest", "place").unionByName(together), "kept-lines"
     )
-    alone = grouped.where("component is null").select("digest", "place")
-    together = lookup_join(
-        grouped.where("component is not null"), heads, ["component"], "inner"
-    ).select("digest", F.col("head").alias("place"))
-    kept = scratch.store(alone.unionByName(together), "kept-lines")
-    scratch.drop("line-places")
+    scratch.drop("repeated", "linked")
     return kept.select("digest", "place.*")
 
 

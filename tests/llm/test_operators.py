@@ -290,6 +290,38 @@ def test_line_dedup_with_null_and_repeated_ids(spark):
     assert lines == ["null 0", "null 0", "null 1", "null 2", "seven 0", "seven 1"]
 
 
+def test_line_dedup_keeps_the_lines_that_share_a_band(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_BUCKET", 64)  # so that there are several
+    random = np.random.default_rng(4)
+    keys = np.arange(line_dedup.BANDS) << 40 | random.integers(0, 1 << 40, (60, 16))
+    keys[10:40:3, 5], keys[50:, 15] = keys[0, 5], keys[7, 15]
+    bands = line_dedup.packed(keys)
+    assert np.array_equal(line_dedup.unpacked(bands), keys)
+    ids = [i << 33 | 7 for i in range(60)]  # as of slices
+    rows = [*zip(ids, bands), (1, None)]
+    lines = spark.createDataFrame(rows, "line_id long, bands binary").repartition(3)
+    found = {(r.band, r.at, r.line_id) for r in line_dedup._band_members(lines).collect()}
+    assert found == {
+        (int(keys[i, k]), k, ids[i])
+        for k, some in ((5, [0, *range(10, 40, 3)]), (15, [7, *range(50, 60)]))
+        for i in some
+    }
+
+
+@pytest.mark.parametrize("line", ["a plain line of ascii", "señal de ñu, ñu, ñu", "中文的一行文字在这里 ab"])
+def test_links_of_eight_character_shingles(line):
+    # As many distinct shingles shared as the threshold asks for, and one fewer.
+    lines = [line * 2, line * 2 + "!", line * 2 + "!?xyz", "q" * 50]
+    sets = [{x[i : i + 8] for i in range(len(x) - 7)} for x in lines]
+    for i in (1, 2, 3):
+        close = len(sets[0] & sets[i]) / len(sets[0] | sets[i])
+        for threshold, linked in ((close, close > 0), (close + 1e-9, False)):
+            links = line_dedup.similar_links(
+                [lines[0], lines[i]], 8, threshold, lambda i, o: np.ones(len(o), bool)
+            )
+            assert bool(links) == linked or not close
+
+
 @pytest.mark.parametrize("size", [4, 60, 300])
 def test_links_connect_what_all_similar_pairs_connect(size):
     random = np.random.default_rng(size)
