@@ -27,7 +27,8 @@ from tabloom.operators.skew import lookup_join
 BANDS, ROWS = 16, 4  # a pair at 0.8 shares no band once in 4,500 times
 SHINGLE = 8  # characters
 CHUNK = 1024
-_FEW, _SOME = 4, 256  # lines compared pair by pair, or all with all at once
+_SOME = 256  # lines compared pair by pair, then all with all at once
+_EACH = 3  # pairs for each line that are compared one by one
 _COLUMNS = 1 << 13  # shingles of one step of the latter
 _NEARLY = 0.999  # hashes may meet: a pair is dropped only well below the threshold
 _FACTORS = np.random.default_rng(5).integers(
@@ -250,12 +251,23 @@ def similar_links(
             if shared >= threshold * (len(a) + len(b) - shared) and groups.link(i, j):
                 links.append((i, j))
 
-    if len(lines) <= _FEW:
-        for i in range(1, len(lines)):
-            for j in np.flatnonzero(may_meet(i, everything[:i])).tolist():
-                if groups.find(i) != groups.find(j):
-                    link(i, j)
-        return links
+    if len(lines) <= _SOME:
+        # Lines of a group are mostly near the first ones, or met in a band before.
+        met = [np.flatnonzero(may_meet(i, everything[:i])) for i in range(1, len(lines))]
+        later = np.repeat(everything[1:], [len(x) for x in met])
+        earlier = np.concatenate([everything[:0], *met])
+        order = np.argsort(earlier, kind="stable")
+        left = _EACH * len(lines)
+        for i, j in zip(later[order].tolist(), earlier[order].tolist(), strict=True):
+            if groups.count == 1 or not left:
+                break
+            if groups.find(i) != groups.find(j):
+                left -= 1
+                link(i, j)
+        else:
+            return links
+        if groups.count == 1:
+            return links
     codes, owners = _codes(lines, shingle)
     if len(lines) <= _SOME:
         shared, sizes = _shared(owners, codes, len(lines))
@@ -396,6 +408,7 @@ def _band_members(lines: DataFrame) -> DataFrame:
         min(buckets, lines.sparkSession.sparkContext.defaultParallelism),
     )
     names = ["bucket", "first", "line_ids", "lows", "highs"]
+    kind = np.uint16 if buckets <= 1 << 16 else np.int64  # the former is sorted by radix
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,16 +418,17 @@ def _band_members(lines: DataFrame) -> DataFrame:
                 own = np.flatnonzero(ids >> 32 == slice_of)
                 flat = keys[own].ravel()
                 places = np.repeat((ids[own] & 0xFFFFFFFF).astype("<u4"), BANDS)
-                bucket = flat % buckets
+                bucket = (flat % buckets).astype(kind)
                 order = np.argsort(bucket, kind="stable")
-                flat, places = flat[order], places[order]
-                found, begins = np.unique(bucket[order], return_index=True)
+                flat, places, bucket = flat[order], places[order], bucket[order]
+                begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                found = bucket[begins]
                 ends = np.append(begins[1:], len(flat)).tolist()
                 spans = list(zip(begins.tolist(), ends, strict=True))
                 lows, highs = flat.astype("<u4"), (flat >> 32).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found, pa.int64()),
+                        pa.array(found.astype(np.int64)),
                         pa.array([slice_of << 32] * len(found), pa.int64()),
                         *(
                             pa.array([x[a:b].tobytes() for a, b in spans], pa.binary())
@@ -460,6 +474,7 @@ def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFram
     scratch = Scratch(rows.sparkSession)
     lines = scratch.store(
         _line_rows(rows, shingle, bands=True)
+        .repartition("digest")  # a slice's copies are one row already: no sum before it
         .groupBy("digest")
         .agg(
             F.min(F.struct("key", "row", "line")).alias("place"),
