@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,6 +28,7 @@ SHINGLE = 8  # characters
 CHUNK = 1024
 _SOME = 256  # lines compared pair by pair, then all with all at once
 _EACH = 3  # pairs for each line that are compared one by one
+_DIRECT = 64  # lines above which a line of a larger group is looked up by its shingles
 _COLUMNS = 1 << 13  # shingles of one step of the latter
 _NEARLY = 0.999  # hashes may meet: a pair is dropped only well below the threshold
 _FACTORS = np.random.default_rng(5).integers(
@@ -108,56 +108,55 @@ def unpacked(bands: list[bytes]) -> np.ndarray:
     return keys | np.arange(BANDS, dtype=np.int64) << 8 * _KEY_BYTES
 
 
-def _line_rows(rows: DataFrame, shingle: int, bands: bool) -> DataFrame:
-    """A row per line that is not blank: place, digest and, if asked, band keys.
+def _line_rows(rows: DataFrame, shingle: int) -> DataFrame:
+    """A row per line that is not blank: place, digest, copies and band keys.
 
     ``row`` is the text's hash: together with the id it names a row, also
-    where ids are null or repeat. With ``bands`` a line that stands in several
-    texts of a slice is one row with the first place and its ``copies``. A line
-    shorter than a shingle has null for its band keys: as its own only shingle it
-    is near no other line, and its digest finds its copies.
+    where ids are null or repeat. Of a line that stands in several places of a
+    slice the first has the number of its ``copies`` there and its band keys, the
+    others 0 and null. A line shorter than a shingle has null for its band keys: as
+    its own only shingle it is near no other line, and its digest finds its copies.
     """
-    schema = "key long, row long, line long, digest binary"
-    if bands:
-        schema += ", copies long, bands binary"
+    schema = "key long, row long, line long, digest binary, copies long, bands binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                keys, own = (part.column(c).to_pylist() for c in ("key", "row"))
-                places, lines, digests = [], [], []
-                for key, row, text in zip(
-                    keys, own, part.column("text").to_pylist(), strict=True
-                ):
-                    for i, raw in enumerate((text or "").split("\n")):
-                        if line := normal(raw):
-                            places.append((key, row, i))
+                lines, numbers, ends = [], [], []
+                for text in part.column("text").to_pylist():
+                    # No line's lower case depends on the lines around it.
+                    for i, raw in enumerate((text or "").lower().split("\n")):
+                        if line := " ".join(raw.split()):
                             lines.append(line)
-                            digests.append(digest(line))
-                more = []
-                if bands:
-                    first: dict[bytes, int] = {}
-                    copies = Counter(digests)
-                    for i, name in enumerate(digests):
-                        j = first.setdefault(name, i)
-                        if places[i] < places[j]:
-                            first[name] = i
-                    digests = list(first)
-                    places = [places[i] for i in first.values()]
-                    lines = [lines[i] for i in first.values()]
-                    whole = [x for x in lines if len(x) >= shingle]
-                    found = iter(packed(band_keys(whole, shingle)))
-                    bands_of = [next(found) if len(x) >= shingle else None for x in lines]
-                    more = [
-                        pa.array([copies[x] for x in digests], pa.int64()),
-                        pa.array(bands_of, pa.binary()),
-                    ]
+                            numbers.append(i)
+                    ends.append(len(lines))
+                keys, own = (
+                    np.repeat(part.column(c).to_numpy(), np.diff(ends, prepend=0))
+                    for c in ("key", "row")
+                )
+                digests = list(map(digest, lines))
+                first: dict[bytes, int] = {}
+                copies = np.ones(len(lines), np.int64)
+                for i, name in enumerate(digests):
+                    j = first.setdefault(name, i)
+                    if j != i:
+                        if (keys[i], own[i], numbers[i]) < (keys[j], own[j], numbers[j]):
+                            first[name], i, j = i, j, i
+                        copies[j], copies[i] = copies[i] + copies[j], 0
+                bands_of: list[bytes | None] = [None] * len(lines)
+                whole = [i for i in first.values() if len(lines[i]) >= shingle]
+                found = packed(band_keys([lines[i] for i in whole], shingle))
+                for i, own_keys in zip(whole, found, strict=True):
+                    bands_of[i] = own_keys
                 columns = [
-                    *(pa.array([p[i] for p in places], pa.int64()) for i in range(3)),
+                    pa.array(keys, pa.int64()),
+                    pa.array(own, pa.int64()),
+                    pa.array(numbers, pa.int64()),
                     pa.array(digests, pa.binary()),
-                    *more,
+                    pa.array(copies),
+                    pa.array(bands_of, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -219,12 +218,14 @@ def similar_links(
     shingle: int,
     threshold: float,
     may_meet: Callable[[int, np.ndarray], np.ndarray],
+    first: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Links that connect what all pairs with Jaccard >= ``threshold`` connect.
 
     Shingles are counted by 64-bit hashes; a pair that passes is compared as
     texts. ``may_meet`` says which of some positions a line is to be compared
-    with; a pair that is connected already is not.
+    with; a pair that is connected already is not. ``first`` may hold what it says
+    of the first line and the others.
     """
     groups, links = Groups(len(lines)), []
     everything = np.arange(len(lines))
@@ -251,66 +252,83 @@ def similar_links(
             if shared >= threshold * (len(a) + len(b) - shared) and groups.link(i, j):
                 links.append((i, j))
 
-    if len(lines) <= _SOME:
-        # Lines of a group are mostly near the first ones, or met in a band before.
-        met = [np.flatnonzero(may_meet(i, everything[:i])) for i in range(1, len(lines))]
-        later = np.repeat(everything[1:], [len(x) for x in met])
-        earlier = np.concatenate([everything[:0], *met])
-        order = np.argsort(earlier, kind="stable")
-        left = _EACH * len(lines)
-        for i, j in zip(later[order].tolist(), earlier[order].tolist(), strict=True):
+    # Lines of a group are mostly near the first ones, or met in a band before.
+    left = _EACH * len(lines)
+    for j in range(len(lines) - 1):
+        if groups.count == 1 or not left:
+            break
+        later = everything[j + 1 :]
+        for i in (later[may_meet(j, later)] if j or first is None else first).tolist():
             if groups.count == 1 or not left:
                 break
             if groups.find(i) != groups.find(j):
                 left -= 1
                 link(i, j)
-        else:
-            return links
-        if groups.count == 1:
-            return links
-    codes, owners = _codes(lines, shingle)
+    if groups.count == 1 or left:
+        return links
     if len(lines) <= _SOME:
+        codes, owners = _codes(lines, shingle)
         shared, sizes = _shared(owners, codes, len(lines))
         close = shared >= _NEARLY * threshold * (sizes[:, None] + sizes - shared)
-        for i, j in zip(*np.nonzero(np.triu(close, 1)), strict=True):
-            if groups.find(i) != groups.find(j) and may_meet(i, np.array([j]))[0]:
-                link(int(i), int(j))
+        for i in everything[:-1].tolist():
+            near = i + 1 + np.flatnonzero(close[i, i + 1 :])
+            near = [j for j in near.tolist() if groups.find(i) != groups.find(j)]
+            if near:
+                for j in np.array(near)[may_meet(i, np.array(near))].tolist():
+                    if groups.find(i) != groups.find(j):
+                        link(i, j)
         return links
-    # Each line has a shingle once from here on.
-    pairs = np.unique(owners * (int(codes.max()) + 1) + codes)
-    owners, codes = np.divmod(pairs, int(codes.max()) + 1)
-    ends = np.cumsum(np.bincount(owners, minlength=len(lines)))
-    sizes = np.diff(ends, prepend=0)
-    postings = owners[np.argsort(codes, kind="stable")]
-    begins = np.concatenate([[0], np.cumsum(np.bincount(codes))])
-
-    def similar(i: int) -> np.ndarray:
-        own = codes[ends[i] - sizes[i] : ends[i]]
-        met = np.concatenate([postings[begins[g] : begins[g + 1]] for g in own])
-        shared = np.bincount(met, minlength=len(lines))
-        close = shared >= _NEARLY * threshold * (sizes[i] + sizes - shared)
-        close[i] = False
-        found = np.flatnonzero(close)
-        return found[may_meet(i, found)]
-
+    similar = None
     # First the lines that nothing has reached yet, each with all its partners;
-    # then, while there are several groups, the others.
+    # then, while there are several groups, the others. A line that was asked
+    # has been compared with all that it may meet.
     asked = np.zeros(len(lines), bool)
     reached = np.zeros(len(lines), bool)
     for only_unreached in (True, False):
-        for i in range(len(lines)):
+        for i in everything.tolist():
             if groups.count == 1:
                 break
             if asked[i] or (only_unreached and reached[i]):
                 continue
             asked[i] = True
-            for j in similar(i).tolist():
-                reached[j] = True
+            others = np.flatnonzero(~asked)
+            others = others[may_meet(i, others)]
+            own = groups.find(i)
+            others = [j for j in others.tolist() if groups.find(j) != own]
+            if len(others) > _DIRECT:
+                similar = similar or _postings(lines, shingle, threshold)
+                close = similar(i)
+                others = [j for j in others if close[j]]
+            for j in others:
                 if groups.find(i) != groups.find(j):
                     link(i, j)
+                reached[j] |= groups.find(i) == groups.find(j)
     return links
 
 
+def _postings(
+    lines: list[str], shingle: int, threshold: float
+) -> Callable[[int], np.ndarray]:
+    """Tells which lines are near a given one, as far as hashes tell."""
+    codes, owners = _codes(lines, shingle)
+    span = int(codes.max()) + 1
+    # Each line has a shingle once from here on.
+    pairs = np.sort(owners * span + codes)
+    owners, codes = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])], span)
+    ends = np.cumsum(np.bincount(owners, minlength=len(lines)))
+    sizes = np.diff(ends, prepend=0)
+    postings = owners[np.argsort(codes, kind="stable")]
+    begins = np.concatenate([[0], np.cumsum(np.bincount(codes))])
+
+    def similar(i: int) -> np.ndarray:
+        own = codes[ends[i] - sizes[i] : ends[i]]
+        met = np.concatenate([postings[begins[g] : begins[g + 1]] for g in own])
+        shared = np.bincount(met, minlength=len(lines))
+        return shared >= _NEARLY * threshold * (sizes[i] + sizes - shared)
+
+    return similar
+
+
 def _shingle_numbers(line: str, shingle: int) -> np.ndarray | None:
     """The distinct shingles of Latin-1 text as numbers, sorted; else None."""
     if shingle not in _WORDS:
@@ -330,7 +348,7 @@ def _shingle_numbers(line: str, shingle: int) -> np.ndarray | None:
 def _in_both(a: np.ndarray, b: np.ndarray) -> int:
     """How many values two arrays of distinct values share."""
     both = np.concatenate([a, b])
-    both.sort()
+    both.sort(kind="stable")  # merges the two runs
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
@@ -380,7 +398,21 @@ def _links(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float):
         ends = np.append(begins[1:], len(lines))
         found: list[tuple[int, int]] = []
         some = np.flatnonzero(ends - begins > 1)
-        for begin, end in zip(begins[some].tolist(), ends[some].tolist(), strict=True):
+        head = np.repeat(begins, ends - begins)  # of a row's block
+        met = ((bands == bands[head]) & (np.arange(BANDS) < ats[:, None])).any(axis=1)
+        new = ~met & ((los == his) | (parts != parts[head]))
+        new[begins] = False
+        near_head = np.flatnonzero(new)
+        near_begins = np.searchsorted(near_head, [begins, ends])
+        near_head -= head[near_head]
+        near_ends = near_begins[1].tolist()
+        near_begins = near_begins[0].tolist()
+        for k, begin, end in zip(
+            some.tolist(), begins[some].tolist(), ends[some].tolist(), strict=True
+        ):
+            first = near_head[near_begins[k] : near_ends[k]]
+            if end - begin == 2 and not len(first):
+                continue
             two = los[begin] != his[begin]
             part, earlier = parts[begin:end], bands[begin:end, : ats[begin]]
 
@@ -388,7 +420,7 @@ def _links(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float):
                 new = ~(earlier[others] == earlier[i]).any(axis=1)
                 return new & (part[others] != part[i]) if two else new
 
-            own = similar_links(lines[begin:end], shingle, threshold, may_meet)
+            own = similar_links(lines[begin:end], shingle, threshold, may_meet, first)
             found += [(begin + i, begin + j) for i, j in own]
         links = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
@@ -469,11 +501,18 @@ def _band_members(lines: DataFrame) -> DataFrame:
     )
 
 
-def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Stored table: ``digest`` of each repeated line and the place that stays."""
+def line_components(
+    rows: DataFrame, shingle: int, threshold: float
+) -> tuple[DataFrame, DataFrame]:
+    """Two stored tables: ``digest`` and place of every line that is not blank, and
+    ``digest`` of each repeated line and the place that stays."""
     scratch = Scratch(rows.sparkSession)
+    # Python reads the lines once; what is needed of each at the end is kept apart
+    # from the band keys, which go when lines have met.
+    read = scratch.store(_line_rows(rows, shingle), "read")
+    places = scratch.store(read.select("digest", "key", "row", "line"), "places")
     lines = scratch.store(
-        _line_rows(rows, shingle, bands=True)
+        read.where("copies > 0")
         .repartition("digest")  # a slice's copies are one row already: no sum before it
         .groupBy("digest")
         .agg(
@@ -484,6 +523,7 @@ def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFram
         .withColumn("line_id", F.monotonically_increasing_id()),
         "lines",
     )
+    scratch.drop("read")
     met = scratch.store(_band_members(lines), "meeting")
     mixed = F.xxhash64("line_id")
     # Bands with the same members say the same: the first of them is kept, as a
@@ -536,7 +576,7 @@ def line_components(rows: DataFrame, shingle: int, threshold: float) -> DataFram
         alone.select("digest", "place").unionByName(together), "kept-lines"
     )
     scratch.drop("repeated", "linked")
-    return kept.select("digest", "place.*")
+    return places, kept.select("digest", "place.*")
 
 
 def removed_lines(
@@ -548,10 +588,11 @@ def removed_lines(
 ) -> DataFrame:
     """``key``, ``row`` (see ``_line_rows``) and ``lines``, the numbers of lines to remove."""
     rows = _rows(docs, id_column, text_column)
-    stays = line_components(rows, shingle, threshold).withColumnsRenamed(
+    places, kept = line_components(rows, shingle, threshold)
+    stays = kept.withColumnsRenamed(
         {"key": "stays_key", "row": "stays_row", "line": "stays_line"}
     )
-    found = lookup_join(_line_rows(rows, shingle, bands=False), stays, ["digest"], "inner")
+    found = lookup_join(places, stays, ["digest"], "inner")
     return (
         found.where("key <> stays_key or row <> stays_row or line <> stays_line")
         .groupBy("key", "row")

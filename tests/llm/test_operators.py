@@ -9,6 +9,7 @@ import brute
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -344,6 +345,73 @@ def test_links_connect_what_all_similar_pairs_connect(size):
     assert len(links) == size - len(set(brute.components(size, pairs, names)))
 
 
+def test_lines_that_have_met_are_not_looked_up(monkeypatch):
+    def never(*_):
+        raise AssertionError("no pair is left to compare")
+
+    monkeypatch.setattr(line_dedup, "_codes", never)
+    lines = [f"{i} a line {i * i} of its own {i}" for i in range(300)]
+    none = line_dedup.similar_links(lines, 8, 0.8, lambda i, o: np.zeros(len(o), bool))
+    assert none == []
+    even = line_dedup.similar_links(
+        lines, 8, 0.8, lambda i, o: (o == i + 1) | (o == i - 1) if i % 9 else o < 0
+    )
+    assert even == []
+
+
+@pytest.mark.parametrize("size", [200, 400])
+def test_links_of_many_small_groups(size):
+    random = np.random.default_rng(size)
+    base = ["".join(random.choice([*"abcdefgh "], 60)) for _ in range(100)]
+    lines = [base[i % 100] + "xyz"[: i // 100] for i in range(size)]
+    links = line_dedup.similar_links(lines, 5, 0.9, lambda i, o: np.ones(len(o), bool))
+    groups = brute.components(size, links, list(range(size)))
+    assert groups == [i % 100 for i in range(size)]
+
+
+def test_links_leave_out_pairs_of_earlier_bands_and_of_one_chunk():
+    line = "the same line but for its end, "
+    keys = np.arange(16) << 40 | np.arange(100, 107)[:, None]
+    keys[1, 2] = keys[0, 2]  # met in band 2
+    keys[4, 5] = keys[3, 5]  # only later than in band 3
+    rows = [  # band, lo, hi, part, at, line_id
+        (1, 0, 0, 0, 3, 0), (1, 0, 0, 0, 3, 1),
+        (2, 0, 0, 0, 3, 3), (2, 0, 0, 0, 3, 4),
+        (3, 0, 1, 0, 3, 2), (3, 0, 1, 0, 3, 5), (3, 0, 1, 1, 3, 6),
+    ]
+    names = ["band", "lo", "hi", "part", "at", "line_id"]
+    batch = pa.RecordBatch.from_arrays(
+        [
+            *(pa.array(c, pa.int64()) for c in zip(*rows)),
+            pa.array(line_dedup.packed(keys[[r[5] for r in rows]]), pa.binary()),
+            pa.array([line + "abcdefg"[r[5]] for r in rows]),
+        ],
+        [*names, "bands", "words"],
+    )
+    found = [
+        (x["a"], x["b"])
+        for out in line_dedup._links(iter([batch]), 8, 0.8)
+        for x in out.to_pylist()
+    ]
+    assert sorted(map(sorted, found)) == [[2, 6], [3, 4], [5, 6]]
+
+
+def test_line_dedup_reads_lines_once(spark, monkeypatch):
+    reads = []
+    rows_of = line_dedup._line_rows
+
+    def counted(*args, **more):
+        reads.append(args)
+        return rows_of(*args, **more)
+
+    monkeypatch.setattr(line_dedup, "_line_rows", counted)
+    docs = [(2, "one\nONE  \ntwo"), (1, "one\nthree\n\nthree"), (None, None)]
+    done = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    kept = {r.id: (r.n_lines, r.n_removed, r.kept_text) for r in done.collect()}
+    assert kept == {2: (3, 2, "two"), 1: (3, 1, "one\nthree\n"), None: (0, 0, None)}
+    assert len(reads) == 1
+
+
 def test_cover_tree(spark):
     random = np.random.default_rng(4)
     centers = random.normal(size=(12, 8))
