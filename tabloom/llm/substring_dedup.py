@@ -139,7 +139,8 @@ def _by_part(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Record
             several = np.frombuffer(row["several"], np.uint8)
             parts = (found >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int32)
             starts = np.flatnonzero(np.diff(parts, prepend=-1))
-            spans = list(zip(starts, np.append(starts[1:], len(parts)), strict=True))
+            ends = np.append(starts[1:], len(parts))[: len(starts)]  # none where no text has words
+            spans = list(zip(starts, ends, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(parts[starts]),

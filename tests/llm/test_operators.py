@@ -412,6 +412,17 @@ def test_line_dedup_reads_lines_once(spark, monkeypatch):
     assert len(reads) == 1
 
 
+def test_a_block_without_words_has_no_anchors():
+    batch = pa.RecordBatch.from_pylist(
+        [
+            {"block": 1, "anchors": b"", "several": b""},
+            {"block": 2, "anchors": np.array([5, 9], np.uint64).tobytes(), "several": b"ab"},
+        ]
+    )
+    found = [x for out in substring_dedup._by_part(iter([batch]), 2) for x in out.to_pylist()]
+    assert [(x["part"], x["block"], x["several"]) for x in found] == [(0, 2, b"ab")]
+
+
 def test_cover_tree(spark):
     random = np.random.default_rng(4)
     centers = random.normal(size=(12, 8))
