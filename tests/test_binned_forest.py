@@ -1,5 +1,7 @@
 """Forests over rows in bins, held against Spark's own."""
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -8,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.operators import binned_forest, forest_search, ml
+from tabloom.operators.split import fold_column
 
 
 def prepared(spark, n=4000):
@@ -23,7 +26,7 @@ def prepared(spark, n=4000):
 
 
 def jobs_of(spark, work) -> int:
-    group = f"jobs-{id(work)}"
+    group = f"jobs-{uuid.uuid4()}"
     spark.sparkContext.setJobGroup(group, "")
     try:
         work()
@@ -133,3 +136,60 @@ def test_many_values_are_summed_up_by_their_ranks():
     few = np.repeat([3.0, 1.0, 2.0], 5)
     assert [list(x) for x in binned_forest._summary(few)] == [[1, 2, 3], [5, 5, 5]]
     assert list(binned_forest.thresholds(*binned_forest._summary(few), 32)) == [1.5, 2.5]
+
+
+def test_a_search_takes_no_more_passes_for_deeper_trees(spark):
+    rows = prepared(spark, 1500)
+
+    def searched(depth):
+        found = forest_search.search(
+            rows, ["movie_id"], (4, 8), (1, depth), (8,), "accuracy", folds=2, parallelism=1
+        )
+        assert found.count() == 8
+
+    shallow, deep = (jobs_of(spark, lambda: searched(depth)) for depth in (2, 12))
+    assert deep == shallow
+
+
+def test_rows_of_the_same_bins_are_graded_as_each_of_them(spark):
+    rows = fold_column(prepared(spark, 3000), ["movie_id"], 3).select(
+        vector_to_array("features").alias("x"), F.col("label").cast("double").alias("label"), "fold"
+    )
+    graded = forest_search.search(
+        prepared(spark, 3000), ["movie_id"], (3, 9), (2, 5), (6,), "accuracy", folds=3
+    )
+    found = {(r.num_trees, r.max_depth, r.fold): r for r in graded.collect()}
+    assert len(found) == 12
+    cuts = binned_forest.Rows.of(rows).cuts(6, 1)
+    train = binned_forest.entries(rows, cuts, 1).where("NOT tested").toArrow()
+    assert train.num_rows < 500  # far fewer than rows
+    nodes = forest_search.NodeTable.grown(
+        binned_forest.grow(spark, train, cuts, 9, 5, ml.SEED).toArrow()
+    )
+    tested = rows.where("fold = 1").toArrow().to_pydict()
+    share = forest_search.scores(np.array(tested["x"]), nodes, [3, 9], [2, 5])
+    for i, trees in enumerate((3, 9)):
+        for j, depth in enumerate((2, 5)):
+            hits = (share[:, i, j] > 0.5) == (np.array(tested["label"]) > 0.5)
+            row = found[trees, depth, 1]
+            assert row.n_test == len(hits) and row.metric == pytest.approx(hits.mean())
+
+
+def test_an_area_of_counted_rows_is_that_of_all_of_them(spark):
+    rows = spark.range(200).selectExpr(
+        "double(id * 37 % 11) AS score", "int(id * 53 % 7 > 3) AS label", "id % 4 AS n"
+    )
+    each = rows.selectExpr("*", "explode(sequence(1, 3)) AS i").where("i <= n")
+    counted = ml.auc(rows.where("n > 0"), "label", "score", weight="n").first().auc
+    assert counted == pytest.approx(ml.auc(each, "label", "score").first().auc)
+
+
+def test_a_search_falls_back_on_sparks_forest(spark, monkeypatch):
+    monkeypatch.setattr(ml, "FIT_BYTES", 1)
+    graded = forest_search.search(
+        prepared(spark, 400), ["movie_id"], (2, 5), (2,), (8,), "accuracy", folds=2
+    )
+    assert sorted(r.n_test for r in graded.collect()) == sorted(
+        2 * [r["count"] for r in fold_column(prepared(spark, 400), ["movie_id"], 2)
+             .groupBy("fold").count().collect()]
+    )
