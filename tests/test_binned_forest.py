@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import binned_forest, forest_search, ml
 from tabloom.operators.split import fold_column
+from tabloom.plans import scoring
 
 
 def prepared(spark, n=4000):
@@ -193,3 +194,23 @@ def test_a_search_falls_back_on_sparks_forest(spark, monkeypatch):
         2 * [r["count"] for r in fold_column(prepared(spark, 400), ["movie_id"], 2)
              .groupBy("fold").count().collect()]
     )
+
+
+def test_the_raw_baseline_takes_no_more_passes_for_deeper_trees(spark, tmp_path):
+    raw = spark.range(800).selectExpr(
+        "string(id) AS tconst",
+        "CASE WHEN id % 5 > 0 THEN double(id * 31 % 100) END AS minutes",
+        "double(id * 7919 % 53) AS votes",
+        "int(id % 5 > 0 AND id * 31 % 100 + id * 7919 % 53 > 70) AS label",
+    )
+    hidden = raw.selectExpr("int(tconst) AS place", "minutes", "votes").limit(50)
+
+    def scored(depth):
+        model, _ = scoring.raw_baseline(
+            raw, ["minutes", "votes"], ["tconst"], folds=2, trees=(4,), depths=(depth,)
+        )
+        scoring.score_hidden(model, {"val": hidden}, ["place"], f"{tmp_path}/{depth}")
+        assert len(spark.read.csv(f"{tmp_path}/{depth}/val").collect()) == 50
+
+    shallow, deep = (jobs_of(spark, lambda: scored(depth)) for depth in (2, 10))
+    assert deep == shallow
