@@ -214,3 +214,23 @@ def test_the_raw_baseline_takes_no_more_passes_for_deeper_trees(spark, tmp_path)
 
     shallow, deep = (jobs_of(spark, lambda: scored(depth)) for depth in (2, 10))
     assert deep == shallow
+
+
+def test_many_columns_make_keys_of_several_words(spark):
+    names = [f"v{i}" for i in range(11)]
+    rows = spark.range(300).selectExpr(
+        "id AS movie_id", *[f"double(id * {7 * i + 3} % 29) AS {n}" for i, n in enumerate(names)],
+        "int(id * 31 % 29 > 14) AS label",
+    )
+    rows = fold_column(ml.assemble(rows, names), ["movie_id"], 2).select(
+        vector_to_array("features").alias("x"), F.col("label").cast("double").alias("label"), "fold"
+    )
+    cuts = binned_forest.Rows.of(rows).cuts(8, 0)
+    stored = binned_forest.entries(rows, cuts, 0).toArrow()
+    assert stored.schema.names[:2] == ["k0", "k1"]
+    assert sum(stored.column("n").to_pylist()) == 300
+    bins = binned_forest.bins_of(stored, 11)
+    expected = {
+        tuple(int(np.searchsorted(cut, v)) for cut, v in zip(cuts, r.x)) for r in rows.collect()
+    }
+    assert {tuple(b) for b in bins.tolist()} == expected
