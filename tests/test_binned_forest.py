@@ -139,12 +139,13 @@ def test_many_values_are_summed_up_by_their_ranks():
     assert list(binned_forest.thresholds(*binned_forest._summary(few), 32)) == [1.5, 2.5]
 
 
-def test_a_search_takes_no_more_passes_for_deeper_trees(spark):
+@pytest.mark.parametrize("metric", ["accuracy", "auc"])
+def test_a_search_takes_no_more_passes_for_deeper_trees(spark, metric):
     rows = prepared(spark, 1500)
 
     def searched(depth):
         found = forest_search.search(
-            rows, ["movie_id"], (4, 8), (1, depth), (8,), "accuracy", folds=2, parallelism=1
+            rows, ["movie_id"], (4, 8), (1, depth), (8,), metric, folds=2, parallelism=1
         )
         assert found.count() == 8
 
