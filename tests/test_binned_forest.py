@@ -9,7 +9,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassi
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.operators import binned_forest, forest_search, ml
+from tabloom.operators import binned_forest, forest_search, missing, ml
 from tabloom.operators.split import fold_column
 from tabloom.plans import scoring
 
@@ -235,3 +235,23 @@ def test_many_columns_make_keys_of_several_words(spark):
         tuple(int(np.searchsorted(cut, v)) for cut, v in zip(cuts, r.x)) for r in rows.collect()
     }
     assert {tuple(b) for b in bins.tolist()} == expected
+
+
+def test_gaps_of_dirty_rows_are_entries_of_their_own(spark):
+    rows = spark.range(600).selectExpr(
+        "string(id) AS tconst", "CASE WHEN id % 4 > 0 THEN double(id % 50) END AS minutes",
+        "0 AS fold", "double(id % 4 = 0 OR id % 50 > 30) AS label",
+    )
+    dirty = missing.MissingSides(inputCols=["minutes"]).fit(rows).transform(rows)
+    found = binned_forest.Rows.of(
+        dirty.select(vector_to_array("features").alias("x"), "label", "fold")
+    )
+    cuts = found.cuts(32)
+    entries = binned_forest.entries(found.df, cuts).toArrow()
+    bins = binned_forest.bins_of(entries, 2)
+    gap = (bins[:, 0] == 0) & (bins[:, 1] == len(cuts[1]))  # below all, above all
+    assert entries.column("n").to_numpy()[gap].tolist() == [150]
+    table = scoring.compare_inputs(
+        {"dirty": dirty.drop("fold")}, ["tconst"], folds=2, trees=(8,), depths=(4,)
+    ).first()
+    assert table.accuracy > 0.95 and table.n_rows == 600
